@@ -141,48 +141,42 @@ def upsert(
     ``on_match``.  A natural id that is NULL or occurs twice in the batch fails
     the job: the guards sit in the key column, so no write can skip them.
 
-    The batch is grouped by natural id before it is shuffled, so copies of one
-    id collapse map-side, and both uses of it below read that one shuffle.
+    Keys are assigned on ids alone, so whole rows are shuffled once: the batch,
+    grouped by id so that copies collapse before the shuffle, meets the
+    existing rows and the newly numbered ids in one join.
     """
     attributes = [name for name in incoming.columns if name != natural]
     batch = incoming.groupBy(natural).agg(
         F.first(F.struct(*attributes)).alias("_row"), F.count(F.lit(1)).alias("_copies")
     )
+    new_ids = incoming.select(natural).distinct().join(existing.select(natural), natural, "left_anti")
+    last_key = existing.select(F.coalesce(F.max(key), F.lit(0))).scalar()
+    members = existing.withColumn("_new", F.lit(False)).unionByName(
+        assign_keys(new_ids, key, natural, last_key).withColumn("_new", F.lit(True)), allowMissingColumns=True
+    )
+
     twice = F.raise_error(
         F.concat(F.lit(f"{natural} occurs twice in one batch: "), F.col(natural).cast("string"))
     ).cast("long")
-
-    def guarded(value: Column) -> Column:
-        return F.when(F.col("_copies") > 1, twice).otherwise(value)
-
     matched = F.col("_copies").isNotNull()
 
-    def updated_column(name: str) -> Column:
+    def column(name: str) -> Column:
+        kept = F.col(name)
+        if name == natural:
+            return kept
         if name == key:
-            return guarded(F.col(key))
+            return F.when(F.col("_copies") > 1, twice).otherwise(kept)
+        sent = F.col(f"_row.{name}") if name in attributes else None
         if name in update:
-            return F.when(matched, F.col(f"_row.{name}")).otherwise(F.col(name))
-        if name in on_match:
-            return F.when(matched, on_match[name]).otherwise(F.col(name))
-        return F.col(name)
-
-    def inserted_column(name: str) -> Column:
-        if name == key:
-            return guarded(F.col(key))
-        if name == natural:
-            return F.col(natural)
-        if name in attributes:
-            return F.col(f"_row.{name}")
-        return on_insert.get(name, F.lit(None))
-
-    def as_declared(columns) -> list[Column]:
-        return [columns(c.name).cast(c.dataType).alias(c.name) for c in existing.schema]
-
-    last_key = existing.select(F.coalesce(F.max(key), F.lit(0))).scalar()
-    fresh = batch.join(existing.select(natural), natural, "left_anti")
-    updated = existing.join(batch, natural, "left").select(*as_declared(updated_column))
-    inserted = assign_keys(fresh, key, natural, last_key).select(*as_declared(inserted_column))
-    return updated.unionByName(inserted)
+            kept = F.when(matched, sent).otherwise(kept)
+        elif name in on_match:
+            kept = F.when(matched, on_match[name]).otherwise(kept)
+        first = on_insert.get(name, F.lit(None)) if sent is None else sent
+        return F.when(F.col("_new"), first).otherwise(kept)
+
+    return members.join(batch, natural, "left").select(*[
+        column(c.name).cast(c.dataType).alias(c.name) for c in existing.schema
+    ])
 
 
 def load_dimension(existing: DataFrame, staged: DataFrame, load: DimensionLoad, load_time: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,16 +21,20 @@ def read_text_columns(spark: SparkSession, path: str, multiline: bool = False) -
     dialect = {
         "header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"',
         "multiLine": multiline, "enforceSchema": False,
+        "columnPruning": False,  # a parser that skips cells cannot tell a ragged line
     }
-    names = spark.read.csv(path, **dialect).columns
+    names = spark.read.options(**dialect).csv(path).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAGGED]])
-    rows = spark.read.schema(schema).csv(path, columnNameOfCorruptRecord=_RAGGED, **dialect)
+    rows = spark.read.schema(schema).options(**dialect, columnNameOfCorruptRecord=_RAGGED).csv(path)
 
     unquoted = F.regexp_replace(_RAGGED, r'"(?:[^"]|"")*"', "")
-    too_long = F.size(F.split(unquoted, ",")) > len(names)
-    error = F.raise_error(F.concat(F.lit("too many cells in line: "), F.col(_RAGGED)))
-    rows = rows.filter(F.when(F.col(_RAGGED).isNotNull() & too_long, error.cast("boolean")).otherwise(True))
-    return rows.select(*[blank_missing(F.col(f"`{name}`")).alias(name) for name in names])
+    too_long = F.col(_RAGGED).isNotNull() & (F.size(F.split(unquoted, ",")) > len(names))
+    error = F.raise_error(F.concat(F.lit("too many cells in line: "), F.col(_RAGGED))).cast("string")
+
+    def cell(name: str) -> Column:
+        return F.when(too_long, error).otherwise(blank_missing(F.col(f"`{name}`"))).alias(name)
+
+    return rows.select(*[cell(name) for name in names])
 
 
 def read_csv(spark: SparkSession, path: str, declared: T.StructType, multiline: bool = False) -> DataFrame:
