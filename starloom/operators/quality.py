@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.schemas import Table
 
@@ -81,14 +82,28 @@ def reference_violations(rows: DataFrame, table: Table, parents: dict[str, DataF
     return reduce(DataFrame.unionByName, checks)
 
 
-def row_rules(table: Table) -> dict[str, Column]:
-    """Per-row constraints of a table, as counting columns for one observed pass."""
-    nulls = {f"{name} is NULL": F.count_if(F.col(name).isNull()) for name in table.required}
-    lengths = {
-        f"{name} is longer than {limit}": F.count_if(too_long(name, limit))
-        for name, limit in table.max_length.items()
-    }
-    return nulls | lengths
+def enforced(rows: DataFrame, table: Table) -> DataFrame:
+    """The declared columns of ``rows``; a NULL or an overlong text fails the job.
+
+    The rules are part of the projection, so they cost no pass of their own
+    and a bad load stops at its first bad row instead of after the write.
+    """
+
+    def column(name: str, kind: T.DataType) -> Column:
+        value = F.col(name).cast(kind)
+        if not table.enforced:
+            return value.alias(name)
+        checked = value
+        if name in table.max_length:
+            limit = table.max_length[name]
+            error = F.raise_error(F.lit(f"{table.name}.{name} is longer than {limit}")).cast(kind)
+            checked = F.when(too_long(name, limit), error).otherwise(checked)
+        if name in table.required:
+            error = F.raise_error(F.lit(f"{table.name}.{name} is NULL")).cast(kind)
+            checked = F.when(value.isNull(), error).otherwise(checked)
+        return checked.alias(name)
+
+    return rows.select(*[column(c.name, c.dataType) for c in table.columns])
 
 
 def require_clean(violations: DataFrame, what: str) -> None:

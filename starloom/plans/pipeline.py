@@ -21,7 +21,7 @@ from starloom.operators.dimensions import (
 from starloom.operators.fact import build_fact_sales
 from starloom.operators.quality import reference_violations, require_clean
 from starloom.plans.store import TableStore, empty
-from starloom.schemas import SOURCE_FILES, TABLES
+from starloom.schemas import SOURCE_FILES, TABLES, Table
 from starloom.sources.csv import read_csv
 
 # The years of the calendar, and with it of the fact.
@@ -31,7 +31,7 @@ LAST_YEAR = 2030
 
 def _together(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
     """Run independent loads side by side, so small ones do not wait for big ones."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    with ThreadPoolExecutor(max(len(jobs), 1)) as pool:
         running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
         return {name: load.result() for name, load in running.items()}
 
@@ -68,12 +68,18 @@ def stage_csv(
 
 def create_tables(store: TableStore, load_time: datetime.datetime | None = None) -> None:
     """Write each table that does not exist yet: empty, or with its unknown member."""
-    spark = store.spark
     seeded = {load.table: load for load in DIMENSION_LOADS}
-    for name, table in TABLES.items():
-        if not store.exists(name):
-            rows = new_dimension(spark, seeded[name], _moment(load_time)) if name in seeded else empty(spark, table)
-            store.write(name, rows)
+
+    def create(table: Table) -> int:
+        if table.name in seeded:
+            rows = new_dimension(store.spark, seeded[table.name], _moment(load_time))
+        else:
+            rows = empty(store.spark, table)
+        return store.write(table.name, rows)
+
+    _together(store.spark, {
+        table.name: lambda table=table: create(table) for table in TABLES.values() if not store.exists(table.name)
+    })
 
 
 def refresh_dimension(store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None = None) -> int:
