@@ -46,7 +46,8 @@ def build_fact_sales(
         .select("transaction_id", "transaction_date", "customer_key")
     )
     sold = items.select("transaction_id", "product_id", "quantity", "price")
-    rows = dated.join(sold, "transaction_id").join(
+    # Items come first: a merge join holds the rows of its second side per key, and there it is one.
+    rows = sold.join(dated, "transaction_id").join(
         products, F.col("product_id") == F.col("product_id_natural"), "left"
     )
     values = {
