@@ -32,10 +32,10 @@ def _batch(spark, *lines):
 
 def test_parse(spark):
     rows = sensors.parse_readings(_batch(
-        spark, "garbage", '{"city_id": 2}', _json("2025-01-01T00:00:01.5", P_watt="n/a"), _json("nope"),
+        spark, "garbage", '{"city_id": 2}', _json("2025-01-01T00:00:01.5", P_watt="n/a"), _json("nope"), None,
     )).collect()
-    assert [r.event_time and str(r.event_time) for r in rows] == [None, None, "2025-01-01 00:00:01.500000", None]
-    assert [r.city_id for r in rows] == [None, 2, 1, 1]
+    assert [r.event_time and str(r.event_time) for r in rows] == [None, None, "2025-01-01 00:00:01.500000", None, None]
+    assert [r.city_id for r in rows] == [None, 2, 1, 1, None]
     assert rows[2].P_watt is None and rows[2].V_volt == 200
 
 
