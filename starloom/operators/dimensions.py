@@ -48,9 +48,13 @@ def calendar_rows(days: DataFrame) -> DataFrame:
 
 
 def insert_absent(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """``existing`` plus those of ``rows`` whose key it lacks; existing rows win."""
-    fresh = rows.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
-    return existing.unionByName(fresh)
+    """``existing`` plus those of ``rows`` whose key it lacks; existing rows win.
+
+    ``rows`` are expected to be the small side: the existing keys are first
+    narrowed to theirs, so a large table is scanned but not shuffled.
+    """
+    present = existing.select(key).join(rows.select(key), key, "left_semi")
+    return existing.unionByName(rows.dropDuplicates([key]).join(present, key, "left_anti"))
 
 
 def unknown_member(spark: SparkSession, table: Table, defaults: dict[str, Column] | None = None) -> DataFrame:

@@ -66,26 +66,32 @@ def to_files(folder: str) -> Callable[[DataStreamWriter], DataStreamWriter]:
     return lambda writer: writer.format("parquet").option("path", folder)
 
 
-def to_snapshots(folder: str) -> Callable[[DataStreamWriter], DataStreamWriter]:
-    """The whole result of each trigger as one folder, numbered by batch.
+def to_snapshots(folder: str, keep: int = 2) -> Callable[[DataStreamWriter], DataStreamWriter]:
+    """The whole result of each trigger as one folder, numbered by batch; the last ones are kept.
 
     A batch that is replayed after a failure overwrites its own folder.
     """
 
     def write(counts: DataFrame, batch: int) -> None:
         counts.write.mode("overwrite").parquet(f"{folder}/{batch:010d}")
+        outdated, files = _path(counts.sparkSession, f"{folder}/{batch - keep:010d}")
+        files.delete(outdated, True)
 
     return lambda writer: writer.foreachBatch(write)
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The last finished result of :func:`to_snapshots`."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
-    finished = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    newest = max(entry.getPath().getParent().toString() for entry in finished)
+    marks, files = _path(spark, f"{folder}/*/_SUCCESS")
+    newest = max(entry.getPath().getParent().toString() for entry in files.globStatus(marks))
     return spark.read.schema("window_start string, sensor_reading_count bigint").parquet(newest)
 
 
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def start_sensor_counts(
     messages: DataFrame,
     checkpoint: str,

@@ -75,6 +75,7 @@ def test_complete_mode_counts_late_readings(spark, tmp_path):
         ("2025-01-01 00:00:00", 3), ("2025-01-01 00:10:00", 2), ("2025-01-01 00:20:00", 1),
     ]
     assert _dropped(query) == 0
+    assert sorted(folder.name for folder in (tmp_path / "out").iterdir()) == ["0000000003", "0000000004"]
 
 
 def test_append_mode_drops_late_readings_and_emits_closed_windows(spark, tmp_path):

@@ -6,7 +6,7 @@ import pytest
 
 from starloom.operators import quality
 from starloom.operators.quality import ConstraintViolation
-from starloom.plans import pipeline
+from starloom.plans import pipeline, sizing
 from starloom.plans.store import TableStore
 from starloom.schemas import SOURCE_FILES, TABLES
 
@@ -161,6 +161,23 @@ def test_loads_need_strict_casts(spark, store):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_shuffles_follow_the_data_and_are_put_back(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with sizing.sized_shuffles(spark, 640 * 2**20):
+        assert spark.conf.get(name) == "10"
+    assert spark.conf.get(name, None) is None
+    with sizing.sized_shuffles(spark, 5):
+        assert spark.conf.get(name) == spark.conf.get("spark.sql.shuffle.partitions")
+    assert sizing.shuffle_settings(10**14, 200)[name] == "100000"
+    spark.conf.set(name, "3")
+    try:
+        with sizing.sized_shuffles(spark, 640 * 2**20):
+            assert spark.conf.get(name) == "3"
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_checks(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "bb"), (2, None), (None, "c"), (None, "c")], "id int, v string")
     assert [tuple(r) for r in quality.duplicate_keys(rows, "id").collect()] == [(1, 2)]
