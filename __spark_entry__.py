@@ -597,22 +597,22 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
         """,
         "null_violations": """
-            SELECT 'customer_id_natural' AS column_name, count(*) FILTER (c_custkey IS NULL) AS violations
+            SELECT 'customer_id_natural' AS column_name, count(*) FILTER (WHERE c_custkey IS NULL) AS violations
             FROM customer
-            UNION ALL SELECT 'name', count(*) FILTER (c_acctbal < 0 OR c_acctbal IS NULL OR c_name IS NULL)
+            UNION ALL SELECT 'name', count(*) FILTER (WHERE c_acctbal < 0 OR c_acctbal IS NULL OR c_name IS NULL)
             FROM customer
         """,
         "length_violations": """
-            SELECT 'product_name' AS column_name, count(*) FILTER (length(text) > 255) AS violations FROM documents
-            UNION ALL SELECT 'category', count(*) FILTER (length(source) > 100) FROM documents
+            SELECT 'product_name' AS column_name, count(*) FILTER (WHERE length(text) > 255) AS violations FROM documents
+            UNION ALL SELECT 'category', count(*) FILTER (WHERE length(source) > 100) FROM documents
         """,
         "range_violations": """
             SELECT 'l_orderkey' AS column_name,
-                   count(*) FILTER (l_orderkey NOT BETWEEN -2147483648 AND 2147483647) AS violations FROM lineitem
+                   count(*) FILTER (WHERE l_orderkey NOT BETWEEN -2147483648 AND 2147483647) AS violations FROM lineitem
             UNION ALL SELECT 'l_extendedprice',
-                   count(*) FILTER (CAST(trunc(l_extendedprice) AS BIGINT) NOT BETWEEN -32768 AND 32767)
+                   count(*) FILTER (WHERE CAST(trunc(l_extendedprice) AS BIGINT) NOT BETWEEN -32768 AND 32767)
             FROM lineitem
-            UNION ALL SELECT 'l_quantity', count(*) FILTER (l_quantity NOT BETWEEN -32768 AND 32767) FROM lineitem
+            UNION ALL SELECT 'l_quantity', count(*) FILTER (WHERE l_quantity NOT BETWEEN -32768 AND 32767) FROM lineitem
         """,
         "fact_fk_violations": f"""
             WITH f AS ({fact_oracle}),

@@ -32,12 +32,20 @@ def lenient_timestamp(cell: Column) -> Column:
     return cell.try_cast("timestamp_ntz")
 
 
+def strict_cast(cell: Column, kind: T.DataType, what: str) -> Column:
+    """``cell`` as ``kind``; a value that does not fit fails the job, in any ANSI mode."""
+    value = cell.try_cast(kind)
+    error = F.raise_error(
+        F.concat(F.lit(f"{what} does not fit {kind.simpleString()}: "), cell.cast("string"))
+    ).cast(kind)
+    return F.when(cell.isNotNull() & value.isNull(), error).otherwise(value)
+
+
 def typed(rows: DataFrame, declared: T.StructType) -> DataFrame:
     """Type the text columns of a source.
 
     Temporal names are coerced leniently, other declared columns are cast
-    strictly (bad text fails the load under ANSI mode), and undeclared columns
-    stay text.  A declared column that the source lacks fails at once.
+    strictly (bad text fails the load), and undeclared columns stay text.  A declared column that the source lacks fails at once.
     """
     absent = [name for name in declared.names if name not in rows.columns]
     if absent:
@@ -48,7 +56,7 @@ def typed(rows: DataFrame, declared: T.StructType) -> DataFrame:
         if is_temporal_name(name):
             return lenient_timestamp(cell).alias(name)
         if name in declared.names:
-            return cell.cast(declared[name].dataType).alias(name)
+            return strict_cast(cell, declared[name].dataType, name).alias(name)
         return cell
 
     return rows.select(*[column(name) for name in rows.columns])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import calendar
+from starloom.functions.coerce import strict_cast
 from starloom.operators.keys import assign_keys
 from starloom.schemas import TABLES, Table
 
@@ -85,7 +86,7 @@ class DimensionLoad:
         """Source rows under the dimension's names and types (overflow fails)."""
         declared = TABLES[self.table].columns
         return staged.select(*[
-            F.col(old).cast(declared[new].dataType).alias(new) for old, new in self.columns.items()
+            strict_cast(F.col(old), declared[new].dataType, old).alias(new) for old, new in self.columns.items()
         ])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import date_key
+from starloom.functions.coerce import strict_cast
 from starloom.schemas import TABLES, UNKNOWN_KEY
 
 
@@ -61,5 +62,6 @@ def build_fact_sales(
         "total_amount": F.col("quantity") * F.col("price"),
     }
     return rows.select(*[
-        values[column.name].cast(column.dataType).alias(column.name) for column in TABLES["fact_sales"].columns
+        strict_cast(values[column.name], column.dataType, column.name).alias(column.name)
+        for column in TABLES["fact_sales"].columns
     ])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.coerce import strict_cast
 from starloom.schemas import Table
 
 # Bounds of the integer columns.
@@ -90,7 +91,7 @@ def enforced(rows: DataFrame, table: Table) -> DataFrame:
     """
 
     def column(name: str, kind: T.DataType) -> Column:
-        value = F.col(name).cast(kind)
+        value = strict_cast(F.col(name), kind, f"{table.name}.{name}")
         if not table.enforced:
             return value.alias(name)
         checked = value

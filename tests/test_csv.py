@@ -41,10 +41,16 @@ def test_bad_date_is_null_and_row_stays(spark, tmp_path):
     assert rows[2].end_date == datetime.datetime(2025, 6, 2)
 
 
-def test_bad_number_fails_the_load(spark, tmp_path):
-    path = _file(tmp_path, "product_id,product_name,category,price\nx,Baju,Fashion,1000\n")
-    with pytest.raises(FAILED):
-        read_csv(spark, path, PRODUCTS).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("cells", ["x,Baju,Fashion,1000", "9999999999999999999,Baju,Fashion,1", "1,Baju,Fashion,1e17"])
+def test_bad_number_fails_the_load(spark, tmp_path, cells, ansi):
+    path = _file(tmp_path, f"product_id,product_name,category,price\n{cells}\n")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(FAILED, match="does not fit"):
+            read_csv(spark, path, PRODUCTS).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_missing_value_texts_are_null(spark, tmp_path):

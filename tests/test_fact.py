@@ -68,10 +68,15 @@ def test_grain(spark):
 
 
 def test_overflow_fails(spark):
-    with pytest.raises(FAILED):
+    with pytest.raises(FAILED, match="does not fit int"):
         _fact(spark, [(2**31, 1, DAY)], [_item(2**31)]).collect()
 
 
+def test_amount_beyond_its_column_fails(spark):
+    with pytest.raises(FAILED):
+        _fact(spark, [(1, 1, DAY)], [_item(1, quantity=2_000_000_000, price="9999999999999999.99")]).collect()
+
+
 def test_null_price_is_kept_for_the_constraint_to_catch(spark):
     assert _fact(spark, [(1, 1, DAY)], [_item(1, price=None)]).collect()[0].total_amount is None
 

@@ -152,15 +152,6 @@ def test_reading_an_unwritten_table_fails(store):
         store.read("dim_date")
 
 
-def test_loads_need_strict_casts(spark, store):
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        with pytest.raises(RuntimeError):
-            pipeline.transform(store)
-    finally:
-        spark.conf.unset("spark.sql.ansi.enabled")
-
-
 def test_shuffles_follow_the_data_and_are_put_back(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     with sizing.sized_shuffles(spark, 640 * 2**20):
