@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.calendar import moment
 from starloom.functions.coerce import typed
 from starloom.operators import dimensions, fact, quality
 from starloom.plans import analytics, pipeline
@@ -24,10 +25,6 @@ RELOADED = datetime.datetime(2024, 2, 1)
 CLOSED = datetime.datetime(2024, 1, 15)
 
 
-def _at(moment: datetime.datetime) -> Column:
-    return F.lit(moment).cast("timestamp_ntz")
-
-
 def _as_text(rows: DataFrame, *columns: str) -> DataFrame:
     """Timestamps as text, which both engines print alike."""
     return rows.withColumns({name: F.col(name).cast("string") for name in columns})
@@ -169,7 +166,7 @@ def unknown_members(spark, sf_dir):
     members = None
     for load, label in zip(dimensions.DIMENSION_LOADS, ("name", "product_name", "campaign_name")):
         table = TABLES[load.table]
-        seed = dimensions.new_dimension(spark, load, _at(RELOADED))
+        seed = dimensions.new_dimension(spark, load, moment(RELOADED))
         rows = dimensions.insert_absent(store.read(load.table), seed, table.primary_key).select(
             F.lit(load.table).alias("table_name"),
             F.col(table.primary_key).alias("member_key"),
@@ -181,8 +178,8 @@ def unknown_members(spark, sf_dir):
 
 
 def _first_load(spark: SparkSession, load: dimensions.DimensionLoad, staged: DataFrame) -> DataFrame:
-    empty = dimensions.new_dimension(spark, load, _at(LOADED))
-    return dimensions.load_dimension(empty, staged, load, _at(LOADED))
+    empty = dimensions.new_dimension(spark, load, moment(LOADED))
+    return dimensions.load_dimension(empty, staged, load, moment(LOADED))
 
 
 def _customer_text(rows: DataFrame) -> DataFrame:
@@ -207,7 +204,7 @@ def _close(customers: DataFrame, city: str) -> DataFrame:
     ended = F.col("city") == city
     return customers.withColumns({
         "is_current": F.when(ended, False).otherwise(F.col("is_current")),
-        "row_end_date": F.when(ended, _at(CLOSED)).otherwise(F.col("row_end_date")),
+        "row_end_date": F.when(ended, moment(CLOSED)).otherwise(F.col("row_end_date")),
     })
 
 
@@ -220,7 +217,7 @@ def dim_customer_upsert(spark, sf_dir):
         "city": F.concat("city", F.lit(" City")),
         "signup_date": F.lit("1999-09-09").cast("timestamp_ntz"),
     })
-    merged = dimensions.load_dimension(_close(existing, "NATION_3"), batch, dimensions.CUSTOMERS, _at(RELOADED))
+    merged = dimensions.load_dimension(_close(existing, "NATION_3"), batch, dimensions.CUSTOMERS, moment(RELOADED))
     return _customer_text(merged)
 
 
@@ -228,14 +225,14 @@ def dim_product_upsert(spark, sf_dir):
     source = tpch.products(spark, sf_dir)
     existing = _first_load(spark, dimensions.PRODUCTS, source.filter("category <> 'ECONOMY'"))
     batch = source.filter("category <> 'SMALL'").withColumn("price", (F.col("price") + 1).cast("decimal(18,2)"))
-    return dimensions.load_dimension(existing, batch, dimensions.PRODUCTS, _at(RELOADED))
+    return dimensions.load_dimension(existing, batch, dimensions.PRODUCTS, moment(RELOADED))
 
 
 def dim_campaign_upsert(spark, sf_dir):
     source = tpch.campaigns(spark, sf_dir)
     existing = _first_load(spark, dimensions.CAMPAIGNS, source.filter("channel <> 'click'"))
     batch = source.filter("channel <> 'view'").withColumn("end_date", F.col("start_date"))
-    merged = dimensions.load_dimension(existing, batch, dimensions.CAMPAIGNS, _at(RELOADED))
+    merged = dimensions.load_dimension(existing, batch, dimensions.CAMPAIGNS, moment(RELOADED))
     return _as_text(merged, "start_date", "end_date")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,12 @@ from pyspark.sql import functions as F
 NAME_WIDTH = 9
 
 
+def moment(value: datetime.datetime) -> Column:
+    """A zone-less literal.  It goes through text: a literal made of a Python
+    datetime is an instant and would shift with the session time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(day: Column) -> Column:
     """The day as the integer yyyymmdd; NULL stays NULL.
 

@@ -7,16 +7,16 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.calendar import date_key
+from starloom.functions.calendar import date_key, moment
 from starloom.functions.coerce import strict_cast
 from starloom.schemas import TABLES, UNKNOWN_KEY
 
 
-def within_years(moment: Column, first_year: int, last_year: int) -> Column:
+def within_years(when: Column, first_year: int, last_year: int) -> Column:
     """From the first to the last midnight of the years; later on 31 December is out."""
-    first = F.lit(datetime.datetime(first_year, 1, 1)).cast("timestamp_ntz")
-    last = F.lit(datetime.datetime(last_year, 12, 31)).cast("timestamp_ntz")
-    return (moment >= first) & (moment <= last)
+    first = moment(datetime.datetime(first_year, 1, 1))
+    last = moment(datetime.datetime(last_year, 12, 31))
+    return (when >= first) & (when <= last)
 
 
 def known_or_unknown(key: Column) -> Column:

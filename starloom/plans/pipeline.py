@@ -10,6 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.calendar import moment
 from starloom.operators.dimensions import (
     DIMENSION_LOADS,
     DimensionLoad,
@@ -38,8 +39,7 @@ def _together(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> dict[s
 
 
 def _moment(load_time: datetime.datetime | None) -> Column:
-    value = F.current_timestamp() if load_time is None else F.lit(load_time)
-    return value.cast("timestamp_ntz")
+    return F.localtimestamp() if load_time is None else moment(load_time)
 
 
 def stage(store: TableStore, sources: dict[str, DataFrame]) -> dict[str, int]:

@@ -52,7 +52,17 @@ def test_unmatched_ids_point_to_the_unknown_member(spark):
     ]
 
 
-def test_date_bounds_are_midnights(spark):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Jakarta"])
+def test_date_bounds_are_midnights(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _check_date_bounds(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def _check_date_bounds(spark):
     moments = [
         datetime.datetime(2019, 12, 31, 23, 59, 59), datetime.datetime(2020, 1, 1),
         datetime.datetime(2030, 12, 31), datetime.datetime(2030, 12, 31, 0, 0, 1), None,
