@@ -22,8 +22,8 @@ from starloom.operators.dimensions import (
 from starloom.operators.fact import build_fact_sales
 from starloom.operators.quality import reference_violations, require_clean
 from starloom.plans.sizing import sized_shuffles
-from starloom.plans.store import TableStore, empty
-from starloom.schemas import SOURCE_FILES, TABLES, Table
+from starloom.plans.store import TableStore
+from starloom.schemas import SOURCE_FILES, TABLES
 from starloom.sources.csv import read_csv
 
 # The years of the calendar, and with it of the fact.
@@ -60,32 +60,34 @@ def stage_csv(
     })
 
 
-def create_tables(store: TableStore, load_time: datetime.datetime | None = None) -> None:
-    """Write each table that does not exist yet: empty, or with its unknown member."""
-    seeded = {load.table: load for load in DIMENSION_LOADS}
+def _current(store: TableStore, name: str, load_time: datetime.datetime | None) -> DataFrame:
+    """A table as it is, or as it would be created: empty, or with its unknown member."""
+    if store.exists(name):
+        return store.read(name)
+    for load in DIMENSION_LOADS:
+        if load.table == name:
+            return new_dimension(store.spark, load, _moment(load_time))
+    return store.spark.createDataFrame([], TABLES[name].columns)
 
-    def create(table: Table) -> int:
-        if table.name in seeded:
-            rows = new_dimension(store.spark, seeded[table.name], _moment(load_time))
-        else:
-            rows = empty(store.spark, table)
-        return store.write(table.name, rows)
 
+def create_tables(store: TableStore, load_time: datetime.datetime | None = None) -> None:
+    """Write each table that does not exist yet."""
     _together(store.spark, {
-        table.name: lambda table=table: create(table) for table in TABLES.values() if not store.exists(table.name)
+        name: lambda name=name: store.write(name, _current(store, name, load_time))
+        for name in TABLES if not store.exists(name)
     })
 
 
 def refresh_dimension(store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None = None) -> int:
     """Upsert one staged batch into its dimension."""
-    rows = load_dimension(store.read(load.table), store.read(load.source), load, _moment(load_time))
-    return store.write(load.table, rows)
+    existing = _current(store, load.table, load_time)
+    return store.write(load.table, load_dimension(existing, store.read(load.source), load, _moment(load_time)))
 
 
 def refresh_calendar(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
     """Add the days that the calendar lacks."""
     days = calendar_days(store.spark, first_year, last_year)
-    return store.write("dim_date", insert_absent(store.read("dim_date"), days, "date_key"))
+    return store.write("dim_date", insert_absent(_current(store, "dim_date", None), days, "date_key"))
 
 
 def refresh_fact(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
@@ -117,7 +119,6 @@ def transform(
 
     Running it again on the same staging tables changes nothing.
     """
-    create_tables(store, load_time)
     jobs = {
         load.table: lambda load=load: refresh_dimension(store, load, load_time) for load in DIMENSION_LOADS
     }
