@@ -34,11 +34,10 @@ def lenient_timestamp(cell: Column) -> Column:
 
 def strict_cast(cell: Column, kind: T.DataType, what: str) -> Column:
     """``cell`` as ``kind``; a value that does not fit fails the job, in any ANSI mode."""
-    value = cell.try_cast(kind)
     error = F.raise_error(
         F.concat(F.lit(f"{what} does not fit {kind.simpleString()}: "), cell.cast("string"))
     ).cast(kind)
-    return F.when(cell.isNotNull() & value.isNull(), error).otherwise(value)
+    return F.coalesce(cell.try_cast(kind), F.when(cell.isNotNull(), error))
 
 
 def typed(rows: DataFrame, declared: T.StructType) -> DataFrame:
