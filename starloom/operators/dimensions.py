@@ -59,9 +59,13 @@ def insert_absent(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def unknown_member(spark: SparkSession, table: Table, defaults: dict[str, Column] | None = None) -> DataFrame:
-    """The one row that facts without a match point to."""
+    """The one row that facts without a match point to.
+
+    It starts as an inline row, which joins treat as a table of known size;
+    columns that are mere literals would turn equi joins into nested loops.
+    """
     values = {name: F.lit(value) for name, value in table.unknown.items()} | (defaults or {})
-    return spark.range(1).select(*[
+    return spark.sql("SELECT * FROM VALUES (1) AS member(n)").select(*[
         values.get(column.name, F.lit(None)).cast(column.dataType).alias(column.name) for column in table.columns
     ])
 

@@ -41,10 +41,15 @@ def build_fact_sales(
     """
     customers = dim_customer.filter("is_current").select("customer_id_natural", "customer_key")
     products = dim_product.select("product_id_natural", "product_key")
+    # Keys of a transaction are worked out here, once, and travel narrow.
     dated = (
         transactions.filter(within_years(F.col("transaction_date"), first_year, last_year))
         .join(customers, F.col("customer_id") == F.col("customer_id_natural"), "left")
-        .select("transaction_id", "transaction_date", "customer_key")
+        .select(
+            "transaction_id",
+            date_key(F.col("transaction_date")).alias("date_key"),
+            known_or_unknown(F.col("customer_key")).alias("customer_key"),
+        )
     )
     sold = items.select("transaction_id", "product_id", "quantity", "price")
     # Items come first: a merge join holds the rows of its second side per key, and there it is one.
@@ -52,8 +57,8 @@ def build_fact_sales(
         products, F.col("product_id") == F.col("product_id_natural"), "left"
     )
     values = {
-        "date_key": date_key(F.col("transaction_date")),
-        "customer_key": known_or_unknown(F.col("customer_key")),
+        "date_key": F.col("date_key"),
+        "customer_key": F.col("customer_key"),
         "product_key": known_or_unknown(F.col("product_key")),
         "campaign_key": F.lit(UNKNOWN_KEY),
         "transaction_id_natural": F.col("transaction_id"),
