@@ -51,7 +51,7 @@ def _new_store(spark: SparkSession, purpose: str) -> TableStore:
 def warehouse(spark: SparkSession, sf_dir: str) -> TableStore:
     """The star of one data folder, loaded once per application by the pipeline."""
     place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _warehouses:
+    if place not in _warehouses or not _warehouses[place].exists("fact_sales"):
         store = _new_store(spark, "warehouse")
         pipeline.stage(store, tpch.staging(spark, sf_dir))
         pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
@@ -134,6 +134,17 @@ def row_counts(spark, sf_dir):
     return scanned
 
 
+def verify_counts(spark, sf_dir):
+    """Row counts asked in SQL of the registered tables."""
+    warehouse(spark, sf_dir).register()
+    return spark.sql("""
+        SELECT 'staging.stg_customers' AS table_name, count(*) AS row_count FROM staging.stg_customers
+        UNION ALL SELECT 'dwh.dim_customer', count(*) FROM dwh.dim_customer
+        UNION ALL SELECT 'dwh.dim_date', count(*) FROM dwh.dim_date
+        UNION ALL SELECT 'dwh.fact_sales', count(*) FROM dwh.fact_sales
+    """)
+
+
 # --- dimensions ------------------------------------------------------------
 
 
@@ -378,7 +389,7 @@ def sales_by_city(spark, sf_dir):
 
 
 _QUERIES = (
-    stage_transactions, csv_transactions, csv_transaction_items, csv_products, date_coercion, row_counts,
+    stage_transactions, csv_transactions, csv_transaction_items, csv_products, date_coercion, row_counts, verify_counts,
     dim_date, date_insert_absent, unknown_members, dim_customer, dim_product, dim_campaign,
     dim_customer_upsert, dim_product_upsert, dim_campaign_upsert,
     fact_sales, fact_sales_unknown, fact_refresh_twice,
@@ -514,6 +525,13 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 'fact_sales', count(*) FROM ({fact_oracle})
             )
         """,
+        "verify_counts": f"""
+            SELECT 'staging.stg_customers' AS table_name, count(*) AS row_count FROM customer
+            UNION ALL SELECT 'dwh.dim_customer', count(*) + 1 FROM customer
+            UNION ALL SELECT 'dwh.dim_date',
+                date_diff('day', DATE '{FIRST_YEAR}-01-01', DATE '{LAST_YEAR}-12-31') + 1
+            UNION ALL SELECT 'dwh.fact_sales', count(*) FROM ({fact_oracle})
+        """,
         "dim_date": f"SELECT {_DAY_COLUMNS}, FALSE AS is_holiday FROM ({_CALENDAR})",
         "date_insert_absent": f"""
             SELECT {_DAY_COLUMNS}, d IN (SELECT o_orderdate FROM orders) AS is_holiday FROM ({_CALENDAR})

@@ -94,6 +94,7 @@ class DimensionLoad:
         ])
 
 
+# Which source columns feed which dimension columns.
 CUSTOMERS = DimensionLoad(
     table="dim_customer",
     source="stg_customers",

@@ -51,6 +51,7 @@ class Table:
         return tuple(dict.fromkeys(key + self.not_null))
 
 
+# Names, types, lengths, keys and references of the tables.
 _STAGING = [
     Table(
         "staging", "stg_customers",
@@ -160,6 +161,7 @@ SOURCE_FILES: dict[str, str] = {
     "stg_transaction_items": "transaction_items.csv",
 }
 
+# Fields of a sensor message.
 SENSOR_READING = _columns(
     date_time=TEXT, city_id=INT, city_name=TEXT, device_name=TEXT, P_watt=INT, V_volt=INT,
     I_amphere=T.FloatType(),
