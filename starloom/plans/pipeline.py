@@ -21,7 +21,7 @@ from starloom.operators.dimensions import (
 )
 from starloom.operators.fact import build_fact_sales
 from starloom.operators.quality import reference_violations, require_clean
-from starloom.plans.sizing import sized_shuffles
+from starloom.plans.sizing import sized_for
 from starloom.plans.store import TableStore
 from starloom.schemas import SOURCE_FILES, TABLES
 from starloom.sources.csv import read_csv
@@ -123,7 +123,7 @@ def transform(
         load.table: lambda load=load: refresh_dimension(store, load, load_time) for load in DIMENSION_LOADS
     }
     jobs["dim_date"] = lambda: refresh_calendar(store, first_year, last_year)
-    with sized_shuffles(store.spark, store.stored_bytes(*SOURCE_FILES)):
+    with sized_for(store.spark, store.stored_bytes(*SOURCE_FILES)):
         counts = _together(store.spark, jobs)
         counts["fact_sales"] = refresh_fact(store, first_year, last_year)
     return counts

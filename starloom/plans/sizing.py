@@ -1,4 +1,4 @@
-"""Shuffle settings that follow the size of the data."""
+"""Scan and shuffle settings that follow the size of the data."""
 
 from __future__ import annotations
 
@@ -9,31 +9,39 @@ from pyspark.sql import SparkSession
 
 # Stored bytes are compressed; this much of them makes a comfortable shuffle partition.
 BYTES_PER_PARTITION = 64 * 2**20
-# More reducers than this cost the driver more than they save the executors.
-MOST_PARTITIONS = 100_000
+# The driver keeps the block sizes of maps times reducers, so neither may grow without end:
+# at 100 TB these make scan tasks of 1 GB and shuffle partitions of 2 GB, which sorts spill through.
+MOST_SCAN_TASKS = 100_000
+MOST_PARTITIONS = 50_000
+USUAL_SCAN_BYTES = 128 * 2**20
 
+_SCAN = "spark.sql.files.maxPartitionBytes"
 _PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _SKEW = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
 
 
-def shuffle_settings(stored_bytes: int, configured_partitions: int) -> dict[str, str]:
-    """Enough partitions to begin with, which adaptive execution merges where they turn out small.
+def size_settings(stored_bytes: int, configured_partitions: int) -> dict[str, str]:
+    """Settings for jobs over ``stored_bytes`` of files.
 
-    Without this the configured number is also the most there can be, however
-    large the data.  Partitions well over the usual size count as skewed and
-    are split, instead of those over a quarter of a gigabyte only.
+    Shuffles begin with enough partitions, which adaptive execution merges
+    where they turn out small; the configured number would also be the most
+    there can be.  Partitions well over the usual size count as skewed and are
+    split, instead of those over a quarter of a gigabyte only.
     """
     wanted = -(-stored_bytes // BYTES_PER_PARTITION)
-    partitions = max(configured_partitions, min(wanted, MOST_PARTITIONS))
-    return {_PARTITIONS: str(partitions), _SKEW: str(BYTES_PER_PARTITION)}
+    return {
+        _SCAN: str(max(USUAL_SCAN_BYTES, stored_bytes // MOST_SCAN_TASKS)),
+        _PARTITIONS: str(max(configured_partitions, min(wanted, MOST_PARTITIONS))),
+        _SKEW: str(BYTES_PER_PARTITION),
+    }
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+def sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
     """Apply the settings for a while; what the session sets itself is left alone."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = {
-        name: value for name, value in shuffle_settings(stored_bytes, configured).items()
+        name: value for name, value in size_settings(stored_bytes, configured).items()
         if spark.conf.get(name, None) is None
     }
     for name, value in wanted.items():

@@ -1,13 +1,16 @@
+import csv
 import datetime
+import random
 from decimal import Decimal
 
+import pandas
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from starloom.functions.coerce import is_temporal_name, typed
 from starloom.schemas import TABLES
-from starloom.sources.csv import read_csv
+from starloom.sources.csv import read_csv, read_text_columns
 
 CAMPAIGNS = TABLES["stg_marketing_campaigns"].columns
 PRODUCTS = TABLES["stg_products"].columns
@@ -99,3 +102,18 @@ def test_undeclared_columns_follow_the_name_rule(spark):
     declared = type(PRODUCTS)([PRODUCTS["product_id"]])
     row = typed(text, declared).collect()[0]
     assert tuple(row) == (1, None, datetime.datetime(2024, 1, 1), "x")
+
+
+@pytest.mark.parametrize("quoting", [csv.QUOTE_MINIMAL, csv.QUOTE_ALL])
+def test_cells_read_as_pandas_reads_them(spark, tmp_path, quoting):
+    pick = random.Random(quoting)
+    pieces = ["a", " ", '"', ",", "'", "\\", "é", "漢", "NA", "null", "#", "\t", "0", "-", '""', "None", "😀", ";"]
+    rows = [[str(n)] + ["".join(pick.choices(pieces, k=pick.randrange(5))) for _ in range(3)] for n in range(400)]
+    path = tmp_path / "cells.csv"
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        csv.writer(file, quoting=quoting).writerows([["id", "x", "sale date", "z"], *rows])
+    frame = pandas.read_csv(path, dtype=str)
+    expected = [tuple(None if pandas.isna(cell) else cell for cell in row) for row in frame.itertuples(index=False)]
+    read = read_text_columns(spark, str(path))
+    assert read.columns == list(frame.columns)
+    assert sorted(map(tuple, read.collect())) == sorted(expected)

@@ -152,17 +152,21 @@ def test_reading_an_unwritten_table_fails(store):
         store.read("dim_date")
 
 
-def test_shuffles_follow_the_data_and_are_put_back(spark):
+def test_settings_follow_the_data_and_are_put_back(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with sizing.sized_shuffles(spark, 640 * 2**20):
+    with sizing.sized_for(spark, 640 * 2**20):
         assert spark.conf.get(name) == "10"
     assert spark.conf.get(name, None) is None
-    with sizing.sized_shuffles(spark, 5):
+    with sizing.sized_for(spark, 5):
         assert spark.conf.get(name) == spark.conf.get("spark.sql.shuffle.partitions")
-    assert sizing.shuffle_settings(10**14, 200)[name] == "100000"
+    assert sizing.size_settings(10**14, 200) == {
+        name: "50000",
+        "spark.sql.files.maxPartitionBytes": "1000000000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(64 * 2**20),
+    }
     spark.conf.set(name, "3")
     try:
-        with sizing.sized_shuffles(spark, 640 * 2**20):
+        with sizing.sized_for(spark, 640 * 2**20):
             assert spark.conf.get(name) == "3"
         assert spark.conf.get(name) == "3"
     finally:
