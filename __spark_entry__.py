@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -327,6 +328,14 @@ def fact_fk_violations(spark, sf_dir):
     return quality.reference_violations(store.read("fact_sales"), TABLES["fact_sales"], parents)
 
 
+def declared_violations(spark, sf_dir):
+    """Every constraint of every table; the line numbers that stand in for item ids repeat."""
+    store = warehouse(spark, sf_dir)
+    rows = {name: store.read(name) for name in TABLES}
+    checks = [quality.declared_violations(rows[name], table, rows) for name, table in TABLES.items()]
+    return reduce(DataFrame.unionByName, checks)
+
+
 # --- sensors ---------------------------------------------------------------
 
 
@@ -394,6 +403,7 @@ _QUERIES = (
     dim_customer_upsert, dim_product_upsert, dim_campaign_upsert,
     fact_sales, fact_sales_unknown, fact_refresh_twice,
     duplicate_keys, null_violations, length_violations, range_violations, fact_fk_violations,
+    declared_violations,
     sensor_parse, sensor_counts, sensor_counts_stream, sensor_counts_append,
     sales_by_month, sales_by_category, sales_by_city,
 )
@@ -477,6 +487,52 @@ _WINDOWS = """
 _WINDOW_COLUMNS = "strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, n AS sensor_reading_count"
 
 
+# Constraints per table as (rule, columns).
+_CONSTRAINTS = {
+    "stg_customers": [
+        ("repeated", "customer_id"), ("missing", "customer_id"), ("too long", "name email city"),
+    ],
+    "stg_products": [
+        ("repeated", "product_id"), ("missing", "product_id"), ("too long", "product_name category"),
+    ],
+    "stg_marketing_campaigns": [
+        ("repeated", "campaign_id"), ("missing", "campaign_id"), ("too long", "campaign_name channel"),
+    ],
+    "stg_transactions": [("repeated", "transaction_id"), ("missing", "transaction_id")],
+    "stg_transaction_items": [("missing", "transaction_item_id")],
+    "dim_date": [
+        ("repeated", "date_key"), ("too long", "day_name month_name"),
+        ("missing", "date_key full_date day_of_week day_name day_of_month day_of_year month_of_year month_name "
+                    "quarter_of_year year_num is_weekend is_holiday"),
+    ],
+    "dim_customer": [
+        ("repeated", "customer_key customer_id_natural"), ("missing", "customer_key customer_id_natural name"),
+        ("too long", "name email city"),
+    ],
+    "dim_product": [
+        ("repeated", "product_key product_id_natural"), ("missing", "product_key product_id_natural"),
+        ("too long", "product_name category"),
+    ],
+    "dim_campaign": [
+        ("repeated", "campaign_key campaign_id_natural"), ("missing", "campaign_key campaign_id_natural"),
+        ("too long", "campaign_name channel"),
+    ],
+    "fact_sales": [
+        ("missing", "date_key customer_key product_key campaign_key transaction_id_natural quantity price_at_sale "
+                    "total_amount"),
+        ("unknown", "date_key customer_key product_key campaign_key"),
+    ],
+}
+
+
+def _kept_constraints() -> str:
+    """Constraints that hold whatever the data, by the way the tables are made."""
+    return ", ".join(
+        f"('{table}', '{column}', '{rule}', 0)"
+        for table, rules in _CONSTRAINTS.items() for rule, columns in rules for column in columns.split()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     fact_oracle = _fact_oracle()
     return {
@@ -638,6 +694,13 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'customer_key', customer_key, count(*)
             FROM f WHERE customer_key IN (SELECT key FROM gone) GROUP BY 2
         """,
+        "declared_violations": f"""
+            SELECT table_name, column_name, rule, CAST(violations AS BIGINT) AS violations
+            FROM (VALUES {_kept_constraints()}) v(table_name, column_name, rule, violations)
+            UNION ALL
+            SELECT 'stg_transaction_items', 'transaction_item_id', 'repeated', count(*)
+            FROM (SELECT l_linenumber FROM lineitem GROUP BY l_linenumber HAVING count(*) > 1)
+        """,
         "sensor_parse": """
             SELECT CASE WHEN ok AND dated THEN replace(CAST(ts AS VARCHAR), ' ', 'T') END AS date_time,
                    CASE WHEN ok THEN CAST(user_id % 5 + 1 AS INTEGER) END AS city_id,

@@ -83,6 +83,34 @@ def reference_violations(rows: DataFrame, table: Table, parents: dict[str, DataF
     return reduce(DataFrame.unionByName, checks)
 
 
+def declared_violations(rows: DataFrame, table: Table, parents: dict[str, DataFrame]) -> DataFrame:
+    """How often each declared constraint of a table is broken.
+
+    ``table_name, column_name, rule, violations``, one row per constraint, 0
+    where it holds.  Repeated and unknown keys count once per key.
+    """
+
+    def number_of(keys: DataFrame, column: str) -> DataFrame:
+        return keys.agg(F.count(F.lit(1)).alias("violations")).withColumn("column_name", F.lit(column))
+
+    found = [
+        ("repeated", number_of(duplicate_keys(rows, key), key))
+        for key in (table.primary_key, table.natural_key) if key
+    ]
+    if table.required:
+        found.append(("missing", null_counts(rows, table.required)))
+    if table.max_length:
+        found.append(("too long", length_counts(rows, table.max_length)))
+    found += [
+        ("unknown", number_of(orphans(rows, column, parents[parent], parent_key), column))
+        for column, (parent, parent_key) in table.references.items()
+    ]
+    return reduce(DataFrame.unionByName, [
+        counts.select(F.lit(table.name).alias("table_name"), "column_name", F.lit(rule).alias("rule"), "violations")
+        for rule, counts in found
+    ])
+
+
 def enforced(rows: DataFrame, table: Table) -> DataFrame:
     """The declared columns of ``rows``; a NULL or an overlong text fails the job.
 

@@ -182,6 +182,16 @@ def test_checks(spark):
     assert dict(map(tuple, quality.range_counts(wide, {"a": "int", "b": "smallint"}).collect())) == {"a": 1, "b": 1}
     parent = spark.createDataFrame([(1,)], "k bigint")
     assert [tuple(r) for r in quality.orphans(rows, "id", parent, "k").collect()] == [("id", 2, 1)]
+    customers = spark.createDataFrame(
+        [(1, 1, None, "e", "x" * 101), (1, 2, "n", None, None), (None, 2, "m", None, None)],
+        "customer_key bigint, customer_id_natural int, name string, email string, city string",
+    )
+    broken = quality.declared_violations(customers, TABLES["dim_customer"], {}).filter("violations > 0")
+    assert sorted(map(tuple, broken.collect())) == [
+        ("dim_customer", "city", "too long", 1), ("dim_customer", "customer_id_natural", "repeated", 1),
+        ("dim_customer", "customer_key", "missing", 1), ("dim_customer", "customer_key", "repeated", 1),
+        ("dim_customer", "name", "missing", 1),
+    ]
     quality.require_clean(rows.filter("false"), "nothing")
     with pytest.raises(ConstraintViolation, match="rows"):
         quality.require_clean(rows, "rows")
