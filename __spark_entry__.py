@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import moment
@@ -674,7 +674,8 @@ def oracle_sql() -> dict[str, str]:
             FROM customer
         """,
         "length_violations": """
-            SELECT 'product_name' AS column_name, count(*) FILTER (WHERE length(text) > 255) AS violations FROM documents
+            SELECT 'product_name' AS column_name, count(*) FILTER (WHERE length(text) > 255) AS violations
+            FROM documents
             UNION ALL SELECT 'category', count(*) FILTER (WHERE length(source) > 100) FROM documents
         """,
         "range_violations": """

@@ -44,7 +44,8 @@ def typed(rows: DataFrame, declared: T.StructType) -> DataFrame:
     """Type the text columns of a source.
 
     Temporal names are coerced leniently, other declared columns are cast
-    strictly (bad text fails the load), and undeclared columns stay text.  A declared column that the source lacks fails at once.
+    strictly (bad text fails the load), and undeclared columns stay text.  A
+    declared column that the source lacks fails at once.
     """
     absent = [name for name in declared.names if name not in rows.columns]
     if absent:

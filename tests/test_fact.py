@@ -107,17 +107,26 @@ def test_hot_keys_are_split(spark):
         n = 60_000
         hot = F.when(F.col("id") % 3 == 0, 1)
         transactions = spark.range(n, numPartitions=8).select(
-            F.col("id").alias("transaction_id"), hot.otherwise(F.col("id") % 997 + 2).alias("customer_id"),
-            F.lit(DAY).cast("timestamp_ntz").alias("transaction_date"), F.lit(None).cast("decimal(18,2)").alias("total_amount"),
+            F.col("id").alias("transaction_id"),
+            hot.otherwise(F.col("id") % 997 + 2).alias("customer_id"),
+            F.lit(DAY).cast("timestamp_ntz").alias("transaction_date"),
+            F.lit(None).cast("decimal(18,2)").alias("total_amount"),
         )
         items = spark.range(2 * n, numPartitions=8).select(
-            F.col("id").alias("transaction_item_id"), hot.otherwise(F.col("id") % n).alias("transaction_id"),
-            (F.col("id") % 50 + 1).alias("product_id"), F.lit(1).alias("quantity"), F.lit(1).cast("decimal(18,2)").alias("price"),
+            F.col("id").alias("transaction_item_id"),
+            hot.otherwise(F.col("id") % n).alias("transaction_id"),
+            (F.col("id") % 50 + 1).alias("product_id"),
+            F.lit(1).alias("quantity"),
+            F.lit(1).cast("decimal(18,2)").alias("price"),
         )
         customers = spark.range(1, 1000).select(
-            F.col("id").alias("customer_key"), F.col("id").cast("int").alias("customer_id_natural"), F.lit(True).alias("is_current")
+            F.col("id").alias("customer_key"),
+            F.col("id").cast("int").alias("customer_id_natural"),
+            F.lit(True).alias("is_current"),
+        )
+        products = spark.range(1, 51).select(
+            F.col("id").alias("product_key"), F.col("id").cast("int").alias("product_id_natural")
         )
-        products = spark.range(1, 51).select(F.col("id").alias("product_key"), F.col("id").cast("int").alias("product_id_natural"))
         fact = build_fact_sales(transactions, items, customers, products, 2020, 2030)
         assert len(fact.collect()) == 2 * n
         plan = fact._jdf.queryExecution().executedPlan().toString()

@@ -18,7 +18,8 @@ def _write_sources(folder, customers=40, products=10, campaigns=4, transactions=
     pick = random.Random(3)
     names = {
         "customers.csv": ["customer_id,name,email,city,signup_date"] + [
-            f'{i},"Nama, {i}",n{i}@example.com,Kota {i % 5},2024-0{i % 9 + 1}-11 10:20:30' for i in range(1, customers + 1)
+            f'{i},"Nama, {i}",n{i}@example.com,Kota {i % 5},2024-0{i % 9 + 1}-11 10:20:30'
+            for i in range(1, customers + 1)
         ],
         "products.csv": ["product_id,product_name,category,price"] + [
             f"{i},Barang {i},Kategori {i % 3},{i * 5000}" for i in range(1, products + 1)
@@ -31,7 +32,8 @@ def _write_sources(folder, customers=40, products=10, campaigns=4, transactions=
     for t in range(1, transactions + 1):
         lines = [(pick.randint(1, products), pick.randint(1, 3)) for _ in range(pick.randint(1, 6))]
         items += [(t, p, q, p * 5000) for p, q in lines]
-        heads.append(f"{t},{pick.randint(1, customers)},2025-0{t % 9 + 1}-10 12:00:00,{sum(p * 5000 * q for p, q in lines)}")
+        total = sum(p * 5000 * q for p, q in lines)
+        heads.append(f"{t},{pick.randint(1, customers)},2025-0{t % 9 + 1}-10 12:00:00,{total}")
     names["transactions.csv"] = heads
     names["transaction_items.csv"] = ["transaction_item_id,transaction_id,product_id,quantity,price"] + [
         f"{n},{t},{p},{q},{price}" for n, (t, p, q, price) in enumerate(items, 1)
