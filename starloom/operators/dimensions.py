@@ -151,36 +151,33 @@ def upsert(
     ``on_match``.  A natural id that is NULL or occurs twice in the batch fails
     the job: the guards sit in the key column, so no write can skip them.
 
-    Keys are assigned on ids alone, so whole rows are shuffled once: the batch,
-    grouped by id so that copies collapse before the shuffle, meets the
-    existing rows and the newly numbered ids in one join.
+    Repeated ids are looked for and keys assigned on the ids alone, so whole
+    rows are shuffled once, for the join of the batch with its members.
     """
-    attributes = [name for name in incoming.columns if name != natural]
-    batch = incoming.groupBy(natural).agg(
-        F.first(F.struct(*attributes)).alias("_row"), F.count(F.lit(1)).alias("_copies")
-    )
+    repeated = incoming.groupBy(natural).count().filter("count > 1").select(F.max(natural)).scalar()
+    twice = F.raise_error(
+        F.concat(F.lit(f"{natural} occurs twice in one batch: "), repeated.cast("string"))
+    ).cast("long")
+
     new_ids = incoming.select(natural).distinct().join(existing.select(natural), natural, "left_anti")
     last_key = existing.select(F.coalesce(F.max(key), F.lit(0))).scalar()
     members = existing.withColumn("_new", F.lit(False)).unionByName(
         assign_keys(new_ids, key, natural, last_key).withColumn("_new", F.lit(True)), allowMissingColumns=True
     )
-
-    twice = F.raise_error(
-        F.concat(F.lit(f"{natural} occurs twice in one batch: "), F.col(natural).cast("string"))
-    ).cast("long")
-    matched = F.col("_copies").isNotNull()
+    attributes = {name: f"_sent_{name}" for name in incoming.columns if name != natural}
+    batch = incoming.withColumnsRenamed(attributes).withColumn("_sent", F.lit(True))
 
     def column(name: str) -> Column:
         kept = F.col(name)
         if name == natural:
             return kept
         if name == key:
-            return F.when(F.col("_copies") > 1, twice).otherwise(kept)
-        sent = F.col(f"_row.{name}") if name in attributes else None
+            return F.when(repeated.isNotNull(), twice).otherwise(kept)
+        sent = F.col(attributes[name]) if name in attributes else None
         if name in update:
-            kept = F.when(matched, sent).otherwise(kept)
+            kept = F.when(F.col("_sent"), sent).otherwise(kept)
         elif name in on_match:
-            kept = F.when(matched, on_match[name]).otherwise(kept)
+            kept = F.when(F.col("_sent"), on_match[name]).otherwise(kept)
         first = on_insert.get(name, F.lit(None)) if sent is None else sent
         return F.when(F.col("_new"), first).otherwise(kept)
 
