@@ -20,10 +20,10 @@ from starloom.operators.dimensions import (
     new_dimension,
 )
 from starloom.operators.fact import build_fact_sales
-from starloom.operators.quality import reference_violations, require_clean
+from starloom.operators.quality import ConstraintViolation, orphans, require_clean
 from starloom.plans.sizing import sized_for
 from starloom.plans.store import TableStore
-from starloom.schemas import SOURCE_FILES, TABLES
+from starloom.schemas import SOURCE_FILES, TABLES, UNKNOWN_KEY
 from starloom.sources.csv import read_csv
 
 # The years of the calendar, and with it of the fact.
@@ -92,21 +92,30 @@ def refresh_calendar(store: TableStore, first_year: int = FIRST_YEAR, last_year:
 
 def refresh_fact(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
     """Rebuild the whole fact; it replaces the old one only if all its keys resolve."""
-    table = TABLES["fact_sales"]
+    dimensions = {name: store.read(name) for name, _ in TABLES["fact_sales"].references.values()}
     rows = build_fact_sales(
         store.read("stg_transactions"),
         store.read("stg_transaction_items"),
-        store.read("dim_customer"),
-        store.read("dim_product"),
+        dimensions["dim_customer"],
+        dimensions["dim_product"],
         first_year,
         last_year,
     )
+    return store.write("fact_sales", rows, verify=lambda written: _require_references(written, dimensions))
 
-    def references_hold(written: DataFrame) -> None:
-        parents = {name: store.read(name) for name, _ in table.references.values()}
-        require_clean(reference_violations(written, table, parents), "fact_sales has unknown keys")
 
-    return store.write("fact_sales", rows, verify=references_hold)
+def _require_references(fact: DataFrame, dimensions: dict[str, DataFrame]) -> None:
+    """Raise unless every key of a just built fact is in its dimension.
+
+    Apart from dates, keys were read from these very dimensions or are the
+    unknown member's.  So one small column of the fact is scanned, not four,
+    and the unknown members are looked up.
+    """
+    require_clean(orphans(fact, "date_key", dimensions["dim_date"], "date_key"), "fact_sales has unknown keys")
+    for load in DIMENSION_LOADS:
+        key = TABLES[load.table].primary_key
+        if not dimensions[load.table].filter(F.col(key) == UNKNOWN_KEY).take(1):
+            raise ConstraintViolation(f"{load.table} has no unknown member")
 
 
 def transform(

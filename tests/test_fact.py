@@ -91,8 +91,9 @@ def test_null_price_is_kept_for_the_constraint_to_catch(spark):
     assert _fact(spark, [(1, 1, DAY)], [_item(1, price=None)]).collect()[0].total_amount is None
 
 
-def test_hot_keys_are_split(spark):
-    """With shuffle joins only, one transaction and one customer with a third of the rows are split."""
+@pytest.mark.parametrize("customer", [1, None])
+def test_hot_keys_are_split(spark, customer):
+    """With shuffle joins only, one transaction and one (or no) customer with a third of the rows are split."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -108,7 +109,7 @@ def test_hot_keys_are_split(spark):
         hot = F.when(F.col("id") % 3 == 0, 1)
         transactions = spark.range(n, numPartitions=8).select(
             F.col("id").alias("transaction_id"),
-            hot.otherwise(F.col("id") % 997 + 2).alias("customer_id"),
+            F.when(F.col("id") % 3 == 0, customer).otherwise(F.col("id") % 997 + 2).alias("customer_id"),
             F.lit(DAY).cast("timestamp_ntz").alias("transaction_date"),
             F.lit(None).cast("decimal(18,2)").alias("total_amount"),
         )

@@ -131,6 +131,14 @@ def test_fact_with_unknown_dates_is_not_published(spark, store):
     assert pipeline.refresh_fact(store) == 1
 
 
+def test_fact_without_unknown_member_is_not_published(spark, store):
+    pipeline.create_tables(store, LOADED)
+    store.write("dim_campaign", store.read("dim_campaign").filter("campaign_key <> 0"))
+    with pytest.raises(ConstraintViolation, match="dim_campaign"):
+        pipeline.refresh_fact(store)
+    assert store.versions("fact_sales") == [1]
+
+
 def test_calendar_grows_and_keeps_edits(store):
     pipeline.create_tables(store, LOADED)
     assert pipeline.refresh_calendar(store, 2024, 2024) == 366
