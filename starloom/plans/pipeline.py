@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,10 +113,14 @@ def _require_references(fact: DataFrame, dimensions: dict[str, DataFrame]) -> No
     and the unknown members are looked up.
     """
     require_clean(orphans(fact, "date_key", dimensions["dim_date"], "date_key"), "fact_sales has unknown keys")
-    for load in DIMENSION_LOADS:
-        key = TABLES[load.table].primary_key
-        if not dimensions[load.table].filter(F.col(key) == UNKNOWN_KEY).take(1):
-            raise ConstraintViolation(f"{load.table} has no unknown member")
+    seeded = reduce(DataFrame.unionByName, [
+        dimensions[load.table].filter(F.col(TABLES[load.table].primary_key) == UNKNOWN_KEY)
+        .select(F.lit(load.table).alias("table_name"))
+        for load in DIMENSION_LOADS
+    ])
+    absent = {load.table for load in DIMENSION_LOADS} - {row.table_name for row in seeded.collect()}
+    if absent:
+        raise ConstraintViolation(f"no unknown member in {sorted(absent)}")
 
 
 def transform(
