@@ -23,7 +23,7 @@ from starloom.operators.dimensions import (
 from starloom.operators.fact import build_fact_sales
 from starloom.operators.quality import ConstraintViolation, orphans, require_clean
 from starloom.plans.sizing import sized_for
-from starloom.plans.store import TableStore
+from starloom.plans.store import TableStore, file_bytes
 from starloom.schemas import SOURCE_FILES, TABLES, UNKNOWN_KEY
 from starloom.sources.csv import read_csv
 
@@ -55,10 +55,11 @@ def stage_csv(
     store: TableStore, folder: str, files: dict[str, str] = SOURCE_FILES, multiline: bool = False
 ) -> dict[str, int]:
     """Replace the staging tables by the CSV files of a folder."""
-    return stage(store, {
-        name: read_csv(store.spark, f"{folder}/{file}", TABLES[name].columns, multiline)
-        for name, file in files.items()
-    })
+    spark = store.spark
+    with sized_for(spark, sum(file_bytes(spark, f"{folder}/{file}") for file in files.values())):
+        return stage(store, {
+            name: read_csv(spark, f"{folder}/{file}", TABLES[name].columns, multiline) for name, file in files.items()
+        })
 
 
 def _current(store: TableStore, name: str, load_time: datetime.datetime | None) -> DataFrame:
