@@ -14,6 +14,7 @@ from starloom.functions.coerce import typed
 from starloom.operators import dimensions, fact, quality
 from starloom.plans import analytics, pipeline
 from starloom.plans.scratch import shared_folder
+from starloom.plans.sizing import split_hot_keys
 from starloom.plans.store import TableStore
 from starloom.schemas import SOURCE_FILES, TABLES
 from starloom.sources import tpch
@@ -252,6 +253,7 @@ def dim_campaign_upsert(spark, sf_dir):
 
 
 def _fact(spark: SparkSession, sf_dir: str, customers: DataFrame, products: DataFrame) -> DataFrame:
+    split_hot_keys(spark)
     return fact.build_fact_sales(
         tpch.transactions(spark, sf_dir), tpch.transaction_items(spark, sf_dir), customers, products,
         FIRST_YEAR, LAST_YEAR,

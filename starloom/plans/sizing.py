@@ -51,3 +51,9 @@ def sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
     finally:
         for name in wanted:
             spark.conf.unset(name)
+
+
+def split_hot_keys(spark: SparkSession) -> None:
+    """Set the skew threshold for good, for plans that run after their caller is gone."""
+    if spark.conf.get(_SKEW, None) is None:
+        spark.conf.set(_SKEW, str(BYTES_PER_PARTITION))

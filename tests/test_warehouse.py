@@ -174,6 +174,12 @@ def test_settings_follow_the_data_and_are_put_back(spark):
         "spark.sql.files.maxPartitionBytes": "1000000000",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(64 * 2**20),
     }
+    skew = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+    for own, kept in ((None, str(64 * 2**20)), ("1GB", "1GB")):
+        spark.conf.unset(skew) if own is None else spark.conf.set(skew, own)
+        sizing.split_hot_keys(spark)
+        assert spark.conf.get(skew) == kept
+    spark.conf.unset(skew)
     spark.conf.set(name, "3")
     try:
         with sizing.sized_for(spark, 640 * 2**20):
