@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,23 +42,23 @@ def out_of_range(column: str, kind: str) -> Column:
     return ~F.col(column).between(low, high)
 
 
-def _count_per_column(rows: DataFrame, rules: dict[str, Column], counter: Callable[[Column], Column]) -> DataFrame:
-    """``column_name, violations`` of every rule, in one pass over ``rows``."""
-    counts = rows.agg(*[counter(rule).alias(name) for name, rule in rules.items()])
-    return counts.unpivot([], list(rules), "column_name", "violations")
+def _count_broken(rows: DataFrame, rules: dict[str, Column], named: str = "column_name") -> DataFrame:
+    """How many rows break each rule, in one pass: the rule's name and ``violations``."""
+    counts = rows.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    return counts.unpivot([], list(rules), named, "violations")
 
 
 def null_counts(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    return _count_per_column(rows, {name: F.col(name).isNull() for name in columns}, F.count_if)
+    return _count_broken(rows, {name: F.col(name).isNull() for name in columns})
 
 
 def length_counts(rows: DataFrame, limits: dict[str, int]) -> DataFrame:
-    return _count_per_column(rows, {name: too_long(name, limit) for name, limit in limits.items()}, F.count_if)
+    return _count_broken(rows, {name: too_long(name, limit) for name, limit in limits.items()})
 
 
 def range_counts(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Values that do not fit the ``int`` or ``smallint`` column they go to."""
-    return _count_per_column(rows, {name: out_of_range(name, kind) for name, kind in kinds.items()}, F.count_if)
+    return _count_broken(rows, {name: out_of_range(name, kind) for name, kind in kinds.items()})
 
 
 def orphans(rows: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -90,25 +89,24 @@ def declared_violations(rows: DataFrame, table: Table, parents: dict[str, DataFr
     where it holds.  Repeated and unknown keys count once per key.
     """
 
-    def number_of(keys: DataFrame, column: str) -> DataFrame:
-        return keys.agg(F.count(F.lit(1)).alias("violations")).withColumn("column_name", F.lit(column))
+    per_row = {f"missing:{name}": F.col(name).isNull() for name in table.required}
+    per_row |= {f"too long:{name}": too_long(name, limit) for name, limit in table.max_length.items()}
 
-    found = [
-        ("repeated", number_of(duplicate_keys(rows, key), key))
-        for key in (table.primary_key, table.natural_key) if key
+    def counted(rule: str, column: str, keys: DataFrame) -> DataFrame:
+        return keys.agg(F.lit(f"{rule}:{column}").alias("check"), F.count(F.lit(1)).alias("violations"))
+
+    found = [_count_broken(rows, per_row, "check")]
+    found += [
+        counted("repeated", key, duplicate_keys(rows, key)) for key in (table.primary_key, table.natural_key) if key
     ]
-    if table.required:
-        found.append(("missing", null_counts(rows, table.required)))
-    if table.max_length:
-        found.append(("too long", length_counts(rows, table.max_length)))
     found += [
-        ("unknown", number_of(orphans(rows, column, parents[parent], parent_key), column))
+        counted("unknown", column, orphans(rows, column, parents[parent], parent_key))
         for column, (parent, parent_key) in table.references.items()
     ]
-    return reduce(DataFrame.unionByName, [
-        counts.select(F.lit(table.name).alias("table_name"), "column_name", F.lit(rule).alias("rule"), "violations")
-        for rule, counts in found
-    ])
+    parts = F.split("check", ":")
+    return reduce(DataFrame.unionByName, found).select(
+        F.lit(table.name).alias("table_name"), parts[1].alias("column_name"), parts[0].alias("rule"), "violations"
+    )
 
 
 def enforced(rows: DataFrame, table: Table) -> DataFrame:
