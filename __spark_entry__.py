@@ -361,7 +361,7 @@ def sensor_counts(spark, sf_dir):
     return sensors.sensor_counts(_messages(spark, sf_dir))
 
 
-def _run_stream(spark, sf_dir, mode, sink) -> None:
+def _run_stream(spark, sf_dir, mode, sink) -> str:
     folder = _new_store(spark, "stream").root
     sensors.start_sensor_counts(
         _message_stream(spark, sf_dir), f"{folder}/checkpoint", sink(f"{folder}/result"), mode,
