@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,8 @@ def read_text_columns(spark: SparkSession, path: str, multiline: bool = False) -
 
     A line with too few cells ends in NULLs, one with too many fails the read.
     Files are split across tasks.  ``multiline`` allows line breaks inside
-    quoted cells and costs that splitting, so it is off unless asked for.
+    quoted cells and costs that splitting, so it is off unless asked for, and
+    without it such a cell fails the read.
     """
     dialect = {
         "header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"',
@@ -28,13 +29,15 @@ def read_text_columns(spark: SparkSession, path: str, multiline: bool = False) -
     rows = spark.read.schema(schema).options(**dialect, columnNameOfCorruptRecord=_RAGGED).csv(path)
 
     unquoted = F.regexp_replace(_RAGGED, r'"(?:[^"]|"")*"', "")
-    too_long = F.col(_RAGGED).isNotNull() & (F.size(F.split(unquoted, ",")) > len(names))
-    error = F.raise_error(F.concat(F.lit("too many cells in line: "), F.col(_RAGGED))).cast("string")
-
-    def cell(name: str) -> Column:
-        return F.when(too_long, error).otherwise(blank_missing(F.col(f"`{name}`"))).alias(name)
-
-    return rows.select(*[cell(name) for name in names])
+    problem = F.when(F.size(F.split(unquoted, ",")) > len(names), "too many cells in line: ").when(
+        unquoted.rlike(r'(^|,)"|"(,|$)'), "line break in a quoted cell, read with multiline=True: "
+    )
+    # The message names the first cell because Spark refuses a query of ragged lines alone, such as a count.
+    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
+    error = F.raise_error(F.concat(problem, F.col(_RAGGED), F.lit(", first cell: "), first)).cast("boolean")
+    broken = F.col(_RAGGED).isNotNull() & problem.isNotNull()
+    whole = rows.filter(F.when(broken, error).otherwise(True))
+    return whole.select(*[blank_missing(F.col(f"`{name}`")).alias(name) for name in names])
 
 
 def read_csv(spark: SparkSession, path: str, declared: T.StructType, multiline: bool = False) -> DataFrame:

@@ -73,6 +73,19 @@ def test_line_break_in_a_cell_on_request(spark, tmp_path):
     assert read_csv(spark, path, PRODUCTS, multiline=True).collect()[0].product_name == "A\nb"
 
 
+@pytest.mark.parametrize("line", ['1,"A\nb",c,1', '1,x,"A\nb",1', '1,x,c,"A\nb"', '1,"A\nb, c","d",1'])
+def test_line_break_in_a_cell_is_not_read_as_two_lines(spark, tmp_path, line):
+    path = _file(tmp_path, f"product_id,product_name,category,price\n{line}\n")
+    with pytest.raises(FAILED, match="multiline"):
+        read_text_columns(spark, path).collect()
+    assert read_text_columns(spark, path, multiline=True).count() == 1
+
+
+def test_lone_quote_in_a_short_line(spark, tmp_path):
+    path = _file(tmp_path, 'product_id,product_name,category,price\n1,a"b\n')
+    assert tuple(read_text_columns(spark, path).collect()[0]) == ("1", 'a"b', None, None)
+
+
 def test_short_line_is_padded_and_long_line_fails(spark, tmp_path):
     header = "product_id,product_name,category,price\n"
     short = read_csv(spark, _file(tmp_path, header + "1,Baju\n\n2,Topi,Fashion,1\n"), PRODUCTS)
@@ -82,6 +95,8 @@ def test_short_line_is_padded_and_long_line_fails(spark, tmp_path):
     for columns in (["*"], ["product_id"]):
         with pytest.raises(FAILED, match="too many cells"):
             read_csv(spark, long, PRODUCTS).select(*columns).collect()
+    with pytest.raises(FAILED, match="too many cells"):
+        read_csv(spark, long, PRODUCTS).count()
     assert read_csv(spark, _file(tmp_path, header + '1,"a,b"\n'), PRODUCTS).count() == 1
 
 
