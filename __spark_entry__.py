@@ -411,13 +411,29 @@ _QUERIES = (
 )
 
 
+def _llm() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the training-data operators, none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from starloom.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "starloom.llm", "starloom.llm.queries"):
+            raise
+        return {}, {}
+    added = {query.__name__: query for query in llm.QUERIES} | {"pipeline": corpus_pipeline.run}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return added, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The sales fact at sf0.001."""
     return fact_sales(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    return {query.__name__: query for query in _QUERIES} | _llm()[0]
 
 
 # --- the same in SQL -------------------------------------------------------
@@ -537,7 +553,7 @@ def _kept_constraints() -> str:
 
 def oracle_sql() -> dict[str, str]:
     fact_oracle = _fact_oracle()
-    return {
+    return _llm()[1] | {
         "stage_transactions": """
             SELECT o_orderkey + 1 AS transaction_id, o_custkey + 1 AS customer_id,
                    CAST(o_orderdate AS VARCHAR) AS transaction_date,
