@@ -5,18 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import sharding
+from starloom.llm import chat, licenses, packing, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations, read back from the formatted text by its own marks and spans."""
+    probe = "</s>[INST] ok [/INST]"
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema))
+    formatted = chat.format_trees(chat.linear(rows)).withColumn("turns", chat.read_back(F.col("formatted")))
+    said = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    learned = F.array_join(F.transform("loss_spans", lambda s: chat.unescape(
+        F.col("formatted").substr((s.start + 1).cast("int"), s.length.cast("int"))
+    )), "")
+    return formatted.withColumn("loss", learned).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.encode(F.array_join(said, ""), "UTF-8"), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.encode("loss", "UTF-8"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(_table(spark, folder, "documents"), 16).withColumns({
         "law": F.lit(sharding.LAW), "grown_shard": F.lit(None).cast("int"),
     })
 
 
-QUERIES = (op8_sharding,)
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents, packed; the tokenizer's file is a parameter of the operator."""
+    pieces = packing.tokenized(_table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
+QUERIES = (op6_licenses, op7_chat, op8_sharding, op9_packing)
 ORACLE_SQL: dict[str, str] = {}
