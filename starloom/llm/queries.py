@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, licenses, packing, sharding
+from starloom.llm import chat, licenses, packing, scoring, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,5 +53,39 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces)
 
 
-QUERIES = (op6_licenses, op7_chat, op8_sharding, op9_packing)
-ORACLE_SQL: dict[str, str] = {}
+def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scored = scoring.score(_table(spark, folder, "documents"))
+    return scored.select(
+        "doc_id", "n_words", F.round("log_score", 5).alias("log_score"),
+        F.round("mean_log_score", 7).alias("mean_log_score"),
+    )
+
+
+QUERIES = (op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring)
+
+ORACLE_SQL = {
+    "op10_scoring": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), tokens AS (
+            SELECT doc_id, i, words[i] AS word, CASE WHEN i > 1 THEN words[i - 1] END AS before
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM split)
+        ), ones AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
+        twos AS (SELECT before, word, count(*) AS n FROM tokens WHERE before IS NOT NULL GROUP BY before, word),
+        scored AS (
+            SELECT t.doc_id, ln(CASE
+                WHEN t.before IS NULL THEN o.n / (SELECT count(*) FROM tokens)
+                WHEN w.n >= 2 THEN w.n / c.n
+                ELSE 0.4 * o.n / (SELECT count(*) FROM tokens) END) AS score
+            FROM tokens t JOIN ones o ON o.word = t.word
+            LEFT JOIN ones c ON c.word = t.before
+            LEFT JOIN twos w ON w.before = t.before AND w.word = t.word
+        )
+        SELECT d.doc_id, count(s.score) AS n_words, round(coalesce(sum(s.score), 0), 5) AS log_score,
+               round(sum(s.score) / count(s.score), 7) AS mean_log_score
+        FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
+}
