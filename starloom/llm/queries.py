@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, licenses, packing, scoring, sharding
+from starloom.llm import chat, decontaminate, licenses, packing, scoring, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every leak of a benchmark item into a document."""
+    return decontaminate.overlaps(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(_table(spark, folder, "documents"))
 
@@ -61,7 +66,7 @@ def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = (op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring)
+QUERIES = (op1_decontamination, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring)
 
 ORACLE_SQL = {
     "op10_scoring": r"""
