@@ -8,8 +8,6 @@ Each piece then looks up its place by its rank among the pieces of its length.
 from __future__ import annotations
 
 import os
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -19,13 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import partitions, saved
-from starloom.llm.text import NOT_SPACE, slices, span_hashes, text_bytes, words
+from starloom.llm.text import CHUNK, NOT_SPACE, slices, span_hashes, text_bytes, words
 
 CAPACITY = 4096
 END_ID = 1
 # Words whose ids a task remembers; beyond that it starts over.
-REMEMBERED_WORDS = 1_500_000
-SLOT_BITS = 21
+REMEMBERED_WORDS = 400_000
+SLOT_BITS = 19
 
 
 # The special tokens of the vocabulary, which are found in a text before anything else.
@@ -144,11 +142,8 @@ def tokenized(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Python workers outlive their tasks, and so do the words they know.
-        worker = sys.modules.setdefault("_starloom_worker", types.ModuleType("_starloom_worker")).__dict__
-        encoder = worker.setdefault(("WordIds", tokenizer_file), None) or WordIds(tokenizer_file)
-        worker["WordIds", tokenizer_file] = encoder
-        for batch in slices(batches, "text"):
+        encoder = WordIds(tokenizer_file)
+        for batch in slices(batches, "text", CHUNK):
             ids, bounds = encoder.encode(*text_bytes(batch.column("text")))
             sizes = np.diff(bounds)
             pieces = -(-sizes // capacity)

@@ -69,8 +69,8 @@ _tables: dict[str, np.ndarray] = {}
 
 def _power_tables(count: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _tables or len(_tables["up"]) < count:
-        _tables["up"] = powers(max(count, CHUNK))
-        _tables["down"] = powers(max(count, CHUNK), pow(_BASE, -1, 2**64))
+        _tables["up"] = powers(max(count, CHUNK // 2))
+        _tables["down"] = powers(max(count, CHUNK // 2), pow(_BASE, -1, 2**64))
     return _tables["up"], _tables["down"]
 
 
