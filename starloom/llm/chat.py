@@ -62,22 +62,25 @@ def paths(messages: DataFrame) -> DataFrame:
         "conv_id", "msg_id", F.col("km").alias("jump"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("total"), F.lit(1).cast("long").alias("steps"),
     ))
-    levels = [state.select("conv_id", "msg_id", "jump")]
+    levels = [state.filter("jump IS NOT NULL").select("conv_id", "msg_id", "jump")]
     open_rows = state.filter("jump IS NOT NULL").count()
     while open_rows:
         up = state.select(
             F.col("conv_id").alias("uc"), F.col("msg_id").alias("um"), F.col("jump").alias("up_jump"),
             F.col("total").alias("up_total"), F.col("steps").alias("up_steps"),
         )
-        state = saved(state.join(up, _same(F.col("conv_id"), F.col("uc")) & (F.col("jump") == F.col("um")), "left").select(
-            "conv_id", "msg_id", F.col("up_jump").alias("jump"),
-            (F.col("total") + F.coalesce("up_total", F.lit(0.0))).alias("total"),
-            (F.col("steps") + F.coalesce("up_steps", F.lit(0))).alias("steps"),
-        ))
+        # Only messages that have not reached their root take part; ever fewer do.
+        climbed = state.filter("jump IS NOT NULL").join(
+            up, _same(F.col("conv_id"), F.col("uc")) & (F.col("jump") == F.col("um"))
+        ).select(
+            "conv_id", "msg_id", F.col("up_jump").alias("jump"), (F.col("total") + F.col("up_total")).alias("total"),
+            (F.col("steps") + F.col("up_steps")).alias("steps"),
+        )
+        state = saved(state.filter("jump IS NULL").union(climbed))
         still = state.filter("jump IS NOT NULL").count()
         if still == open_rows:  # only cycles are left, where every jump leads on
             break
-        levels.append(state.select("conv_id", "msg_id", "jump"))
+        levels.append(state.filter("jump IS NOT NULL").select("conv_id", "msg_id", "jump"))
         open_rows = still
 
     parents = links.filter("km IS NOT NULL").select(F.col("conv_id").alias("pc"), F.col("km").alias("pm")).distinct()
@@ -94,7 +97,7 @@ def paths(messages: DataFrame) -> DataFrame:
         jumps = level.select(F.col("conv_id").alias("jc"), F.col("msg_id").alias("jm"), "jump")
         chosen = reached.union(
             reached.join(jumps, _same(F.col("conv_id"), F.col("jc")) & (F.col("msg_id") == F.col("jm")))
-            .filter("jump IS NOT NULL").select("conv_id", F.col("jump").alias("msg_id"))
+            .select("conv_id", F.col("jump").alias("msg_id"))
         ).distinct()
     depth = state.select(
         F.col("conv_id").alias("dc"), F.col("msg_id").alias("dm"), (F.col("steps") - 1).alias("depth")
