@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, jaccard, language, licenses, packing, scoring, sharding, vectors
+from starloom.llm import chat, decontaminate, jaccard, language, licenses, packing, repeats, scoring, sharding, vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,13 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(documents, language.train(documents))
 
 
+def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove(_table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link(_table(spark, folder, "documents"))
 
@@ -79,7 +86,7 @@ def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_decontamination, op2_language, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring)
+QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring)
 
 ORACLE_SQL = {
     "op10_scoring": r"""

@@ -26,7 +26,7 @@ BACKOFF = 0.4
 # An n-gram of two words or more counts as seen if it occurs this often; once means here alone.
 LEAST_COUNT = 2
 # Bytes of text in a piece.
-PIECE = 4 * CHUNK
+PIECE = 2 * CHUNK
 
 
 def _grams(hashes: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
@@ -111,7 +111,7 @@ def score(
     """
     spark = documents.sparkSession
     texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    totals = saved(gram_totals(texts, order, 2 * partitions(spark)))
+    totals = saved(gram_totals(texts, order, 4 * partitions(spark)))
     words = totals.filter("piece IS NULL").agg(F.coalesce(F.sum("bucket"), F.lit(0))).first()[0]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
