@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.frames import fresh, joined_if_small, saved
 from starloom.llm.text import ALNUM, mixed, slices, text_bytes, weights, word_hashes
 
 MASKS = ("11011011", "1101001111", "1110010111", "101011011101")
@@ -28,6 +29,8 @@ LEAST_WORDS, LEAST_PART = 13, 0.6
 SHORTEST_ITEM = 5
 # Words of test items that one pass carries to every task; more items take more passes.
 WORDS_PER_PASS = 1_000_000
+# Rows broadcast to a scan of the documents; more are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
 _SIEVE_BITS = 20
 
 
@@ -170,3 +173,14 @@ def overlaps(
         )
         found = leaks if found is None else found.unionByName(leaks)
     return found
+
+
+def without_leaks(
+    documents: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The rows of ``documents`` into which no item leaked, with all their columns."""
+    row = fresh("row", documents.columns)
+    numbered = documents.withColumn(row, F.monotonically_increasing_id())
+    found = overlaps(numbered, benchmark, row, text_column, item_id, item_text)
+    leaked = saved(found.select(F.col("doc_id").alias(row)).distinct())
+    return joined_if_small(numbered, leaked, row, "left_anti", BROADCAST_ROWS).drop(row)

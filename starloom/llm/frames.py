@@ -43,6 +43,14 @@ def drop_saved(*tables: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions, the knob by which a session fits its tasks to its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -77,6 +85,15 @@ def _unplanes(blob: memoryview, kind: str, count: int) -> np.ndarray:
     return np.frombuffer(blob, np.uint8, size * count).reshape(size, count).T.copy().view(kind).ravel()
 
 
+def planes(values: np.ndarray) -> bytes:
+    """An array by byte planes, in any order."""
+    return _planes(values)
+
+
+def unplanes(blob: bytes, kind: str) -> np.ndarray:
+    return _unplanes(memoryview(blob), kind, len(blob) // np.dtype(kind).itemsize)
+
+
 def pack(columns: list[np.ndarray]) -> bytes:
     """Arrays of one length as bytes; the first is a sorted 64-bit key and kept as differences."""
     key = columns[0]

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.text import CHUNK, LETTERS, mixed, slices, span_hashes, text_bytes, words
 
@@ -255,51 +256,66 @@ def train(
     return fit([row.text for row in rows], [row.lang for row in rows])
 
 
+OWN = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
+    T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+    T.StructField("n_words", T.LongType()), T.StructField("n_switches", T.LongType()),
+])
+
+
 def identify(
-    documents: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()
+    documents: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", into: str | None = None
 ) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, n_words, n_switches`` for every row, from the whole text alone.
 
     ``score`` is the mean probability of the predicted language over all words,
     ``n_switches`` how often the likeliest language changes.  A null text or one
     without a letter is ``und`` with a score of 0; so is every text if nothing
-    could be learned.  ``keep`` names columns to pass on.
+    could be learned.  With ``into`` the result is ``documents`` with these
+    values in one more column of that name.
     """
-    kept = {name: kind for name, kind in documents.dtypes if name in keep}
+    schema = documents.schema if into else T.StructType([])
+    # Columns go by number, so that names cannot clash.
+    kept = [F.col(f"`{field.name}`").alias(f"keep_{i}") for i, field in enumerate(schema)]
+    fields = [T.StructField(f"keep_{i}", field.dataType) for i, field in enumerate(schema)]
+    text = f"keep_{documents.columns.index(text_column)}" if into else "text"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = np.array([*model.languages, UNKNOWN], object)
-        for batch in slices(batches, "_text", CHUNK):
-            chances, counts = labelled(batch.column("_text"), model)
+        for batch in slices(batches, text, CHUNK):
+            chances, counts = labelled(batch.column(text), model)
             sizes = np.diff(counts)
             total = np.zeros((len(sizes), max(1, chances.shape[1])))
             some = np.flatnonzero(sizes)
             if len(some) and chances.shape[1]:
                 total[some] = np.add.reduceat(chances, counts[some], axis=0) / sizes[some, None]
             best, score = total.argmax(axis=1), np.clip(total.max(axis=1), 0, 1)
-            data, bounds = text_bytes(batch.column("_text"))
+            data, bounds = text_bytes(batch.column(text))
             latin = np.concatenate([[0], np.cumsum(LETTERS[data] & (data < 0x80))])
             lettered = latin[bounds[1:]] > latin[bounds[:-1]]
             for i in np.flatnonzero(~lettered & (sizes > 0)):
-                lettered[i] = any(map(str.isalpha, batch.column("_text")[int(i)].as_py()))
-            best[~lettered | (len(model.languages) == 0)], score[~lettered] = len(model.languages), 0
+                lettered[i] = any(map(str.isalpha, batch.column(text)[int(i)].as_py()))
+            unknown = ~lettered | (len(model.languages) == 0)
+            best[unknown], score[unknown] = len(model.languages), 0
             top = chances.argmax(axis=1) if chances.shape[1] else np.zeros(len(chances), int)
-            change = np.concatenate([[0], np.cumsum(np.concatenate([[0], np.diff(top) != 0]))]) if len(top) else np.zeros(1, int)
+            change = np.zeros(len(top) + 1, np.int64)
+            change[2:] = np.cumsum(np.diff(top) != 0) if len(top) else 0
             switches = np.where(sizes > 0, change[counts[1:]] - change[np.minimum(counts[:-1] + 1, counts[1:])], 0)
+            names = [field.name for field in fields]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(name) for name in kept), batch.column("_id"), batch.column("_held_out"),
+                    *(batch.column(name) for name in names), batch.column("id"), batch.column("held"),
                     pa.array(languages[best], pa.string()), pa.array(score), pa.array(sizes), pa.array(switches),
                 ],
-                [*kept, "doc_id" if "doc_id" not in kept else "_id", "held_out", "lang_pred", "score", "n_words", "n_switches"],
+                [*names, *OWN.names],
             )
 
-    names = ", ".join(f"`{name}` {kind}" for name, kind in kept.items())
-    own = "doc_id" if "doc_id" not in kept else "_id"
-    return documents.select(
-        *(F.col(name) for name in kept), F.col(id_column).cast("long").alias("_id"),
-        held_out(F.col(id_column)).alias("_held_out"), F.col(text_column).alias("_text"),
-    ).mapInArrow(
-        predict, (names + ", " if names else "")
-        + f"{own} long, held_out boolean, lang_pred string, score double, n_words long, n_switches long"
+    more = [] if into else [F.col(text_column).alias("text")]
+    result = documents.select(
+        *kept, F.col(id_column).cast("long").alias("id"), held_out(F.col(id_column)).alias("held"), *more
+    ).mapInArrow(predict, T.StructType([*fields, *OWN.fields]))
+    if not into:
+        return result
+    return result.select(
+        *(F.col(f"keep_{i}").alias(field.name) for i, field in enumerate(schema)), F.struct(*OWN.names).alias(into)
     )

@@ -36,7 +36,7 @@ def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.link(_table(spark, folder, "documents"))
+    return jaccard.link(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.frames import (
-    bucket_of, by_bucket, gathered, joined_if_small, pack, partitions, saved, unpack_all,
+    bucket_of, by_bucket, fresh, gathered, joined_if_small, pack, partitions, saved, unpack_all,
 )
 from starloom.llm.text import CHUNK, _BASE, _CODES, mixed, slices, span_hashes, text_bytes
 
@@ -480,63 +481,81 @@ def _to_characters(raw: bytes, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+OWN = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
+    T.StructField("n_removed", T.LongType()),
+    T.StructField("spans", T.ArrayType(T.StructType([
+        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
+    ]))),
+    T.StructField("kept", T.BinaryType()), T.StructField("kept_text", T.StringType()),
+])
+
+
 def remove(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = ()
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", into: str | None = None
 ) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, spans, kept, kept_text`` for every row, and the columns named in ``keep``.
+    """``doc_id, n_bytes, n_removed, spans, kept, kept_text`` for every row.
 
     A byte goes if a string of LENGTH bytes that covers it also begins earlier:
     in a smaller id, in an earlier row of the same id, or earlier in the text.
     Matches lie within one text and are those of the input; a null text is empty
     and a null id the smallest.  ``kept`` is what is left, as bytes; ``kept_text``
-    removes whole characters only.  ``documents`` is read three times and must
-    give the same rows in the same order, as a stored table does.
+    removes whole characters only, and is null for a null text.  With ``into``
+    the result is ``documents`` with ``kept_text`` as its text and the other
+    values in one more column of that name.  ``documents`` is read three times and must give the
+    same rows in the same order, as a stored table does.
     """
-    rows = documents.withColumn("_row", F.monotonically_increasing_id())
+    row = fresh("row", documents.columns)
+    rows = documents.withColumn(row, F.monotonically_increasing_id())
     texts = rows.select(
-        F.col("_row").alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+        F.col(row).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
     found = spans(texts)
-    kept = [(name, kind) for name, kind in documents.dtypes if name in keep]
-    together = joined_if_small(
-        rows.select(
-            *(F.col(name).alias(f"keep_{i}") for i, (name, _) in enumerate(kept)), F.col("_row").alias("row"),
-            F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
-        ), found, "row", "left", BROADCAST_ROWS,
-    )
+    schema = [field for field in documents.schema if field.name != text_column] if into else []
+    kept = [F.col(f"`{field.name}`").alias(f"keep_{i}") for i, field in enumerate(schema)]
+    fields = [T.StructField(f"keep_{i}", field.dataType) for i, field in enumerate(schema)]
+    own = [field for field in OWN if not (into and field.name == "kept")]
+    together = joined_if_small(rows.select(
+        *kept, F.col(row).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+    ), found, "row", "left", BROADCAST_ROWS)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK):
             data, bounds = text_bytes(batch.column("text"))
-            out = {name: [] for name in ("n_bytes", "n_removed", "spans", "kept", "kept_text")}
+            out = {field.name: [] for field in own[1:]}
+            missing = batch.column("text").is_null().to_pylist()
             for number, blob in enumerate(batch.column("spans").to_pylist()):
                 raw = data[bounds[number]:bounds[number + 1]].tobytes()
-                own = np.frombuffer(blob, np.int64).reshape(-1, 2).tolist() if blob else []
+                cuts = np.frombuffer(blob, np.int64).reshape(-1, 2).tolist() if blob else []
                 pieces, text, at, text_at = [], [], 0, 0
-                for start, end in own:
+                for start, end in cuts:
                     pieces.append(raw[at:start])
                     at = end
                     start, end = _to_characters(raw, start, end)
                     text.append(raw[text_at:start])
                     text_at = end
                 out["n_bytes"].append(len(raw))
-                out["n_removed"].append(sum(end - start for start, end in own))
-                out["spans"].append([{"start": start, "end": end} for start, end in own])
-                out["kept"].append(b"".join([*pieces, raw[at:]]))
-                out["kept_text"].append(b"".join([*text, raw[text_at:]]))
-            columns = [
-                *(batch.column(f"keep_{i}") for i in range(len(kept))), batch.column("doc_id"),
-                pa.array(out["n_bytes"], pa.int64()), pa.array(out["n_removed"], pa.int64()),
-                pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                pa.array(out["kept"], pa.binary()), pa.array(out["kept_text"], pa.binary()).cast(pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    names = [*(f"keep_{i}" for i in range(len(kept))), "id", "n_bytes", "n_removed", "spans", "kept", "kept_text"]
-    schema = "".join(f"keep_{i} {kind}, " for i, (_, kind) in enumerate(kept))
-    result = together.mapInArrow(
-        apply, schema + "id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, "
-        "kept binary, kept_text string"
-    )
-    own = [F.col("id").alias("doc_id"), "n_bytes", "n_removed", "spans", "kept", "kept_text"]
-    return result.select(*(F.col(f"keep_{i}").alias(name) for i, (name, _) in enumerate(kept)), *own)
+                out["n_removed"].append(sum(end - start for start, end in cuts))
+                out["spans"].append([{"start": start, "end": end} for start, end in cuts])
+                if "kept" in out:
+                    out["kept"].append(b"".join([*pieces, raw[at:]]))
+                out["kept_text"].append(None if missing[number] else b"".join([*text, raw[text_at:]]))
+            kinds = {
+                "spans": pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
+                "kept": pa.binary(), "kept_text": pa.binary(),
+            }
+            columns = {name: pa.array(values, kinds.get(name, pa.int64())) for name, values in out.items()}
+            columns["kept_text"] = columns["kept_text"].cast(pa.string())
+            names = [field.name for field in fields]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in names), batch.column("doc_id"), *columns.values()],
+                [*names, "doc_id", *columns],
+            )
+
+    result = together.mapInArrow(apply, T.StructType([*fields, *own]))
+    if not into:
+        return result
+    values = F.struct(*(field.name for field in own)).alias(into)
+    back = {field.name: F.col(f"keep_{i}").alias(field.name) for i, field in enumerate(schema)}
+    back[text_column] = F.col("kept_text").alias(text_column)
+    return result.select(*(back[name] for name in documents.columns), values)
