@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import fresh, joined_if_small, saved
-from starloom.llm.text import ALNUM, mixed, slices, text_bytes, weights, word_hashes
+from starloom.llm.frames import fresh, joined_if_small, saved, small_batches
+from starloom.llm.text import ALNUM, CHUNK, mixed, slices, text_bytes, weights, word_hashes
 
 MASKS = ("11011011", "1101001111", "1110010111", "101011011101")
 # An alignment is verified along the stretch that scores best with these.
@@ -131,7 +131,7 @@ def overlaps(
     # Blanks bound the words of an item from above, give or take its marks.
     size = items.agg(F.coalesce(F.sum(F.length("item_text")), F.lit(0))).first()[0] // 2
     passes = max(1, -(-size // WORDS_PER_PASS))
-    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    texts = small_batches(documents).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     found = None
     for number in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(passes)) == number).toArrow()
@@ -141,7 +141,7 @@ def overlaps(
 
         def find(batches: Iterator[pa.RecordBatch], carried=carried) -> Iterator[pa.RecordBatch]:
             tested = Items(*carried.value)
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", CHUNK):
                 hashes, counts = _hashed(batch.column("text"))
                 together: dict[tuple[int, int], list] = {}
                 for text, item, shift in tested.hits(hashes, counts).tolist():

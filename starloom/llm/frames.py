@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starloom.plans.scratch import shared_folder
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _folders: dict[str, str] = {}
 _numbers = itertools.count()
 
@@ -25,9 +26,20 @@ def scratch(spark: SparkSession) -> str:
     return _folders[app]
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """Let the session send batches of few bytes to Python, unless it sets them itself.
+
+    Texts may be long, and a batch is held by the JVM and by Python.
+    """
+    conf = rows.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(4 << 20))
+    return rows
+
+
 def saved(rows: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read again: the end of their lineage."""
-    spark = rows.sparkSession
+    spark = small_batches(rows).sparkSession
     folder = f"{scratch(spark)}/{next(_numbers):05d}"
     rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
@@ -146,24 +158,64 @@ def gathered(batches: Iterator[list[np.ndarray]], limit: int = 4_000_000) -> Ite
 
 def by_bucket(packed: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """Apply a function to all blobs of one bucket.  There are as many buckets as the data needs."""
-    return packed.groupBy("bucket").applyInArrow(work, schema)
+    return small_batches(packed).groupBy("bucket").applyInArrow(work, schema)
 
 
 # --- connected components ------------------------------------------------------
 
 
+# Edges that one task joins at once; more are joined in rounds.
+EDGES_AT_ONCE = 1_000_000
+
+
+def _roots(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids on some edges and the smallest id each of them reaches."""
+    ids, places = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y = places[:len(x)], places[len(x):]
+    root = np.arange(len(ids))
+    while True:
+        low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        open_edges = low != high
+        if not open_edges.any():
+            return ids, ids[root]
+        np.minimum.at(root, high[open_edges], low[open_edges])
+        while True:
+            further = root[root]
+            if (further == root).all():
+                break
+            root = further
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of one partition as edges to the smallest ids they reach among themselves."""
+    for x, y in gathered(([batch.column(0).to_numpy(), batch.column(1).to_numpy()] for batch in batches), EDGES_AT_ONCE):
+        ids, roots = _roots(x, y)
+        yield pa.record_batch({"x": pa.array(ids[ids != roots]), "y": pa.array(roots[ids != roots])})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over the edges (a, b); ids without an edge are absent.
 
-    Large-star and small-star rounds: each round hangs all neighbours of an id on
-    the smallest of them, until nothing changes.  Minima are taken map-side, so
-    an id with very many neighbours costs no more than its edges.
+    Each partition first joins what its own edges connect.  If few edges are
+    left, one task joins them all.  More go through large-star and small-star
+    rounds: each round hangs all neighbours of an id on the smallest of them,
+    until nothing changes.  Minima are taken map-side, so an id with very many
+    neighbours costs no more than its edges.
     """
-    spark = edges.sparkSession
     pairs = saved(
-        edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y").distinct()
+        edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y")
+        .mapInArrow(_joined, "x long, y long")
     )
-    last = None
+    if small(pairs, EDGES_AT_ONCE):
+        pairs = saved(pairs.coalesce(1).mapInArrow(_joined, "x long, y long"))
+    else:
+        pairs = _rounds(pairs.distinct())
+    ids = pairs.select(F.col("x").alias("id"), F.col("y").alias("component"))
+    return ids.union(pairs.select(F.col("y").alias("id"), F.col("y").alias("component")).distinct())
+
+
+def _rounds(pairs: DataFrame) -> DataFrame:
+    pairs, last = saved(pairs), None
     while True:
         both = pairs.union(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
         lowest = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m"))
@@ -176,7 +228,5 @@ def components(edges: DataFrame) -> DataFrame:
         state = tuple(pairs.agg(F.count("x"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
         drop_saved(before, large)
         if state == last:
-            break
+            return pairs
         last = state
-    ids = pairs.select(F.col("x").alias("id"), F.col("y").alias("component"))
-    return saved(ids.union(pairs.select(F.col("y").alias("id"), F.col("y").alias("component")).distinct()))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import partitions, saved
+from starloom.llm.frames import partitions, saved, small_batches
 from starloom.llm.text import CHUNK, NOT_SPACE, slices, span_hashes, text_bytes, words
 
 CAPACITY = 4096
@@ -166,7 +166,7 @@ def tokenized(
             yield pa.record_batch(columns)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return documents.select(
+    return small_batches(documents).select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     ).mapInArrow(cut, schema)
 

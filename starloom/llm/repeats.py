@@ -97,11 +97,12 @@ def stretches(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     )
 
 
-def _pieces(bounds: np.ndarray, limit: int = CHUNK // 2) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+def _pieces(bounds: np.ndarray, limit: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts grouped to at most about ``limit`` bytes, long ones cut so that each string lies in one part.
 
     Gives the bytes from and to, the bounds of the texts' parts in them, and the texts' numbers.
     """
+    limit = limit or CHUNK // 4
     sizes = np.diff(bounds)
     number = 0
     while number < len(sizes):
@@ -187,7 +188,7 @@ def _found(texts: DataFrame, buckets: int) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[list[np.ndarray]]:
-            for batch in slices(batches, "text", 2 * CHUNK):
+            for batch in slices(batches, "text", CHUNK):
                 data, bounds = text_bytes(batch.column("text"))
                 doc = batch.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
                 row = batch.column("row").to_numpy(zero_copy_only=False)
@@ -203,7 +204,7 @@ def _found(texts: DataFrame, buckets: int) -> DataFrame:
                         count.astype(np.uint32) | np.where(twice, _FLAG, np.uint32(0)),
                     ]
 
-        for number, batch in enumerate(gathered(records(), 1_000_000)):
+        for number, batch in enumerate(gathered(records(), 500_000)):
             batch = _in_order(batch)
             again = _again(batch)
             if again.any():
@@ -424,7 +425,7 @@ def _indexed(texts: DataFrame, requests: DataFrame, buckets: int) -> DataFrame:
         new = np.flatnonzero(np.diff(key[order])) + 1
         tables, low = [], 0
         while low < len(order):
-            limit = (sizes[low - 1] if low else 0) + CHUNK // 2
+            limit = (sizes[low - 1] if low else 0) + CHUNK // 8
             high = int(new[np.searchsorted(new, np.searchsorted(sizes, limit), side="right") - 1]) if len(new) else 0
             if high <= low:
                 after = new[new > low]
