@@ -127,6 +127,7 @@ class Rule:
     keywords: frozenset  # any one of these words must be there
     gate: str  # and this word, if any
     confidence: float
+    must: bytes = b""  # what the words found must hold
 
 
 def _compiled(pattern: str) -> re.Pattern:
@@ -154,11 +155,12 @@ def rules() -> list[Rule]:
             (0, rf"spdx license identifier (?:[a-z0-9]+ ){{0,12}}?(?:{identifier})(?: only| or later)?", "spdx", 1.0),
             (1, rf"{_GRANT} (?:{name}|{identifier})(?: public)?(?: licen[cs]e)?(?: or any later version| or later)?", "", 0.95),
             (2, rf"https? (?:www )?[a-z0-9]+ (?:org|com|net|io) (?:[a-z0-9]+ ){{0,3}}licenses? (?:{link})", "licenses", 0.9),
-            (3, rf"(?:the )?(?:{name})(?: licen[cs]e)", "", 0.8),
+            (3, rf"(?:the )?(?:{name})(?: licen[cs]e)?", "", 0.8),
             (4, rf"licen[cs]e (?:is )?(?:{identifier})|(?:{identifier}) licen[cs]ed?", "", 0.7),
         )
         for priority, pattern, gate, confidence in forms:
-            found.append(Rule(priority, label, _compiled(pattern), words, gate.encode(), confidence))
+            must = b"licen" if priority == 3 else b""  # a bare name may be any word
+            found.append(Rule(priority, label, _compiled(pattern), words, gate.encode(), confidence, must))
     for label, pattern, keywords, confidence in NOTICES:
         words = frozenset(word.encode() for word in keywords.split("|"))
         found.append(Rule(5, label, _compiled(pattern), words, b"", confidence))

@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.frames import small_batches
 from starloom.llm.license_rules import BASE_PHRASES, Rule, rules
-from starloom.llm.text import _LOWER, ALNUM, slices, text_bytes, words
+from starloom.llm.text import _LOWER, ALNUM, CHUNK, slices, text_bytes, words
 
 _BLANK, _END = 0x20, 0x0A
 _NORMAL = np.where(ALNUM, _LOWER, np.uint8(_BLANK)).astype(np.uint8)
@@ -78,7 +79,10 @@ def detections(text: bytes, by_word: dict[bytes, list[Rule]]) -> list[tuple[int,
     for rule in {id(rule): rule for word in have for rule in by_word.get(word, ())}.values():
         if rule.gate and rule.gate not in have:
             continue
-        found += [(*match.span(), rule.priority, rule.label, rule.confidence) for match in rule.regex.finditer(text)]
+        found += [
+            (*match.span(), rule.priority, rule.label, rule.confidence)
+            for match in rule.regex.finditer(text) if rule.must in match.group()
+        ]
     if not found:
         return []
     start = np.searchsorted(breaks, [f[0] for f in found], side="right")
@@ -102,7 +106,7 @@ def scan(documents: DataFrame, id_column: str = "doc_id", text_column: str = "te
         for rule in rules():
             for word in rule.keywords:
                 by_word[word].append(rule)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", CHUNK):
             data, bounds = text_bytes(batch.column("text"))
             _, _, counts = words(data, bounds, ALNUM)
             text, begin = normalised(data, bounds)
@@ -143,7 +147,7 @@ def scan(documents: DataFrame, id_column: str = "doc_id", text_column: str = "te
             ("first_word", pa.int64()), ("end_word", pa.int64()), ("label", pa.string()), ("confidence", pa.float64()),
         ])),
     }
-    return documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(
+    return small_batches(documents).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(
         find,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, findings array<struct<first_word: long, end_word: long, label: string, confidence: double>>",
