@@ -14,12 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import bucket_of, pack, partitions, saved, unpack
-from starloom.llm.text import CHUNK, NOT_SPACE, mixed, slices, text_bytes, weights, word_hashes
+from starloom.llm.frames import bucket_of, pack, partitions, planes, saved, small_batches, unpack, unplanes
+from starloom.llm.text import CHUNK, NOT_SPACE, mixed, text_bytes, weights, word_hashes
 
 ORDER = 2
 BACKOFF = 0.4
@@ -46,11 +47,23 @@ def _places(counts: np.ndarray) -> np.ndarray:
     return np.arange(counts[-1]) - np.repeat(counts[:-1], np.diff(counts))
 
 
-def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Pieces of a partition with their numbers, the same in each pass over the same files."""
-    task = TaskContext.get().partitionId()
-    for number, piece in enumerate(slices(batches, "text", PIECE)):
-        yield task << 32 | number, piece
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """Pieces of a partition with their numbers, which depend on the texts before them and on nothing else."""
+    task, before, last, held = TaskContext.get().partitionId(), 0, None, []
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = (before + np.cumsum(size) - size) // PIECE
+        before += int(size.sum())
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+        for low, high in zip(cuts, cuts[1:]):
+            if held and number[low] != last:
+                yield task << 32 | last, pa.Table.from_batches(held)
+                held = []
+            if high > low:
+                last = int(number[low])
+                held.append(batch.slice(low, high - low))
+    if held:
+        yield task << 32 | last, pa.Table.from_batches(held)
 
 
 def gram_totals(texts: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -80,7 +93,7 @@ def gram_totals(texts: DataFrame, order: int, buckets: int) -> DataFrame:
         keys, inverse = np.unique(np.concatenate([row[0] for row in rows]), return_inverse=True)
         totals = np.bincount(inverse, np.concatenate([row[1] for row in rows]), len(keys)).astype(np.uint64)
         ends = np.cumsum([len(row[0]) for row in rows])
-        blobs = [pack([totals[inverse[end - len(row[0]):end]]]) for row, end in zip(rows, ends)]
+        blobs = [planes(totals[inverse[end - len(row[0]):end]]) for row, end in zip(rows, ends)]
         pieces, gram = table.column("piece").to_pylist(), table.column("gram")[0].as_py()
         part = table.column("part")[0].as_py()
         if gram == 1:
@@ -110,22 +123,20 @@ def score(
     are scored like any others.
     """
     spark = documents.sparkSession
-    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    texts = small_batches(documents).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     totals = saved(gram_totals(texts, order, 4 * partitions(spark)))
     words = totals.filter("piece IS NULL").agg(F.coalesce(F.sum("bucket"), F.lit(0))).first()[0]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, batch in _labelled(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([piece] * batch.num_rows, pa.int64()), *batch.columns], ["piece", "doc_id", "text"]
-            )
+            yield from batch.add_column(0, "piece", pa.array([piece] * batch.num_rows, pa.int64())).to_batches()
 
     def summed(texts: pa.Table, answers: pa.Table) -> pa.Table:
         hashes, counts = word_hashes(*text_bytes(texts.column("text")), NOT_SPACE)
         place, own = _places(counts), {}
         answers = answers.sort_by([("gram", "ascending"), ("bucket", "ascending")])
         for gram, blob in zip(answers.column("gram").to_pylist(), answers.column("blob").to_pylist()):
-            own.setdefault(gram, []).append(unpack(blob, ["u8"])[0])
+            own.setdefault(gram, []).append(unplanes(blob, "u8"))
         shorter, result = None, np.zeros(len(hashes))
         for size, gram in enumerate(_grams(hashes, counts, order), 1):
             at = np.flatnonzero(place >= size - 1)
