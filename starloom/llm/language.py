@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.frames import small_batches
 from starloom.llm.text import CHUNK, LETTERS, mixed, slices, span_hashes, text_bytes, words
 
 UNKNOWN = "und"
@@ -251,8 +252,13 @@ def train(
     usable = documents.filter(
         ~held_out(F.col(id_column)) & F.col(language_column).isNotNull() & F.col(text_column).isNotNull()
         & F.col(id_column).isNotNull() & (F.length(text_column) <= SAMPLE_CHARACTERS)
-    ).select(F.col(text_column).alias("text"), F.col(language_column).alias("lang"), F.col(id_column).alias("id"))
-    rows = usable.orderBy(F.xxhash64("id", "text"), "lang").limit(SAMPLE_TEXTS).collect()
+    ).select(
+        F.col(text_column).alias("text"), F.col(language_column).alias("lang"), F.xxhash64(id_column, text_column).alias("draw")
+    )
+    # Somewhat more than are wanted are drawn by hash, so that no task offers more than its share.
+    chance = min(1.0, 1.3 * SAMPLE_TEXTS / max(1, usable.count()))
+    drawn = usable.filter(F.pmod(F.xxhash64("draw"), F.lit(1 << 30)) <= int(chance * (1 << 30)))
+    rows = drawn.orderBy("draw", "lang").limit(SAMPLE_TEXTS).collect()
     return fit([row.text for row in rows], [row.lang for row in rows])
 
 
@@ -282,7 +288,7 @@ def identify(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = np.array([*model.languages, UNKNOWN], object)
-        for batch in slices(batches, text, CHUNK):
+        for batch in slices(batches, text, CHUNK // 2):
             chances, counts = labelled(batch.column(text), model)
             sizes = np.diff(counts)
             total = np.zeros((len(sizes), max(1, chances.shape[1])))
@@ -311,7 +317,7 @@ def identify(
             )
 
     more = [] if into else [F.col(text_column).alias("text")]
-    result = documents.select(
+    result = small_batches(documents).select(
         *kept, F.col(id_column).cast("long").alias("id"), held_out(F.col(id_column)).alias("held"), *more
     ).mapInArrow(predict, T.StructType([*fields, *OWN.fields]))
     if not into:
