@@ -1,0 +1,69 @@
+import re
+
+from starloom.llm import licenses, license_rules
+
+SCHEMA = "doc_id long, text string, labels string, n_words int"
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def _scan(spark, texts):
+    rows = [(i, text, "x", 1) for i, text in enumerate(texts)]
+    return sorted(licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda r: r.doc_id)
+
+
+def _brute(text):
+    words = WORD.findall(bytes(text or "", "utf-8").lower())
+    places = sorted(
+        (i, label) for phrase, label in license_rules.BASE_PHRASES.items() for i in range(len(words))
+        if words[i:i + len(phrase.split())] == phrase.encode().split()
+    )
+    return len(words), [i for i, _ in places], ",".join(sorted({label for _, label in places}))
+
+
+TEXTS = [
+    None, "", "no words here", "Under the MIT-License! under  the\nmit license", "xunder the mit license", "CC BY NC",
+    "Licensed under the Apache License, Version 2.0.", "cc, by. nc? cc by nc 4.0", "é cc by nc é", "cc by ncé",
+    "apache license version 2" + " x" * 40_000 + " apache license version 2", "under the mit licenses",
+    "SPDX-License-Identifier: GPL-3.0-or-later", "GNU General Public License, version 3", "All rights reserved.",
+    "see the BSD 3-Clause License and the 3-clause BSD license", "cc", "under the mit", "license",
+]
+
+
+def test_base_phrases_as_by_brute_force(spark):
+    for r, text in zip(_scan(spark, TEXTS), TEXTS):
+        words, places, labels = _brute(text)
+        assert (r.n_words, r.n_base, r.base_labels) == (words, len(places), labels), text
+        assert (r.first_word, r.last_word) == ((places[0], places[-1]) if places else (None, None))
+        assert set(filter(None, labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+
+
+def test_rules_add_labels_and_suppress_what_lies_inside(spark):
+    found = {text: r for r, text in zip(_scan(spark, TEXTS), TEXTS)}
+    assert found["SPDX-License-Identifier: GPL-3.0-or-later"].labels == "gpl-3.0"
+    assert found["SPDX-License-Identifier: GPL-3.0-or-later"].score == 1.0
+    assert found["GNU General Public License, version 3"].labels in ("gpl", "gpl-3.0")
+    assert found["Licensed under the Apache License, Version 2.0."].labels == "apache-2,apache-2.0"
+    assert found["All rights reserved."].labels == "proprietary"
+    assert found["see the BSD 3-Clause License and the 3-clause BSD license"].labels == "bsd-3-clause"
+    assert found["no words here"].labels == "" and found["no words here"].findings == []
+
+
+def test_there_are_hundreds_of_rules_and_the_prefilter_misses_none():
+    found = license_rules.rules()
+    assert len(found) > 300
+    assert [rule.priority for rule in found] == sorted(rule.priority for rule in found)
+    for name, (long, _, _) in license_rules.LICENSES.items():
+        text = re.sub(r"\(\?:([^()|]*)[^()]*\)\??", r"\1", long.split("|")[0]).replace("?", "").replace("  ", " ")
+        assert any(word in f"licensed under the {text} license".encode() for word in licenses.PREFILTER), name
+
+
+def test_containment():
+    import numpy as np
+
+    start, end = np.array([0, 2, 5, 0, 8]), np.array([6, 4, 9, 6, 9])
+    kept = licenses._uncontained(start, end, np.array([1, 2, 1, 1, 3]))
+    assert kept.tolist() == [True, False, True, True, False]
+
+
+def test_empty_table(spark):
+    assert _scan(spark, []) == []

@@ -1,0 +1,85 @@
+import numpy as np
+import pytest
+
+from starloom.llm import vectors
+
+SCHEMA = "vec_id long, embedding array<float>, label int, row long, bucket string"
+
+
+def _check(spark, rows, least=1.0):
+    frame = spark.createDataFrame([(i, v, 1, 2, "b") for i, v in rows], SCHEMA)
+    found = vectors.near_duplicates(frame).collect()
+    assert len(found) == len(rows)
+    good = []
+    for i, v in rows:
+        v = np.array([np.nan if x is None else x for x in v], np.float32).astype(float) if v else np.zeros(0)
+        size = np.linalg.norm(v)
+        good.append(v / size if len(v) and np.isfinite(v).all() and size > 0 else None)
+    parent, links = list(range(len(rows))), [0] * len(rows)
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if good[i] is not None and good[j] is not None and len(good[i]) == len(good[j]):
+                if good[i] @ good[j] >= 0.9:
+                    links[i] += 1
+                    links[j] += 1
+                    parent[root(i)] = root(j)
+    ids = {}
+    for i, (name, _) in enumerate(rows):
+        ids.setdefault(root(i), []).append(name)
+    expected = sorted((name, links[i], min(x for x in ids[root(i)])) for i, (name, _) in enumerate(rows))
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+    if least == 1.0:
+        assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == expected
+    assert sum(r.n_links for r in found) >= least * sum(links)
+    assert sum(r.n_links for r in found) <= sum(links)
+
+
+def _families(seed, families, members, noise, size=32):
+    draw = np.random.default_rng(seed)
+    rows = []
+    for _ in range(families):
+        base = draw.normal(size=size)
+        for _ in range(members):
+            rows.append((len(rows), (base + noise * draw.normal(size=size)).astype(np.float32).tolist()))
+    return rows
+
+
+def test_links_as_by_brute_force(spark):
+    _check(spark, _families(1, 40, 6, 0.1))
+
+
+def test_recall_at_the_threshold(spark):
+    _check(spark, _families(2, 100, 5, 0.33), least=0.9)
+
+
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 20)
+    _check(spark, _families(3, 2, 90, 0.05))
+
+
+def test_odd_rows(spark):
+    one = [1.0, 2.0, 3.0]
+    rows = [
+        (1, one), (2, [2.0, 4.0, 6.0]), (3, None), (4, []), (5, [0.0, 0.0, 0.0]), (6, [1.0, None, 3.0]),
+        (7, [1.0, float("nan"), 3.0]), (8, [float("inf"), 1.0, 1.0]), (9, [1.0, 2.0]), (10, [1.0, 2.0, 3.0, 0.0]),
+        (2, one), (11, [-1.0, -2.0, -3.0]), (12, [1e-30, 2e-30, 3e-30]), (13, [1e30, 2e30, 3e30]),
+    ]
+    _check(spark, rows)
+
+
+def test_empty_table_and_one_row(spark):
+    _check(spark, [])
+    _check(spark, [(1, [1.0, 0.0])])
+
+
+@pytest.mark.parametrize("count", [10, 10_000, 10**9])
+def test_tables_reach_the_stated_recall(count):
+    cells, tables = vectors.tables_for(count)
+    near = vectors.collision((2 - 2 * vectors.THRESHOLD) ** 0.5) ** cells
+    assert (1 - near) ** tables <= vectors.MISSED
