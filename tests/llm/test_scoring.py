@@ -10,7 +10,8 @@ SCHEMA = "doc_id long, text string, piece long, n_words int"
 
 
 def _brute(texts, order):
-    split = [[w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")] for text in texts]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = [re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(lower)) for text in texts]
     counts = Counter(
         tuple(words[i:i + n]) for words in split for n in range(1, order + 1) for i in range(len(words) - n + 1)
     )
