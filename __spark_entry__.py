@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import moment
 from starloom.functions.coerce import typed
 from starloom.operators import dimensions, fact, quality
 from starloom.plans import analytics, pipeline
-from starloom.plans.scratch import shared_folder
-from starloom.plans.sizing import split_hot_keys
-from starloom.plans.store import TableStore
+from starloom.plans.scratch import dropped_at_exit, shared_folder
+from starloom.plans.sizing import sized
+from starloom.plans.store import TableStore, file_bytes
 from starloom.schemas import SOURCE_FILES, TABLES
 from starloom.sources import tpch
 from starloom.streaming import sensors
@@ -41,7 +41,7 @@ _folders: dict[str, str] = {}
 def _scratch(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _folders:
-        _folders[app] = shared_folder(spark)
+        _folders[app] = dropped_at_exit(spark, shared_folder(spark))
     return _folders[app]
 
 
@@ -53,12 +53,12 @@ def _new_store(spark: SparkSession, purpose: str) -> TableStore:
 def warehouse(spark: SparkSession, sf_dir: str) -> TableStore:
     """The star of one data folder, loaded once per application by the pipeline."""
     place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _warehouses or not _warehouses[place].exists("fact_sales"):
+    if place not in _warehouses or not _warehouses[place].within(spark).exists("fact_sales"):
         store = _new_store(spark, "warehouse")
         pipeline.stage(store, tpch.staging(spark, sf_dir))
         pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
         _warehouses[place] = store
-    return _warehouses[place]
+    return _warehouses[place].within(spark)
 
 
 # --- staging ---------------------------------------------------------------
@@ -104,14 +104,41 @@ def csv_products(spark, sf_dir):
     return _through_csv(spark, "stg_products", source)
 
 
+def csv_short_lines(spark, sf_dir):
+    """Lines that end after a long quoted cell: the cells they lack are NULL."""
+    name = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ")
+    lines = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.concat((F.col("doc_id") + 1).cast("string"), F.lit(',"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
+        .alias("product_id,product_name,category,price")
+    )
+    store, file = _new_store(spark, "csv"), SOURCE_FILES["stg_products"]
+    lines.write.csv(f"{store.root}/source/{file}", header=True, sep="\x01", quote="")
+    pipeline.stage_csv(store, f"{store.root}/source", {"stg_products": file})
+    return store.read("stg_products")
+
+
+def _written_dates(status) -> Column:
+    """Order dates as exports write them: ISO, with an offset, by month names, with slashes, packed; or no dates."""
+    when, number = F.col("o_orderdate").cast("timestamp_ntz"), F.col("o_orderkey") % 6
+    shifted = F.date_format(when + F.expr("INTERVAL 7 HOURS"), "yyyy-MM-dd'T'HH:mm:ss")
+    return (
+        F.when((status == "O") & (number < 3), F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(status == "O", F.concat(shifted, F.lit("+07:00")))
+        .when((status == "P") & (number < 2), F.date_format(when, "yyyy-MM-dd"))
+        .when(status == "P", F.date_format(when, "MM/dd/yyyy"))
+        .when(number == 0, F.date_format(when, "yyyyMMdd"))
+        .when(number == 1, F.date_format(when, "MMM d yyyy"))
+        .when(number == 2, F.date_format(when, "M/d/yyyy H:mm:ss"))
+        .otherwise("bad")
+    )
+
+
 def date_coercion(spark, sf_dir):
-    """Text columns typed by name: some dates are ISO, some plain, some not dates."""
+    """Text columns typed by name; whole numbers written with a fraction of zeros."""
     status = F.col("o_orderstatus")
     text = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        F.col("o_orderkey").cast("string").alias("transaction_id"),
-        F.when(status == "O", F.replace(F.col("o_orderdate").cast("string"), F.lit(" "), F.lit("T")))
-        .when(status == "P", F.col("o_orderdate").cast("date").cast("string"))
-        .otherwise("bad").alias("Order_Date"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit(".0")).alias("transaction_id"),
+        _written_dates(status).alias("Order_Date"),
         F.col("o_orderpriority").alias("lead_time"),
         F.col("o_orderpriority").alias("priority"),
         F.col("o_totalprice").cast("string").alias("total_amount"),
@@ -136,15 +163,30 @@ def row_counts(spark, sf_dir):
     return scanned
 
 
+_COUNTS = """
+    SELECT 'staging.stg_customers' AS table_name, count(*) AS row_count FROM staging.stg_customers
+    UNION ALL SELECT 'dwh.dim_customer', count(*) FROM dwh.dim_customer
+    UNION ALL SELECT 'dwh.dim_date', count(*) FROM dwh.dim_date
+    UNION ALL SELECT 'dwh.fact_sales', count(*) FROM dwh.fact_sales
+"""
+
+
 def verify_counts(spark, sf_dir):
     """Row counts asked in SQL of the registered tables."""
     warehouse(spark, sf_dir).register()
-    return spark.sql("""
-        SELECT 'staging.stg_customers' AS table_name, count(*) AS row_count FROM staging.stg_customers
-        UNION ALL SELECT 'dwh.dim_customer', count(*) FROM dwh.dim_customer
-        UNION ALL SELECT 'dwh.dim_date', count(*) FROM dwh.dim_date
-        UNION ALL SELECT 'dwh.fact_sales', count(*) FROM dwh.fact_sales
-    """)
+    return spark.sql(_COUNTS)
+
+
+def verify_counts_reloaded(spark, sf_dir):
+    """The same counts where the tables were registered before their second load, which brings more customers."""
+    store, sources = _new_store(spark, "reloaded"), tpch.staging(spark, sf_dir)
+    first = sources | {"stg_customers": sources["stg_customers"].filter("customer_id % 2 = 0")}
+    pipeline.stage(store, first)
+    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
+    store.register()
+    pipeline.stage(store, sources)
+    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, RELOADED)
+    return spark.sql(_COUNTS)
 
 
 # --- dimensions ------------------------------------------------------------
@@ -190,6 +232,13 @@ def unknown_members(spark, sf_dir):
     return members
 
 
+def _stored(spark: SparkSession, load: dimensions.DimensionLoad, rows: DataFrame) -> DataFrame:
+    """A dimension as a table: written once, however often it is read."""
+    store = _new_store(spark, "dimension")
+    store.write(load.table, rows)
+    return store.read(load.table)
+
+
 def _first_load(spark: SparkSession, load: dimensions.DimensionLoad, staged: DataFrame) -> DataFrame:
     empty = dimensions.new_dimension(spark, load, moment(LOADED))
     return dimensions.load_dimension(empty, staged, load, moment(LOADED))
@@ -224,7 +273,7 @@ def _close(customers: DataFrame, city: str) -> DataFrame:
 def dim_customer_upsert(spark, sf_dir):
     """A second batch: BUILDING customers are new, MACHINERY ones are missing from it."""
     source = tpch.customers(spark, sf_dir)
-    existing = _first_load(spark, dimensions.CUSTOMERS, source.filter("segment <> 'BUILDING'"))
+    existing = _stored(spark, dimensions.CUSTOMERS, _first_load(spark, dimensions.CUSTOMERS, source.filter("segment <> 'BUILDING'")))
     batch = source.filter("segment <> 'MACHINERY'").withColumns({
         "name": F.upper("name"),
         "city": F.concat("city", F.lit(" City")),
@@ -236,14 +285,14 @@ def dim_customer_upsert(spark, sf_dir):
 
 def dim_product_upsert(spark, sf_dir):
     source = tpch.products(spark, sf_dir)
-    existing = _first_load(spark, dimensions.PRODUCTS, source.filter("category <> 'ECONOMY'"))
+    existing = _stored(spark, dimensions.PRODUCTS, _first_load(spark, dimensions.PRODUCTS, source.filter("category <> 'ECONOMY'")))
     batch = source.filter("category <> 'SMALL'").withColumn("price", (F.col("price") + 1).cast("decimal(18,2)"))
     return dimensions.load_dimension(existing, batch, dimensions.PRODUCTS, moment(RELOADED))
 
 
 def dim_campaign_upsert(spark, sf_dir):
     source = tpch.campaigns(spark, sf_dir)
-    existing = _first_load(spark, dimensions.CAMPAIGNS, source.filter("channel <> 'click'"))
+    existing = _stored(spark, dimensions.CAMPAIGNS, _first_load(spark, dimensions.CAMPAIGNS, source.filter("channel <> 'click'")))
     batch = source.filter("channel <> 'view'").withColumn("end_date", F.col("start_date"))
     merged = dimensions.load_dimension(existing, batch, dimensions.CAMPAIGNS, moment(RELOADED))
     return _as_text(merged, "start_date", "end_date")
@@ -253,9 +302,9 @@ def dim_campaign_upsert(spark, sf_dir):
 
 
 def _fact(spark: SparkSession, sf_dir: str, customers: DataFrame, products: DataFrame) -> DataFrame:
-    split_hot_keys(spark)
     return fact.build_fact_sales(
-        tpch.transactions(spark, sf_dir), tpch.transaction_items(spark, sf_dir), customers, products,
+        tpch.transactions(spark, sf_dir), tpch.transaction_items(spark, sf_dir),
+        _stored(spark, dimensions.CUSTOMERS, customers), _stored(spark, dimensions.PRODUCTS, products),
         FIRST_YEAR, LAST_YEAR,
     )
 
@@ -346,10 +395,10 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A stream source takes a folder or a glob; this matches the table as one file or as a folder.
+    # A stream source takes a folder or a glob: the braces match this one name and nothing longer, as a file or a folder.
     events = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(events).schema
-    return tpch.sensor_messages(spark.readStream.schema(schema).parquet(events + "*"))
+    return tpch.sensor_messages(spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events}}.parquet"))
 
 
 def sensor_parse(spark, sf_dir):
@@ -400,7 +449,8 @@ def sales_by_city(spark, sf_dir):
 
 
 _QUERIES = (
-    stage_transactions, csv_transactions, csv_transaction_items, csv_products, date_coercion, row_counts, verify_counts,
+    stage_transactions, csv_transactions, csv_transaction_items, csv_products, csv_short_lines, date_coercion,
+    row_counts, verify_counts, verify_counts_reloaded,
     dim_date, date_insert_absent, unknown_members, dim_customer, dim_product, dim_campaign,
     dim_customer_upsert, dim_product_upsert, dim_campaign_upsert,
     fact_sales, fact_sales_unknown, fact_refresh_twice,
@@ -427,13 +477,23 @@ def _llm() -> tuple[dict[str, Callable], dict[str, str]]:
     return added, sql
 
 
+def _in_size(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, built in a session whose settings follow the size of its data folder."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(sized(spark, file_bytes(spark, sf_dir)), sf_dir)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The sales fact at sf0.001."""
-    return fact_sales(spark, "/root/testdata/sf0.001")
+    return queries()["fact_sales"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES} | _llm()[0]
+    return {query.__name__: _in_size(query) for query in _QUERIES} | _llm()[0]
 
 
 # --- the same in SQL -------------------------------------------------------
@@ -577,9 +637,15 @@ def oracle_sql() -> dict[str, str]:
                    lang AS category, CAST(n_chars AS DECIMAL(18,2)) AS price
             FROM documents
         """,
+        "csv_short_lines": r"""
+            SELECT doc_id + 1 AS product_id, nullif(regexp_replace(text, '[\r\n]', ' ', 'g'), '') AS product_name,
+                   CAST(NULL AS VARCHAR) AS category, CAST(NULL AS DECIMAL(18,2)) AS price
+            FROM documents
+        """,
         "date_coercion": """
             SELECT o_orderkey AS transaction_id,
-                   CASE WHEN o_orderstatus IN ('O', 'P') THEN CAST(o_orderdate AS VARCHAR) END AS order_date,
+                   CASE WHEN o_orderstatus IN ('O', 'P') OR o_orderkey % 6 < 3
+                        THEN CAST(o_orderdate AS VARCHAR) END AS order_date,
                    CAST(TRY_CAST(o_orderpriority AS TIMESTAMP) AS VARCHAR) AS lead_time,
                    o_orderpriority AS priority, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount
             FROM orders
@@ -606,6 +672,13 @@ def oracle_sql() -> dict[str, str]:
                 date_diff('day', DATE '{FIRST_YEAR}-01-01', DATE '{LAST_YEAR}-12-31') + 1
             UNION ALL SELECT 'dwh.fact_sales', count(*) FROM ({fact_oracle})
         """,
+        "verify_counts_reloaded": f"""
+            SELECT 'staging.stg_customers' AS table_name, count(*) AS row_count FROM customer
+            UNION ALL SELECT 'dwh.dim_customer', count(*) + 1 FROM customer
+            UNION ALL SELECT 'dwh.dim_date',
+                date_diff('day', DATE '{FIRST_YEAR}-01-01', DATE '{LAST_YEAR}-12-31') + 1
+            UNION ALL SELECT 'dwh.fact_sales', count(*) FROM ({fact_oracle})
+        """,
         "dim_date": f"SELECT {_DAY_COLUMNS}, FALSE AS is_holiday FROM ({_CALENDAR})",
         "date_insert_absent": f"""
             SELECT {_DAY_COLUMNS}, d IN (SELECT o_orderdate FROM orders) AS is_holiday FROM ({_CALENDAR})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,12 @@ MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+# Tried in this order on texts that are not ISO dates; a month stands before its day, as exports write it.
+DATE_FORMATS = (
+    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm:ss a", "yyyyMMdd", "yyyyMMddHHmmss", "yyyy/M/d",
+    "yyyy/M/d H:mm:ss", "MMM d yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMMM d, yyyy", "d MMM yyyy", "d-MMM-yyyy",
+)
+_HAS_ZONE = r"[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d*)?)?\s*(?:[A-Za-z]|[+-]\d)"
 
 
 def is_temporal_name(name: str) -> bool:
@@ -27,25 +33,57 @@ def blank_missing(cell: Column) -> Column:
     return F.when(~cell.isin(*MISSING_TEXTS), cell)
 
 
-def lenient_timestamp(cell: Column) -> Column:
-    """A zone-less timestamp, or NULL where the text is not one."""
-    return cell.try_cast("timestamp_ntz")
+def _in_utc(instant: Column) -> Column:
+    """A point in time as UTC shows it, whatever the session's zone."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
+    )
+
+
+def lenient_timestamp(cell: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """A zone-less timestamp, or NULL where the text is not one.
+
+    ISO texts are read as they are, or in UTC where they name an offset; others
+    by the first of ``formats`` that fits.
+    """
+    iso = F.when(cell.rlike(_HAS_ZONE), _in_utc(cell.try_cast("timestamp"))).otherwise(cell.try_cast("timestamp_ntz"))
+    if not formats:
+        return iso
+    # The formats run only where a cell is neither missing nor ISO.
+    utc = F.concat(cell, F.lit(" +00:00"))
+    others = [_in_utc(F.try_to_timestamp(utc, F.lit(f"{format} XXX"))) for format in formats]
+    return F.when(cell.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(F.coalesce(iso, *others))
+
+
+def _whole_number(cell: Column, kind: T.DataType) -> Column:
+    """Whole numbers that were written with a fraction of zeros, as ``12.0``."""
+    number = cell.try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), number).try_cast(kind)
 
 
 def strict_cast(cell: Column, kind: T.DataType, what: str) -> Column:
-    """``cell`` as ``kind``; a value that does not fit fails the job, in any ANSI mode."""
+    """``cell`` as ``kind``; a value that does not fit fails the job, in any ANSI mode.
+
+    For integer kinds ``12.0`` fits and ``12.5`` does not.
+    """
     error = F.raise_error(
         F.concat(F.lit(f"{what} does not fit {kind.simpleString()}: "), cell.cast("string"))
     ).cast(kind)
     return F.coalesce(cell.try_cast(kind), F.when(cell.isNotNull(), error))
 
 
-def typed(rows: DataFrame, declared: T.StructType) -> DataFrame:
+def typed(
+    rows: DataFrame, declared: T.StructType, date_formats: tuple[str, ...] = DATE_FORMATS,
+    lost: Observation | None = None,
+) -> DataFrame:
     """Type the text columns of a source.
 
     Temporal names are coerced leniently, other declared columns are cast
     strictly (bad text fails the load), and undeclared columns stay text.  A
-    declared column that the source lacks fails at once.
+    declared column that the source lacks fails at once.  ``lost`` observes, by
+    column, how many cells held a text that is no date; it has them once the
+    rows have been written.
     """
     absent = [name for name in declared.names if name not in rows.columns]
     if absent:
@@ -54,9 +92,19 @@ def typed(rows: DataFrame, declared: T.StructType) -> DataFrame:
     def column(name: str) -> Column:
         cell = F.col(f"`{name}`")
         if is_temporal_name(name):
-            return lenient_timestamp(cell).alias(name)
-        if name in declared.names:
-            return strict_cast(cell, declared[name].dataType, name).alias(name)
-        return cell
-
-    return rows.select(*[column(name) for name in rows.columns])
+            return lenient_timestamp(cell, date_formats).alias(name)
+        if name not in declared.names:
+            return cell
+        kind = declared[name].dataType
+        if isinstance(kind, T.IntegralType):
+            return F.coalesce(cell.try_cast(kind), _whole_number(cell, kind), strict_cast(cell, kind, name)).alias(name)
+        return strict_cast(cell, kind, name).alias(name)
+
+    names = rows.columns
+    dates = [name for name in names if is_temporal_name(name)]
+    if lost is None or not dates:
+        return rows.select(*[column(name) for name in names])
+    texts = {name: f"_text_{number}" for number, name in enumerate(dates)}
+    seen = rows.select(*[column(name) for name in names], *[F.col(f"`{n}`").alias(t) for n, t in texts.items()])
+    counts = [F.count_if(F.col(t).isNotNull() & F.col(f"`{n}`").isNull()).alias(n) for n, t in texts.items()]
+    return seen.observe(lost, *counts).drop(*texts.values())

@@ -154,12 +154,13 @@ def upsert(
     Repeated ids are looked for and keys assigned on the ids alone, so whole
     rows are shuffled once, for the join of the batch with its members.
     """
-    repeated = incoming.groupBy(natural).count().filter("count > 1").select(F.max(natural)).scalar()
+    ids = incoming.groupBy(natural).count()
+    repeated = ids.filter("count > 1").select(F.max(natural)).scalar()
     twice = F.raise_error(
         F.concat(F.lit(f"{natural} occurs twice in one batch: "), repeated.cast("string"))
     ).cast("long")
 
-    new_ids = incoming.select(natural).distinct().join(existing.select(natural), natural, "left_anti")
+    new_ids = ids.select(natural).join(existing.select(natural), natural, "left_anti")
     last_key = existing.select(F.coalesce(F.max(key), F.lit(0))).scalar()
     members = existing.withColumn("_new", F.lit(False)).unionByName(
         assign_keys(new_ids, key, natural, last_key).withColumn("_new", F.lit(True)), allowMissingColumns=True

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime
+import warnings
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import moment
+from starloom.functions.coerce import DATE_FORMATS, is_temporal_name
 from starloom.operators.dimensions import (
     DIMENSION_LOADS,
     DimensionLoad,
@@ -22,7 +24,7 @@ from starloom.operators.dimensions import (
 )
 from starloom.operators.fact import build_fact_sales
 from starloom.operators.quality import ConstraintViolation, orphans, require_clean
-from starloom.plans.sizing import sized_for
+from starloom.plans.sizing import sized
 from starloom.plans.store import TableStore, file_bytes
 from starloom.schemas import SOURCE_FILES, TABLES, UNKNOWN_KEY
 from starloom.sources.csv import read_csv
@@ -44,22 +46,43 @@ def _moment(load_time: datetime.datetime | None) -> Column:
 
 
 def stage(store: TableStore, sources: dict[str, DataFrame]) -> dict[str, int]:
-    """Replace the given staging tables; returns rows loaded by table."""
+    """Replace the given staging tables; returns rows loaded by table.
+
+    Columns that a table does not declare are named in a warning and not stored.
+    """
+    for name, rows in sources.items():
+        unknown = [column for column in rows.columns if column not in TABLES[name].columns.names]
+        if unknown:
+            warnings.warn(f"{name} does not declare the columns {unknown}, which are not stored", stacklevel=2)
     return _together(
         store.spark,
         {name: lambda name=name, rows=rows: store.write(name, rows) for name, rows in sources.items()},
     )
 
 
+class RowCount(int):
+    """Rows loaded; ``lost_dates`` has, by column, how many cells held a text that is no date."""
+
+    lost_dates: dict[str, int] = {}
+
+
 def stage_csv(
-    store: TableStore, folder: str, files: dict[str, str] = SOURCE_FILES, multiline: bool = False
-) -> dict[str, int]:
-    """Replace the staging tables by the CSV files of a folder."""
-    spark = store.spark
-    with sized_for(spark, sum(file_bytes(spark, f"{folder}/{file}") for file in files.values())):
-        return stage(store, {
-            name: read_csv(spark, f"{folder}/{file}", TABLES[name].columns, multiline) for name, file in files.items()
-        })
+    store: TableStore, folder: str, files: dict[str, str] = SOURCE_FILES, multiline: bool = False,
+    date_formats: tuple[str, ...] = DATE_FORMATS,
+) -> dict[str, RowCount]:
+    """Replace the staging tables by the CSV files of a folder; returns rows loaded by table."""
+    size = sum(file_bytes(store.spark, f"{folder}/{file}") for file in files.values())
+    store = store.within(sized(store.spark, size))
+    lost = {name: Observation() for name in files}
+    loaded = stage(store, {
+        name: read_csv(store.spark, f"{folder}/{file}", TABLES[name].columns, multiline, date_formats, lost[name])
+        for name, file in files.items()
+    })
+    counts = {name: RowCount(rows) for name, rows in loaded.items()}
+    for name, rows in counts.items():
+        if any(is_temporal_name(column) for column in TABLES[name].columns.names):
+            rows.lost_dates = {column: cells for column, cells in lost[name].get.items() if cells}
+    return counts
 
 
 def _current(store: TableStore, name: str, load_time: datetime.datetime | None) -> DataFrame:
@@ -80,20 +103,32 @@ def create_tables(store: TableStore, load_time: datetime.datetime | None = None)
     })
 
 
+def _sized(store: TableStore, *read: str) -> TableStore:
+    """The store in a session that fits the tables about to be read."""
+    return store.within(sized(store.spark, store.stored_bytes(*filter(store.exists, read))))
+
+
 def refresh_dimension(store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None = None) -> int:
     """Upsert one staged batch into its dimension."""
+    store = _sized(store, load.source, load.table)
     existing = _current(store, load.table, load_time)
     return store.write(load.table, load_dimension(existing, store.read(load.source), load, _moment(load_time)))
 
 
 def refresh_calendar(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
     """Add the days that the calendar lacks."""
+    store = _sized(store, "dim_date")
     days = calendar_days(store.spark, first_year, last_year)
     return store.write("dim_date", insert_absent(_current(store, "dim_date", None), days, "date_key"))
 
 
 def refresh_fact(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
-    """Rebuild the whole fact; it replaces the old one only if all its keys resolve."""
+    """Rebuild the whole fact; it replaces the old one only if all its keys resolve.
+
+    Its files hold one month each, or a part of a large one, so a read of some
+    dates skips the others by the files' statistics.
+    """
+    store = _sized(store, "stg_transactions", "stg_transaction_items")
     dimensions = {name: store.read(name) for name, _ in TABLES["fact_sales"].references.values()}
     rows = build_fact_sales(
         store.read("stg_transactions"),
@@ -103,6 +138,7 @@ def refresh_fact(store: TableStore, first_year: int = FIRST_YEAR, last_year: int
         first_year,
         last_year,
     )
+    rows = rows.withColumn("sale_month", F.expr("date_key DIV 100")).hint("rebalance", "sale_month")
     return store.write("fact_sales", rows, verify=lambda written: _require_references(written, dimensions))
 
 
@@ -138,7 +174,6 @@ def transform(
         load.table: lambda load=load: refresh_dimension(store, load, load_time) for load in DIMENSION_LOADS
     }
     jobs["dim_date"] = lambda: refresh_calendar(store, first_year, last_year)
-    with sized_for(store.spark, store.stored_bytes(*SOURCE_FILES)):
-        counts = _together(store.spark, jobs)
-        counts["fact_sales"] = refresh_fact(store, first_year, last_year)
+    counts = _together(store.spark, jobs)
+    counts["fact_sales"] = refresh_fact(store, first_year, last_year)
     return counts

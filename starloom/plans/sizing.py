@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import SparkSession
 
 # Stored bytes are compressed; this much of them makes a comfortable shuffle partition.
 BYTES_PER_PARTITION = 64 * 2**20
-# The driver keeps the block sizes of maps times reducers, so neither may grow without end:
-# at 100 TB these make scan tasks of 1 GB and shuffle partitions of 2 GB, which sorts spill through.
+# The driver keeps the block sizes of maps times reducers, so neither may grow without end.  These are limits:
+# above 3.2 TB of files partitions grow, at 100 TB to 2 GB stored, and sorts spill; scan tasks grow to 1 GB.
 MOST_SCAN_TASKS = 100_000
 MOST_PARTITIONS = 50_000
 USUAL_SCAN_BYTES = 128 * 2**20
@@ -36,24 +33,19 @@ def size_settings(stored_bytes: int, configured_partitions: int) -> dict[str, st
     }
 
 
-@contextmanager
-def sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
-    """Apply the settings for a while; what the session sets itself is left alone."""
+def sized(spark: SparkSession, stored_bytes: int) -> SparkSession:
+    """A session for work over ``stored_bytes`` of files.
+
+    It has all settings of ``spark`` and, where that names none, the fitting
+    sizes.  What is built in it keeps them for as long as it lives, and other
+    threads that use ``spark`` see nothing of it.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.get(name, None) != value and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = {
-        name: value for name, value in size_settings(stored_bytes, configured).items()
-        if spark.conf.get(name, None) is None
-    }
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name in wanted:
-            spark.conf.unset(name)
-
-
-def split_hot_keys(spark: SparkSession) -> None:
-    """Set the skew threshold for good, for plans that run after their caller is gone."""
-    if spark.conf.get(_SKEW, None) is None:
-        spark.conf.set(_SKEW, str(BYTES_PER_PARTITION))
+    for name, value in size_settings(stored_bytes, configured).items():
+        if spark.conf.get(name, None) is None:
+            own.conf.set(name, value)
+    return own

@@ -2,44 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.coerce import blank_missing, typed
+from starloom.functions.coerce import DATE_FORMATS, blank_missing, typed
 
+_DIALECT = {"sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"'}
+# Read with this separator and no quote, a line is one column.
+_WHOLE_LINE = {"sep": "\x01\x02\x1f\x01", "quote": "", "encoding": "UTF-8", "header": True}
 _RAGGED = "_ragged_line"
 
 
+def _unquoted(line: Column) -> Column:
+    """A line without its quoted cells.  The possessive repetition neither recurses nor backtracks, however long a cell."""
+    return F.regexp_replace(line, r'"(?:[^"]|"")*+"', "")
+
+
+def _checked(rows: DataFrame, line: str, problem: Column) -> DataFrame:
+    # The message names the line; a filter cannot be skipped by a query that needs no column.
+    error = F.raise_error(F.concat(problem, F.col(line))).cast("boolean")
+    return rows.filter(F.when(problem.isNotNull(), error).otherwise(True))
+
+
 def read_text_columns(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text, named by the header; missing-value texts are NULL.
 
     A line with too few cells ends in NULLs, one with too many fails the read.
-    Files are split across tasks.  ``multiline`` allows line breaks inside
-    quoted cells and costs that splitting, so it is off unless asked for, and
-    without it such a cell fails the read.
+    Files are split across tasks, and all must have the same header.
+    ``multiline`` allows line breaks inside quoted cells and costs that
+    splitting, so it is off unless asked for, and without it every line is
+    tested for a quoted cell that does not end, which fails the read.
     """
-    dialect = {
-        "header": True, "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"',
-        "multiLine": multiline, "enforceSchema": False,
-        "columnPruning": False,  # a parser that skips cells cannot tell a ragged line
-    }
-    names = spark.read.options(**dialect).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAGGED]])
-    rows = spark.read.schema(schema).options(**dialect, columnNameOfCorruptRecord=_RAGGED).csv(path)
+    names = spark.read.options(**_DIALECT, header=True).csv(path).columns
+    if multiline:
+        return _select(_read_multiline(spark, path, names), names)
 
-    unquoted = F.regexp_replace(_RAGGED, r'"(?:[^"]|"")*"', "")
-    problem = F.when(F.size(F.split(unquoted, ",")) > len(names), "too many cells in line: ").when(
-        unquoted.rlike(r'(^|,)"|"(,|$)'), "line break in a quoted cell, read with multiline=True: "
+    header = spark.read.options(**_WHOLE_LINE).csv(path).columns
+    if len(header) != 1:
+        raise ValueError(f"the header of {path} holds control characters")
+    # Spark compares the header of each file with the one column's name.
+    whole = T.StructType([T.StructField(header[0], T.StringType()), T.StructField(_RAGGED, T.StringType())])
+    lines = (
+        spark.read.schema(whole).options(**_WHOLE_LINE, enforceSchema=False, columnPruning=False)
+        .option("columnNameOfCorruptRecord", _RAGGED).csv(path).toDF("line", _RAGGED)
+    )
+    unquoted = _unquoted(F.col("line"))
+    quoted = F.contains("line", F.lit('"'))
+    problem = (
+        F.when(F.col(_RAGGED).isNotNull(), "control characters in line: ")
+        .when(quoted & unquoted.rlike(r'(^|,)"|"(,|$)'), "line break in a quoted cell, read with multiline=True: ")
+        .when(F.size(F.split(F.when(quoted, unquoted).otherwise(F.col("line")), ",")) > len(names), "too many cells in line: ")
     )
-    # The message names the first cell because Spark refuses a query of ragged lines alone, such as a count.
-    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
-    error = F.raise_error(F.concat(problem, F.col(_RAGGED), F.lit(", first cell: "), first)).cast("boolean")
-    broken = F.col(_RAGGED).isNotNull() & problem.isNotNull()
-    whole = rows.filter(F.when(broken, error).otherwise(True))
-    return whole.select(*[blank_missing(F.col(f"`{name}`")).alias(name) for name in names])
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    cells = F.from_csv("line", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), _DIALECT)
+    rows = _checked(lines, "line", problem).select(F.inline(F.array(cells)))
+    return _select(rows.toDF(*names), names)
+
+
+def _read_multiline(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAGGED]])
+    rows = spark.read.schema(schema).options(
+        **_DIALECT, header=True, multiLine=True, enforceSchema=False,
+        columnPruning=False,  # a parser that skips cells cannot tell a ragged line
+        columnNameOfCorruptRecord=_RAGGED,
+    ).csv(path)
+    broken = F.col(_RAGGED).isNotNull() & (F.size(F.split(_unquoted(F.col(_RAGGED)), ",")) > len(names))
+    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))  # Spark refuses a query of ragged lines alone
+    error = F.raise_error(F.concat(F.lit("too many cells in line: "), F.col(_RAGGED), F.lit(", first cell: "), first))
+    return rows.filter(F.when(broken, error.cast("boolean")).otherwise(True))
+
+
+def _select(rows: DataFrame, names: list[str]) -> DataFrame:
+    return rows.select(*[blank_missing(F.col(f"`{name}`")).alias(name) for name in names])
 
 
-def read_csv(spark: SparkSession, path: str, declared: T.StructType, multiline: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, declared: T.StructType, multiline: bool = False,
+    date_formats: tuple[str, ...] = DATE_FORMATS, lost: Observation | None = None,
+) -> DataFrame:
     """A CSV source with declared types; see :func:`starloom.functions.coerce.typed`."""
-    return typed(read_text_columns(spark, path, multiline), declared)
+    return typed(read_text_columns(spark, path, multiline), declared, date_formats, lost)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from starloom.schemas import SENSOR_READING
@@ -17,9 +18,11 @@ TRIGGER = "1 minute"
 START_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def parse_readings(messages: DataFrame) -> DataFrame:
+def parse_readings(messages: DataFrame, fields: tuple[str, ...] = tuple(SENSOR_READING.names)) -> DataFrame:
     """Sensor columns and ``event_time`` from the JSON bytes in ``value``.
 
+    Only ``fields`` are decoded; ``date_time`` has to be one of them.
+
     A message that is not JSON becomes a row of NULLs, a mistyped field or an
     unreadable time a NULL; nothing is dropped and nothing fails here.
 
@@ -27,7 +30,8 @@ def parse_readings(messages: DataFrame) -> DataFrame:
     but from a plan node that filters do not move below: on a batch, the
     filter on ``event_time`` would otherwise parse every message again.
     """
-    reading = F.from_json(F.col("value").cast("string"), SENSOR_READING)
+    wanted = T.StructType([SENSOR_READING[name] for name in fields])
+    reading = F.from_json(F.col("value").cast("string"), wanted)
     return messages.select(F.inline(F.array(reading))).withColumn("event_time", F.try_to_timestamp("date_time"))
 
 
@@ -48,7 +52,7 @@ def sensor_counts(messages: DataFrame, mode: str = "complete") -> DataFrame:
     ``append`` and ``update`` drop what is older than the watermark and so
     bound the state; a stream cannot be sorted in them.
     """
-    counts = minute_counts(parse_readings(messages))
+    counts = minute_counts(parse_readings(messages, ("date_time",)))
     return counts.orderBy(F.col("window_start").desc()) if mode == "complete" else counts
 
 

@@ -132,3 +132,63 @@ def test_cells_read_as_pandas_reads_them(spark, tmp_path, quoting):
     read = read_text_columns(spark, str(path))
     assert read.columns == list(frame.columns)
     assert sorted(map(tuple, read.collect())) == sorted(expected)
+
+
+@pytest.mark.parametrize("length", [20_000, 1_000_000])
+def test_short_lines_with_long_cells(spark, tmp_path, length):
+    path = _file(tmp_path, f'a,b,c\n1,"{"x" * length}"\n2,"{'"",' * (length // 3)}"\n3,y,z\n')
+    rows = {row.a: row for row in read_text_columns(spark, path).collect()}
+    assert len(rows["1"].b) == length and rows["1"].c is None
+    assert rows["2"].b == '",' * (length // 3) and rows["2"].c is None and rows["3"].c == "z"
+
+
+@pytest.mark.parametrize("text", ['1,"abc\n2,def"\n3,z', '1,"a""b\n2,c"', '1,"""\n2,x"', '"1\n2",x', '1,"a,b\n2,c"'])
+def test_a_broken_last_cell_is_not_read_as_rows(spark, tmp_path, text):
+    path = _file(tmp_path, f"id,name\n{text}\n")
+    for read in (lambda rows: rows.collect(), lambda rows: rows.count(), lambda rows: rows.select("id").collect()):
+        with pytest.raises(FAILED, match="multiline"):
+            read(read_text_columns(spark, path))
+    assert read_text_columns(spark, path, multiline=True).count() >= 1
+
+
+def test_lines_are_read_as_they_are(spark, tmp_path):
+    path = _file(tmp_path, 'a,b\n "x" ,y\\\n\n5" pipe, z \n#c,"q\\"\n')
+    assert [tuple(r) for r in read_text_columns(spark, path).collect()] == [
+        (' "x" ', "y\\"), ('5" pipe', " z "), ("#c", "q\\"),
+    ]
+
+
+def test_files_with_other_headers_fail(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "one.csv").write_text("a,b\n1,2\n")
+    (folder / "two.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(FAILED):
+        read_text_columns(spark, str(folder)).collect()
+    (folder / "two.csv").write_text("a,b\n3,4\n")
+    assert sorted(map(tuple, read_text_columns(spark, str(folder)).collect())) == [("1", "2"), ("3", "4")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_dates_as_exports_write_them(spark, tmp_path, zone):
+    cells = {
+        "06/15/2025": "2025-06-15 00:00:00", "20250615": "2025-06-15 00:00:00", "Jun 15 2025": "2025-06-15 00:00:00",
+        "2025-06-15T10:00:00+07:00": "2025-06-15 03:00:00", "2025-06-15 10:00:00Z": "2025-06-15 10:00:00",
+        "03/09/2025 2:30": "2025-03-09 02:30:00", "2025-03-09 02:30:00": "2025-03-09 02:30:00", "13/45/2025": None,
+        "bad": None, "6/5/2025 1:02:03 PM": "2025-06-05 13:02:03",
+    }
+    path = _file(tmp_path, "start_date\n" + "\n".join(cells) + "\n")
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = typed(read_text_columns(spark, path), type(CAMPAIGNS)([CAMPAIGNS["start_date"]])).selectExpr("string(start_date) AS d").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
+    assert [row.d for row in rows] == list(cells.values())
+
+
+def test_whole_numbers_with_a_fraction_of_zeros(spark, tmp_path):
+    path = _file(tmp_path, "product_id\n12.0\n7\n-3.00\n")
+    assert [r.product_id for r in read_csv(spark, path, type(PRODUCTS)([PRODUCTS["product_id"]])).collect()] == [12, 7, -3]
+    with pytest.raises(FAILED, match="does not fit bigint: 12.5"):
+        read_csv(spark, _file(tmp_path, "product_id\n12.5\n"), type(PRODUCTS)([PRODUCTS["product_id"]])).collect()

@@ -141,17 +141,56 @@ def test_complete_mode_is_sorted_newest_first(spark, tmp_path):
     assert [r.window_start[14:16] for r in spark.table("newest").collect()] == ["02", "01", "00"]
 
 
-def test_default_trigger_is_a_minute(spark, tmp_path):
+class _Writer:
+    """Takes down what a query's writer is told."""
+
+    def __init__(self):
+        self.told = {}
+
+    def __getattr__(self, name):
+        def tell(*values, **named):
+            self.told[name] = values or named
+            return self
+
+        return tell
+
+
+def test_default_trigger_is_a_minute_and_the_console_shows_whole_values():
+    writer = _Writer()
+
+    class Messages:
+        writeStream = writer
+
+    kept = sensors.sensor_counts
+    sensors.sensor_counts = lambda messages, mode: messages
+    try:
+        sensors.start_sensor_counts(Messages(), "state")
+    finally:
+        sensors.sensor_counts = kept
+    assert writer.told["trigger"] == {"processingTime": "1 minute"} and writer.told["outputMode"] == ("complete",)
+    assert writer.told["format"] == ("console",) and writer.told["option"] == ("truncate", False)
+
+
+def test_idle_stream_is_triggered_by_the_minute(spark, tmp_path):
     (tmp_path / "in").mkdir()
     query = sensors.start_sensor_counts(
         _stream(spark, tmp_path / "in"), str(tmp_path / "state"), sensors.to_memory("idle")
     )
     try:
         assert query.isActive
+        execution = query._jsq.streamingQuery() if hasattr(query._jsq, "streamingQuery") else query._jsq
+        assert execution.trigger().intervalMs() == 60_000
     finally:
         query.stop()
 
 
+def test_counting_decodes_the_time_alone(spark):
+    messages = spark.createDataFrame([(b'{"date_time": "2025-01-01T00:00:05", "city_id": 3}',)], "value binary")
+    plan = sensors.sensor_counts(messages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "date_time" in plan and "city_id" not in plan
+    assert [tuple(r) for r in sensors.sensor_counts(messages).collect()] == [("2025-01-01 00:00:00", 1)]
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka.read_topic(spark, "sensor_topic", "localhost:9092", maxOffsetsPerTrigger="1000")

@@ -1,5 +1,8 @@
 import datetime
+import functools
 import random
+import re
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -162,31 +165,163 @@ def test_reading_an_unwritten_table_fails(store):
         store.read("dim_date")
 
 
-def test_settings_follow_the_data_and_are_put_back(spark):
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with sizing.sized_for(spark, 640 * 2**20):
-        assert spark.conf.get(name) == "10"
-    assert spark.conf.get(name, None) is None
-    with sizing.sized_for(spark, 5):
-        assert spark.conf.get(name) == spark.conf.get("spark.sql.shuffle.partitions")
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def test_settings_follow_the_data_in_a_session_of_their_own(spark):
+    own = sizing.sized(spark, 640 * 2**20)
+    assert own.conf.get(PARTITIONS) == "10" and spark.conf.get(PARTITIONS, None) is None
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert sizing.sized(spark, 5).conf.get(PARTITIONS) == spark.conf.get("spark.sql.shuffle.partitions")
     assert sizing.size_settings(10**14, 200) == {
-        name: "50000",
+        PARTITIONS: "50000",
         "spark.sql.files.maxPartitionBytes": "1000000000",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(64 * 2**20),
     }
-    skew = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
-    for own, kept in ((None, str(64 * 2**20)), ("1GB", "1GB")):
-        spark.conf.unset(skew) if own is None else spark.conf.set(skew, own)
-        sizing.split_hot_keys(spark)
-        assert spark.conf.get(skew) == kept
-    spark.conf.unset(skew)
-    spark.conf.set(name, "3")
+    spark.conf.set(PARTITIONS, "3")
+    try:
+        assert sizing.sized(spark, 640 * 2**20).conf.get(PARTITIONS) == "3"
+    finally:
+        spark.conf.unset(PARTITIONS)
+
+
+def test_every_query_is_built_in_the_size_of_its_folder(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "file_bytes", lambda spark, folder: 640 * 2**20)
+    seen = []
+    for query in entry._QUERIES:
+        @functools.wraps(query)
+        def look(own, folder):
+            seen.append(own.conf.get(PARTITIONS))
+
+        entry._in_size(look)(spark, "/root/testdata/sf0.001")
+    assert seen == ["10"] * len(entry._QUERIES)
+    names = set(entry.queries()) & {query.__name__ for query in entry._QUERIES}
+    assert len(names) == len(seen)
+    frame = entry.queries()["duplicate_keys"](spark, "/root/testdata/sf0.001")
+    assert frame.sparkSession.conf.get(PARTITIONS) == "10" and spark.conf.get(PARTITIONS, None) is None
+
+
+def test_two_transforms_at_once_leave_the_session_as_it_was(spark, tmp_path):
+    _write_sources(tmp_path)
+    before = dict(spark.conf.getAll)
+    stores = [TableStore(spark, str(tmp_path / name)) for name in "ab"]
+    for store in stores:
+        pipeline.stage_csv(store, str(tmp_path))
+    with ThreadPoolExecutor(2) as pool:
+        counts = list(pool.map(lambda store: pipeline.transform(store, load_time=LOADED), stores))
+    assert counts[0] == counts[1] and dict(spark.conf.getAll) == before
+
+
+def test_views_follow_the_tables(spark, store, tmp_path):
+    for customers in (10, 20, 30, 40):
+        _write_sources(tmp_path, customers=customers)
+        pipeline.stage_csv(store, str(tmp_path))
+        loaded = pipeline.transform(store, load_time=LOADED)
+        if customers == 10:
+            store.register()
+        count = "SELECT (SELECT count(*) FROM staging.stg_customers), (SELECT count(*) FROM dwh.dim_customer), " \
+            "(SELECT count(*) FROM dwh.fact_sales)"
+        assert tuple(spark.sql(count).first()) == (customers, customers + 1, loaded["fact_sales"])
+    assert spark.table("dwh.fact_sales").schema == TABLES["fact_sales"].columns
+    other = TableStore(spark, str(tmp_path / "other"))
+    pipeline.stage_csv(other, str(tmp_path), {"stg_customers": SOURCE_FILES["stg_customers"]})
+    assert spark.sql("SELECT count(*) FROM staging.stg_customers").first()[0] == 40
+
+
+def test_repeated_keys_are_not_published(spark, store):
+    pipeline.create_tables(store, LOADED)
+    member = store.read("dim_product")
+    with pytest.raises(ConstraintViolation, match="product_key occurs twice"):
+        store.write("dim_product", member.union(member))
+    assert store.read("dim_product").count() == 1
+
+
+def test_lost_dates_are_counted(store, tmp_path):
+    (tmp_path / "marketing_campaigns.csv").write_text(
+        "campaign_id,campaign_name,start_date,end_date,channel\n"
+        "1.0,a,06/15/2025,20250616,x\n2,b,soon,,x\n3,c,soon,2025-06-15T10:00:00+07:00,x\n"
+    )
+    files = {"stg_marketing_campaigns": "marketing_campaigns.csv"}
+    loaded = pipeline.stage_csv(store, str(tmp_path), files)["stg_marketing_campaigns"]
+    assert loaded == 3 and loaded.lost_dates == {"start_date": 2}
+    rows = {r.campaign_id: (r.start_date, r.end_date) for r in store.read("stg_marketing_campaigns").collect()}
+    day = datetime.datetime
+    assert rows == {1: (day(2025, 6, 15), day(2025, 6, 16)), 2: (None, None), 3: (None, day(2025, 6, 15, 3))}
+    loaded = pipeline.stage_csv(store, str(tmp_path), files, date_formats=())["stg_marketing_campaigns"]
+    assert loaded.lost_dates == {"start_date": 3, "end_date": 1}
+
+
+def test_undeclared_columns_are_named(spark, store):
+    rows = _customers(spark, "a").selectExpr("*", "1 AS shoe_size")
+    with pytest.warns(UserWarning, match="shoe_size"):
+        pipeline.stage(store, {"stg_customers": rows})
+    assert store.read("stg_customers").columns == TABLES["stg_customers"].columns.names
+
+
+def test_files_of_the_fact_hold_few_months(spark, store, tmp_path):
+    from pyspark.sql import functions as F
+
+    _write_sources(tmp_path, transactions=1000)
+    pipeline.stage_csv(store, str(tmp_path))
+    # Files this small are otherwise merged into one.
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    for name, value in (("adaptive.coalescePartitions.enabled", "false"), ("shuffle.partitions", "40")):
+        spark.conf.set(f"spark.sql.{name}", value)
     try:
-        with sizing.sized_for(spark, 640 * 2**20):
-            assert spark.conf.get(name) == "3"
-        assert spark.conf.get(name) == "3"
+        pipeline.transform(store, load_time=LOADED)
     finally:
-        spark.conf.unset(name)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    fact = store.read("fact_sales").select("date_key", F.input_file_name().alias("file"))
+    months = fact.groupBy("file").agg(F.countDistinct(F.expr("date_key DIV 100")).alias("months"))
+    march = fact.filter("date_key BETWEEN 20250301 AND 20250331").select("file").distinct()
+    files = months.count()
+    assert files >= 5 and months.agg(F.avg("months")).first()[0] < 2 and march.count() < files / 2
+    one = store.read("fact_sales").filter("date_key BETWEEN 20250301 AND 20250331")
+    assert "GreaterThanOrEqual(date_key,20250301)" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sources_are_scanned_once_for_each_use(spark):
+    import __spark_entry__ as entry
+
+    def scans(name, column):
+        frame = entry.queries()[name](spark, "/root/testdata/sf0.001")
+        frame.collect()
+        ran = frame._jdf.queryExecution().executedPlan().toString()
+        ran = re.sub(r"== Initial Plan ==.*?(?=Subquery|$)", "", ran, flags=re.S)
+        # Uses of one exchange or subquery are printed again, with the numbers of the first.
+        return len(set(re.findall(rf"FileScan parquet \[{column}#\d+", ran)))
+
+    # Of the batch: its rows, its ids, and its ids once more for the guard.
+    assert 0 < scans("dim_customer_upsert", "c_custkey") <= 3
+    assert scans("fact_sales", "c_custkey") == 0 and scans("fact_sales", "l_orderkey") == 1
+
+
+def test_scratch_is_deleted_when_the_application_ends(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = (
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', 'file://{tmp_path}').getOrCreate()\n"
+        "import __spark_entry__ as entry\n"
+        "folder = entry._scratch(spark)\n"
+        "spark.range(5).write.parquet(folder + '/t')\n"
+        "import os; print(os.path.exists(folder.removeprefix('file://') + '/t'))\n"
+        "spark.stop()\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=120
+    )
+    assert done.stdout.strip() == "True", done.stderr[-2000:]
+    deadline = datetime.datetime.now() + datetime.timedelta(seconds=20)
+    while list(tmp_path.glob("starloom-*")) and datetime.datetime.now() < deadline:
+        pass
+    assert list(tmp_path.glob("starloom-*")) == []
 
 
 def test_checks(spark):
