@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import fresh, joined_if_small, saved, small_batches
+from starloom.llm.frames import fresh, joined_if_small, saved, small_batches, tidy
 from starloom.llm.text import ALNUM, CHUNK, mixed, slices, text_bytes, weights, word_hashes
 
 MASKS = ("11011011", "1101001111", "1110010111", "101011011101")
@@ -169,7 +169,7 @@ def overlaps(
                 })
 
         leaks = texts.mapInArrow(
-            find, "doc_id long, item_id long, words long, item_words long, spans array<struct<first: long, end: long>>"
+            tidy(find), "doc_id long, item_id long, words long, item_words long, spans array<struct<first: long, end: long>>"
         )
         found = leaks if found is None else found.unionByName(leaks)
     return found

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import itertools
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -37,6 +40,39 @@ def small_batches(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def give_back() -> None:
+    """Return the memory that this Python worker holds but does not use; it may sit idle beside others."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The step, giving memory back when its partition is done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        give_back()
+
+    return run
+
+
+def tidy_group(work: Callable[..., pa.Table]):
+    """The work on a group, giving memory back after each."""
+
+    def one(table: pa.Table) -> pa.Table:
+        result = work(table)
+        give_back()
+        return result
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        result = work(left, right)
+        give_back()
+        return result
+
+    return one if len(inspect.signature(work).parameters) == 1 else two
+
+
 def saved(rows: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read again: the end of their lineage."""
     spark = small_batches(rows).sparkSession
@@ -158,7 +194,7 @@ def gathered(batches: Iterator[list[np.ndarray]], limit: int = 4_000_000) -> Ite
 
 def by_bucket(packed: DataFrame, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
     """Apply a function to all blobs of one bucket.  There are as many buckets as the data needs."""
-    return small_batches(packed).groupBy("bucket").applyInArrow(work, schema)
+    return small_batches(packed).groupBy("bucket").applyInArrow(tidy_group(work), schema)
 
 
 # --- connected components ------------------------------------------------------
@@ -187,7 +223,7 @@ def _roots(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of one partition as edges to the smallest ids they reach among themselves."""
+    """Edges as edges to the smallest ids they reach."""
     for x, y in gathered(([batch.column(0).to_numpy(), batch.column(1).to_numpy()] for batch in batches), EDGES_AT_ONCE):
         ids, roots = _roots(x, y)
         yield pa.record_batch({"x": pa.array(ids[ids != roots]), "y": pa.array(roots[ids != roots])})
@@ -196,18 +232,14 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over the edges (a, b); ids without an edge are absent.
 
-    Each partition first joins what its own edges connect.  If few edges are
-    left, one task joins them all.  More go through large-star and small-star
+    Few edges are joined by one task.  More go through large-star and small-star
     rounds: each round hangs all neighbours of an id on the smallest of them,
     until nothing changes.  Minima are taken map-side, so an id with very many
     neighbours costs no more than its edges.
     """
-    pairs = saved(
-        edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y")
-        .mapInArrow(_joined, "x long, y long")
-    )
+    pairs = saved(edges.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y"))
     if small(pairs, EDGES_AT_ONCE):
-        pairs = saved(pairs.coalesce(1).mapInArrow(_joined, "x long, y long"))
+        pairs = saved(pairs.coalesce(1).mapInArrow(tidy(_joined), "x long, y long"))
     else:
         pairs = _rounds(pairs.distinct())
     ids = pairs.select(F.col("x").alias("id"), F.col("y").alias("component"))

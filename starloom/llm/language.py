@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.frames import small_batches
+from starloom.llm.frames import small_batches, tidy
 from starloom.llm.text import CHUNK, LETTERS, mixed, slices, span_hashes, text_bytes, words
 
 UNKNOWN = "und"
@@ -319,7 +319,7 @@ def identify(
     more = [] if into else [F.col(text_column).alias("text")]
     result = small_batches(documents).select(
         *kept, F.col(id_column).cast("long").alias("id"), held_out(F.col(id_column)).alias("held"), *more
-    ).mapInArrow(predict, T.StructType([*fields, *OWN.fields]))
+    ).mapInArrow(tidy(predict), T.StructType([*fields, *OWN.fields]))
     if not into:
         return result
     return result.select(

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import small_batches
+from starloom.llm.frames import small_batches, tidy
 from starloom.llm.license_rules import BASE_PHRASES, Rule, rules
 from starloom.llm.text import _LOWER, ALNUM, CHUNK, slices, text_bytes, words
 
@@ -148,7 +148,7 @@ def scan(documents: DataFrame, id_column: str = "doc_id", text_column: str = "te
         ])),
     }
     return small_batches(documents).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).mapInArrow(
-        find,
+        tidy(find),
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, findings array<struct<first_word: long, end_word: long, label: string, confidence: double>>",
     )

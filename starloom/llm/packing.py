@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import partitions, saved, small_batches
+from starloom.llm.frames import partitions, saved, small_batches, tidy
 from starloom.llm.text import CHUNK, NOT_SPACE, slices, span_hashes, text_bytes, words
 
 CAPACITY = 4096
@@ -168,7 +168,7 @@ def tokenized(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return small_batches(documents).select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
-    ).mapInArrow(cut, schema)
+    ).mapInArrow(tidy(cut), schema)
 
 
 # --- the plan ------------------------------------------------------------------
@@ -307,4 +307,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     names = pieces.columns
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(place), f"{schema}, sequence_id long, offset long")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.frames import (
-    bucket_of, by_bucket, fresh, gathered, joined_if_small, pack, partitions, saved, unpack_all,
+    bucket_of, by_bucket, fresh, gathered, joined_if_small, pack, partitions, saved, tidy, unpack_all,
 )
 from starloom.llm.text import CHUNK, _BASE, _CODES, mixed, slices, span_hashes, text_bytes
 
@@ -243,7 +243,7 @@ def _found(texts: DataFrame, buckets: int) -> DataFrame:
         )
         return pa.concat_tables([marks, requests])
 
-    spread_rows = texts.select("row", "doc_id", "text").mapInArrow(spread, "bucket int, blob binary")
+    spread_rows = texts.select("row", "doc_id", "text").mapInArrow(tidy(spread), "bucket int, blob binary")
     return by_bucket(spread_rows, meet, _FOUND)
 
 
@@ -445,7 +445,7 @@ def _indexed(texts: DataFrame, requests: DataFrame, buckets: int) -> DataFrame:
             low = high
         return pa.concat_tables(tables)
 
-    cut_rows = fetched.mapInArrow(cut, "bucket int, blob binary, raw binary")
+    cut_rows = fetched.mapInArrow(tidy(cut), "bucket int, blob binary, raw binary")
     return by_bucket(cut_rows, index, _FOUND)
 
 
@@ -553,7 +553,7 @@ def remove(
                 [*names, "doc_id", *columns],
             )
 
-    result = together.mapInArrow(apply, T.StructType([*fields, *own]))
+    result = together.mapInArrow(tidy(apply), T.StructType([*fields, *own]))
     if not into:
         return result
     values = F.struct(*(field.name for field in own)).alias(into)

@@ -19,7 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import bucket_of, pack, partitions, planes, saved, small_batches, unpack, unplanes
+from starloom.llm.frames import (
+    bucket_of, pack, partitions, planes, saved, small_batches, tidy, tidy_group, unpack, unplanes,
+)
 from starloom.llm.text import CHUNK, NOT_SPACE, mixed, text_bytes, weights, word_hashes
 
 ORDER = 2
@@ -105,8 +107,8 @@ def gram_totals(texts: DataFrame, order: int, buckets: int) -> DataFrame:
             "blob": pa.array(blobs, pa.binary()),
         })
 
-    asked = texts.select("text").mapInArrow(ask, "part int, gram int, piece long, blob binary")
-    return asked.groupBy("part", "gram").applyInArrow(answer, "piece long, gram int, bucket long, blob binary")
+    asked = texts.select("text").mapInArrow(tidy(ask), "part int, gram int, piece long, blob binary")
+    return asked.groupBy("part", "gram").applyInArrow(tidy_group(answer), "piece long, gram int, bucket long, blob binary")
 
 
 def score(
@@ -162,7 +164,7 @@ def score(
             "doc_id": texts.column("doc_id"), "n_words": pa.array(n_words), "log_score": pa.array(score, pa.float64()),
         })
 
-    scored = texts.mapInArrow(label, "piece long, doc_id long, text string").groupBy("piece").cogroup(
+    scored = texts.mapInArrow(tidy(label), "piece long, doc_id long, text string").groupBy("piece").cogroup(
         totals.filter("piece IS NOT NULL").groupBy("piece")
-    ).applyInArrow(summed, "doc_id long, n_words long, log_score double")
+    ).applyInArrow(tidy_group(summed), "doc_id long, n_words long, log_score double")
     return scored.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

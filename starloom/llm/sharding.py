@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import partitions, saved
+from starloom.llm.frames import partitions, saved, tidy
 
 LAW = "bytes"
 # Groups of equal texts with more than this part of a shard are subdivided; smaller ones stay in one shard.
@@ -43,7 +43,7 @@ def _ranged(rows: DataFrame, splits: np.ndarray, to: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.astype(np.int32))], names)
 
     names = [*rows.columns, to]
-    return rows.mapInArrow(number, ", ".join(f"{n} {k}" for n, k in [*rows.dtypes, (to, "int")]))
+    return rows.mapInArrow(tidy(number), ", ".join(f"{n} {k}" for n, k in [*rows.dtypes, (to, "int")]))
 
 
 def _sample(rows: DataFrame, bytes_each: float, seed: int) -> np.ndarray:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import components, joined_if_small, partitions, saved
+from starloom.llm.frames import components, joined_if_small, partitions, saved, tidy, tidy_group
 from starloom.llm.text import mixed
 
 THRESHOLD = 0.9
@@ -136,7 +136,7 @@ def near_duplicates(
                     })
 
     schema = "bucket long, row long, payload binary"
-    spread_rows = rows.select("row", "vector").mapInArrow(spread, schema)
+    spread_rows = rows.select("row", "vector").mapInArrow(tidy(spread), schema)
     sizes = saved(spread_rows.groupBy("bucket").count().filter("count > 1"))
     large = sizes.filter(F.col("count") > BLOCK).select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     shared = joined_if_small(spread_rows, sizes.select("bucket"), "bucket", "left_semi", 1_000_000)
@@ -176,7 +176,7 @@ def near_duplicates(
 
     found = saved(
         laid.select(group.alias("g"), "bucket", "row", "payload", "own", "low", "high")
-        .groupBy("g").applyInArrow(compare, "row long, other long, links long")
+        .groupBy("g").applyInArrow(tidy_group(compare), "row long, other long, links long")
     )
     links = found.groupBy("row").agg(F.sum("links").alias("n_links"))
     joined = components(found.select(F.col("row").alias("a"), F.col("other").alias("b")))
