@@ -35,8 +35,9 @@ def test_planted_cases(spark):
     passage = " ".join(clean[0][1].split()[:60])
     words = clean[1][1].split()
     words[len(words) // 2] = "changed"
+    own = [" ".join(reversed(clean[i][1].split())) for i in (3, 4)]  # texts unlike any other
     planted = {
-        90_001: clean[2][1], 90_002: " ".join(words), 90_003: clean[3][1] + "\n" + passage, 90_004: clean[4][1] + " " + item,
+        90_001: clean[2][1], 90_002: " ".join(words), 90_003: own[0] + "\n" + passage, 90_004: own[1] + " " + item,
         90_005: "12 34 --", 90_006: None,
     }
     extra = [
