@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.plans.scratch import shared_folder
+from starloom.plans.scratch import dropped_at_exit, shared_folder
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _folders: dict[str, str] = {}
@@ -22,10 +22,10 @@ _numbers = itertools.count()
 
 
 def scratch(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``."""
+    """This application's folder below ``spark.checkpoint.dir``, deleted when its JVM ends in order."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
-        _folders[app] = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex[:8]}"
+        _folders[app] = f"{dropped_at_exit(spark, shared_folder(spark))}/llm-{uuid.uuid4().hex[:8]}"
     return _folders[app]
 
 

@@ -22,7 +22,7 @@ from starloom.llm.text import CHUNK, NOT_SPACE, slices, span_hashes, text_bytes,
 CAPACITY = 4096
 END_ID = 1
 # Words whose ids a task remembers; beyond that it starts over.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 300_000
 SLOT_BITS = 19
 
 
@@ -70,16 +70,20 @@ class WordIds:
 
     def _learn(self, hashes: np.ndarray, texts: list[str], special: bool) -> None:
         """Tokenize new words, many at a time with a special token between them."""
-        step = 1 if special else 512
-        joined = [_DELIMITER.join(texts[i:i + step]) for i in range(0, len(texts), step)]
-        found = [encoded.ids for encoded in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.fromiter((i for part in found for i in (*part, _DELIMITER_ID)), np.uint32)
-        if special:
-            ends = np.cumsum([len(part) + 1 for part in found]) - 1
-        else:
-            ends = np.flatnonzero(ids == _DELIMITER_ID)
-        sizes = np.diff(ends, prepend=-1) - 1
-        ids = np.delete(ids, ends)
+        step = 1 if special else 256
+        every, sizes = [], []
+        for low in range(0, len(texts), 8192):  # the lists of ids are large
+            some = texts[low:low + 8192]
+            joined = [_DELIMITER.join(some[i:i + step]) for i in range(0, len(some), step)]
+            found = [encoded.ids for encoded in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+            ids = np.fromiter((i for part in found for i in (*part, _DELIMITER_ID)), np.uint32)
+            if special:
+                ends = np.cumsum([len(part) + 1 for part in found]) - 1
+            else:
+                ends = np.flatnonzero(ids == _DELIMITER_ID)
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+            every.append(np.delete(ids, ends))
+        sizes, ids = np.concatenate(sizes), np.concatenate(every)
         entry = np.arange(len(texts)) + len(self.start) - 1
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, ids])
@@ -143,7 +147,7 @@ def tokenized(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordIds(tokenizer_file)
-        for batch in slices(batches, "text", CHUNK):
+        for batch in slices(batches, "text", CHUNK // 2):
             ids, bounds = encoder.encode(*text_bytes(batch.column("text")))
             sizes = np.diff(bounds)
             pieces = -(-sizes // capacity)

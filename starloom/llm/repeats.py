@@ -102,7 +102,7 @@ def _pieces(bounds: np.ndarray, limit: int | None = None) -> Iterator[tuple[int,
 
     Gives the bytes from and to, the bounds of the texts' parts in them, and the texts' numbers.
     """
-    limit = limit or CHUNK // 4
+    limit = limit or CHUNK // 8
     sizes = np.diff(bounds)
     number = 0
     while number < len(sizes):
@@ -188,7 +188,7 @@ def _found(texts: DataFrame, buckets: int) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[list[np.ndarray]]:
-            for batch in slices(batches, "text", CHUNK):
+            for batch in slices(batches, "text", CHUNK // 2):
                 data, bounds = text_bytes(batch.column("text"))
                 doc = batch.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
                 row = batch.column("row").to_numpy(zero_copy_only=False)
@@ -204,7 +204,7 @@ def _found(texts: DataFrame, buckets: int) -> DataFrame:
                         count.astype(np.uint32) | np.where(twice, _FLAG, np.uint32(0)),
                     ]
 
-        for number, batch in enumerate(gathered(records(), 500_000)):
+        for number, batch in enumerate(gathered(records(), 300_000)):
             batch = _in_order(batch)
             again = _again(batch)
             if again.any():
@@ -379,7 +379,7 @@ def _indexed(texts: DataFrame, requests: DataFrame, buckets: int) -> DataFrame:
     fetched = joined_if_small(texts.select("row", "doc_id", "text"), asked, "row", "inner", BROADCAST_ROWS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CHUNK):
+        for batch in slices(batches, "text", CHUNK // 2):
             data, bounds = text_bytes(batch.column("text"))
             columns = [unpack_all([blob], ["u8", "u4", "u4"]) for blob in batch.column("asked").to_pylist()]
             number = [len(own[0]) for own in columns]
@@ -521,7 +521,7 @@ def remove(
     ), found, "row", "left", BROADCAST_ROWS)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CHUNK):
+        for batch in slices(batches, "text", CHUNK // 2):
             data, bounds = text_bytes(batch.column("text"))
             out = {field.name: [] for field in own[1:]}
             missing = batch.column("text").is_null().to_pylist()
