@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.frames import small_batches, tidy
+from starloom.llm.frames import give_back, small_batches, tidy
 from starloom.llm.text import CHUNK, LETTERS, mixed, slices, span_hashes, text_bytes, words
 
 UNKNOWN = "und"
@@ -176,7 +176,16 @@ def fit(texts: list[str], labels: list[str], seed: int = 11) -> Model:
         (half.sum(axis=1) >= LEXICON_COUNT) & (half.max(axis=1) >= LEXICON_SHARE * half.sum(axis=1))
     )
     model.lexicon, model.lexicon_language = hashes[listed], half[listed].argmax(axis=1)
-    numbers, values, starts = _features(data, begin[first], end[first], hashes, model)
+    # Some words at a time, as the driver holds them all.
+    blocks = [
+        _features(data, begin[first[low:low + 16384]], end[first[low:low + 16384]], hashes[low:low + 16384], model)
+        for low in range(0, len(hashes), 16384)
+    ]
+    numbers = np.concatenate([block[0].astype(np.int32) for block in blocks])
+    values = np.concatenate([block[1] for block in blocks])
+    before = np.cumsum([0, *(len(block[0]) for block in blocks)])
+    starts = np.concatenate([block[2] + at for block, at in zip(blocks, before)])
+    del blocks
     widths = np.diff(np.append(starts, len(numbers)))
 
     draw = np.random.Generator(np.random.PCG64(seed))
@@ -259,7 +268,9 @@ def train(
     chance = min(1.0, 1.3 * SAMPLE_TEXTS / max(1, usable.count()))
     drawn = usable.filter(F.pmod(F.xxhash64("draw"), F.lit(1 << 30)) <= int(chance * (1 << 30)))
     rows = drawn.orderBy("draw", "lang").limit(SAMPLE_TEXTS).collect()
-    return fit([row.text for row in rows], [row.lang for row in rows])
+    model = fit([row.text for row in rows], [row.lang for row in rows])
+    give_back()
+    return model
 
 
 OWN = T.StructType([

@@ -2,11 +2,18 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from starloom.llm import frames
 from starloom.llm import text as T
 
 
+def test_scratch_lies_in_the_shared_folder(spark):
+    kept = frames.saved(spark.range(3))
+    assert all("/llm-" in name for name in kept.inputFiles()) and kept.count() == 3
+    assert frames.small(kept, 3) and not frames.small(kept, 2)
+
+
 def _texts():
     draw = random.Random(5)
     words = ["a", "B", "été", "x\x00y", "word", "Word", "\u3000", "1"]
@@ -55,7 +62,9 @@ def test_packed_arrays_come_back():
     assert frames.packed_batches([keys[:0], more[:0]], 7).num_rows == 0
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("at_once", [5, 1_000_000])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, at_once):
+    monkeypatch.setattr(frames, "EDGES_AT_ONCE", at_once)
     edges = [(i, i + 1) for i in range(20, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (9, 3), (3, 9)]
     rows = frames.components(spark.createDataFrame(edges, "a long, b long")).collect()
     expected = {i: 20 for i in range(20, 61)} | {i: 100 for i in range(100, 140)} | {3: 3, 9: 3}
