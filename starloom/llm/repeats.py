@@ -92,8 +92,9 @@ def stretches(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     parts = -(-count // STRETCH)
     owner = np.repeat(np.arange(len(start)), parts)
     offset = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * STRETCH
+    # The smallest of many hashes are small: mixed anew, they spread over all buckets.
     return (
-        least[start][owner], start[owner] + offset, np.minimum(count[owner] - offset, STRETCH), (twice > 1)[owner]
+        mixed(least[start])[owner], start[owner] + offset, np.minimum(count[owner] - offset, STRETCH), (twice > 1)[owner]
     )
 
 
