@@ -9,7 +9,9 @@ run-length index of its stretches: the runs of their Burrows-Wheeler transform,
 with the text positions at the ends of runs as samples.  Streaming over the text
 from sample to sample gives for each position the longest match with its
 neighbour in suffix order, and so all strings of LENGTH bytes that begin in more
-than one place.
+than one place.  Strings of a gram in very many stretches meet by their own
+hashes instead, the first ones of each task only, so a hot string is one record
+a task and needs no bytes.
 """
 
 from __future__ import annotations
@@ -136,6 +138,8 @@ def _in_order(records: list[np.ndarray]) -> list[np.ndarray]:
 
 # Key, content, document, row, first byte, number of strings and flag.
 _RECORD = ["u8", "u8", "i8", "i8", "u4", "u4"]
+# Content, key, document, row and first byte of a single string.
+_STRING = ["u8", "u8", "i8", "i8", "u4"]
 
 
 def _again(records: list[np.ndarray]) -> np.ndarray:
@@ -380,6 +384,7 @@ def _indexed(texts: DataFrame, requests: DataFrame, buckets: int) -> DataFrame:
     fetched = joined_if_small(texts.select("row", "doc_id", "text"), asked, "row", "inner", BROADCAST_ROWS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone = []
         for batch in slices(batches, "text", CHUNK // 2):
             data, bounds = text_bytes(batch.column("text"))
             columns = [unpack_all([blob], ["u8", "u4", "u4"]) for blob in batch.column("asked").to_pylist()]
@@ -387,34 +392,68 @@ def _indexed(texts: DataFrame, requests: DataFrame, buckets: int) -> DataFrame:
             key, start, count = (np.concatenate([own[i] for own in columns]) for i in range(3))
             text = np.repeat(np.arange(batch.num_rows), number)
             crowded, count = count >= _FLAG, (count & ~_FLAG).astype(np.int64)
-            # Of crowded grams each string goes its own way.
-            times = np.where(crowded, count, 1)
-            owner = np.repeat(np.arange(len(key)), times)
-            step = np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times)
-            start, text = start[owner].astype(np.int64) + step, text[owner]
-            size = np.where(crowded, LENGTH, count + LENGTH - 1)[owner]
+            doc = batch.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
+            row = batch.column("row").to_numpy(zero_copy_only=False)
+            if crowded.any():
+                # Of crowded grams each string goes its own way, as a record without its bytes.
+                times = count[crowded]
+                owner = np.repeat(np.flatnonzero(crowded), times)
+                first = start[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(times) - times, times))
+                at = bounds[text[owner]] + first
+                content = span_hashes(data, at, at + LENGTH, lower=False)
+                alone.append([content, key[owner], doc[text[owner]], row[text[owner]], first.astype(np.uint32)])
+                if sum(len(part[0]) for part in alone) >= 300_000:
+                    yield firsts(alone)
+                    alone = []
+            key, start, count, text = (column[~crowded] for column in (key, start, count, text))
+            if not len(key):
+                continue
+            size = count + LENGTH - 1
             at = bounds[text] + start
-            alone = np.flatnonzero(crowded[owner])
-            key = key[owner]
-            if len(alone):
-                key[alone] = span_hashes(data, at[alone], at[alone] + LENGTH, lower=False)
             order = np.argsort(key, kind="stable")
-            doc = batch.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)[text]
-            row = batch.column("row").to_numpy(zero_copy_only=False)[text]
             bucket = bucket_of(key[order], buckets)
             cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(order)]
             rows = []
             for low, high in zip(cuts, cuts[1:]):
                 own = order[low:high]
                 place = np.repeat(at[own] - np.cumsum(size[own]) + size[own], size[own]) + np.arange(size[own].sum())
-                packed = pack([key[own], doc[own], row[own], start[own].astype(np.uint32), size[own].astype(np.uint32)])
+                packed = pack([key[own], doc[text[own]], row[text[own]], start[own].astype(np.uint32), size[own].astype(np.uint32)])
                 rows.append((int(bucket[low]), packed, data[place].tobytes()))
             numbers, packed, raw = zip(*rows)
             yield pa.record_batch({
                 "bucket": pa.array(numbers, pa.int32()), "blob": pa.array(packed, pa.binary()), "raw": pa.array(raw, pa.binary()),
             })
+        if alone:
+            yield firsts(alone)
+
+    def firsts(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        """Marks of strings that came before, and the first of each content for the bucket of its content."""
+        strings = _in_order([np.concatenate(column) for column in zip(*parts)])
+        again = _again(strings)
+        marks = _marks(strings[3][again], strings[4][again], np.ones(again.sum(), np.int64), buckets)
+        strings = [column[~again] for column in strings]
+        bucket = bucket_of(strings[0], buckets)
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+        numbers = [-1 - b for b in marks.column("bucket").to_pylist()] + (buckets + bucket[cuts[:-1]]).tolist()
+        blobs = marks.column("blob").to_pylist() + [
+            pack([column[low:high] for column in strings]) for low, high in zip(cuts, cuts[1:])
+        ]
+        return pa.record_batch({
+            "bucket": pa.array(numbers, pa.int32()), "blob": pa.array(blobs, pa.binary()),
+            "raw": pa.nulls(len(numbers), pa.binary()),
+        })
 
     def index(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:
+            return pa.table({
+                "kind": pa.array([0] * table.num_rows, pa.int32()),
+                "bucket": pa.array([-1 - bucket] * table.num_rows, pa.int32()), "blob": table.column("blob"),
+            })
+        if bucket >= buckets:  # single strings of crowded grams: equal by key and content, or nothing in common
+            strings = _in_order(unpack_all(table.column("blob").to_pylist(), _STRING))
+            again = _again(strings)
+            return _marks(strings[3][again], strings[4][again], np.ones(again.sum(), np.int64), buckets)
         kinds = ["u8", "i8", "i8", "u4", "u4"]
         key, doc, row, start, size = unpack_all(table.column("blob").to_pylist(), kinds)
         size = size.astype(np.int64)

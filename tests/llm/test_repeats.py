@@ -109,6 +109,26 @@ def test_long_texts_cut_into_parts_and_crowded_grams(spark, monkeypatch):
     _check(spark, rows, repeats.LENGTH)
 
 
+def test_a_hot_passage_is_few_records_in_any_bucket(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CROWDED", 3)
+    largest, by_bucket = [], repeats.by_bucket
+
+    def measured(packed, work, schema):
+        if "raw" in packed.columns:
+            sizes = packed.selectExpr("bucket", "length(blob) + coalesce(length(raw), 0) AS size").groupBy("bucket").sum("size")
+            largest.append(max(r[1] for r in sizes.collect()))
+        return by_bucket(packed, work, schema)
+
+    monkeypatch.setattr(repeats, "by_bucket", measured)
+    draw = random.Random(8)
+    passage = "".join(draw.choices("abcdefgh ", k=300))
+    rows = [
+        (i, "".join(draw.choices("abcdefgh ", k=150)) + passage + "".join(draw.choices("abcdefgh ", k=150))) for i in range(400)
+    ]
+    _check(spark, rows, repeats.LENGTH)
+    assert len(largest) == 1 and largest[0] < 2 * 400 * repeats.LENGTH
+
+
 def test_empty_tables(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove(frame).count() == 0
