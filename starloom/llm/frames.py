@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from starloom.plans.scratch import dropped_at_exit, shared_folder
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+# What a broadcast row takes besides its bytes.
+_ROW_BYTES = 64
 _folders: dict[str, str] = {}
 _numbers = itertools.count()
 
@@ -114,6 +116,12 @@ def joined_if_small(large: DataFrame, side: DataFrame, on, how: str, limit: int)
     return large.join(F.broadcast(side) if small(side, limit) else side, on, how)
 
 
+def joined_if_light(large: DataFrame, side: DataFrame, on, how: str, column: str, limit: int) -> DataFrame:
+    """Join to a written table, which is broadcast only if its rows and their ``column`` take at most ``limit`` bytes."""
+    size = side.agg(F.coalesce(F.sum(F.octet_length(column) + F.lit(_ROW_BYTES)), F.lit(0))).first()[0]
+    return large.join(F.broadcast(side) if size <= limit else side.hint("shuffle_merge"), on, how)
+
+
 # --- packed arrays -----------------------------------------------------------
 # A task turns many small records into a few rows (bucket, blob): arrays sorted by a 64-bit key, cut by
 # the key's leading part into buckets, each stored by byte planes, which compress well in the shuffle.

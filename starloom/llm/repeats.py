@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.frames import (
-    bucket_of, by_bucket, fresh, gathered, joined_if_small, pack, partitions, saved, tidy, unpack_all,
+    bucket_of, by_bucket, fresh, gathered, joined_if_light, pack, partitions, saved, tidy, unpack_all,
 )
 from starloom.llm.text import CHUNK, _BASE, _CODES, mixed, slices, span_hashes, text_bytes
 
@@ -35,8 +35,8 @@ GRAM = 32
 STRETCH = 256
 # A gram with more different stretches sends them on string by string.
 CROWDED = 20_000
-# Rows broadcast to a scan of the texts; more are joined by shuffle.
-BROADCAST_ROWS = 300_000
+# Bytes broadcast to a scan of the texts; more are joined by shuffle.
+BROADCAST_BYTES = 48 << 20
 _FLAG = np.uint32(1 << 31)
 
 
@@ -381,7 +381,7 @@ def _indexed(texts: DataFrame, requests: DataFrame, buckets: int) -> DataFrame:
         })
 
     asked = saved(by_bucket(requests, per_row, "row long, asked binary"))
-    fetched = joined_if_small(texts.select("row", "doc_id", "text"), asked, "row", "inner", BROADCAST_ROWS)
+    fetched = joined_if_light(texts.select("row", "doc_id", "text"), asked, "row", "inner", "asked", BROADCAST_BYTES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone = []
@@ -556,9 +556,9 @@ def remove(
     kept = [F.col(f"`{field.name}`").alias(f"keep_{i}") for i, field in enumerate(schema)]
     fields = [T.StructField(f"keep_{i}", field.dataType) for i, field in enumerate(schema)]
     own = [field for field in OWN if not (into and field.name == "kept")]
-    together = joined_if_small(rows.select(
+    together = joined_if_light(rows.select(
         *kept, F.col(row).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
-    ), found, "row", "left", BROADCAST_ROWS)
+    ), found, "row", "left", "spans", BROADCAST_BYTES)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK // 2):

@@ -129,6 +129,20 @@ def test_a_hot_passage_is_few_records_in_any_bucket(spark, monkeypatch):
     assert len(largest) == 1 and largest[0] < 2 * 400 * repeats.LENGTH
 
 
+def test_broadcasts_are_bounded_by_bytes(spark, monkeypatch):
+    hints, broadcast = [], repeats.F.broadcast
+    monkeypatch.setattr(repeats.F, "broadcast", lambda side: hints.append(side.columns) or broadcast(side))
+    long = "".join(random.Random(3).choices("abcdefgh ", k=400))
+    rows = [(i, long[i:] + "xyz"[i % 3] * 20 + long) for i in range(20)]
+    _check(spark, rows, repeats.LENGTH)
+    assert hints == [["row", "asked"], ["row", "spans"]]
+    hints.clear()
+    # Fewer rows than any limit on rows, but more bytes than this one.
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 1000, raising=False)
+    _check(spark, rows, repeats.LENGTH)
+    assert hints == []
+
+
 def test_empty_tables(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.remove(frame).count() == 0
