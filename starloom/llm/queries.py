@@ -78,15 +78,24 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(pieces)
 
 
-def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    scored = scoring.score(_table(spark, folder, "documents"))
+def _scores(spark: SparkSession, folder: str, order: int) -> DataFrame:
+    scored = scoring.score(_table(spark, folder, "documents"), order)
     return scored.select(
         "doc_id", "n_words", F.round("log_score", 5).alias("log_score"),
         F.round("mean_log_score", 7).alias("mean_log_score"),
     )
 
 
-QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring)
+def op10_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return _scores(spark, folder, scoring.ORDER)
+
+
+def op10_scoring_triples(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with contexts of two words."""
+    return _scores(spark, folder, 3)
+
+
+QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples)
 
 ORACLE_SQL = {
     "op10_scoring": r"""
@@ -113,4 +122,36 @@ ORACLE_SQL = {
                round(sum(s.score) / count(s.score), 7) AS mean_log_score
         FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id GROUP BY d.doc_id
     """,
+    "op10_scoring_triples": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), tokens AS (
+            SELECT doc_id, i, words[i] AS word, CASE WHEN i > 1 THEN words[i - 1] END AS before,
+                   CASE WHEN i > 2 THEN words[i - 2] END AS first
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM split)
+        ), ones AS (SELECT word, count(*) AS n FROM tokens GROUP BY word),
+        twos AS (SELECT before, word, count(*) AS n FROM tokens WHERE before IS NOT NULL GROUP BY before, word),
+        threes AS (
+            SELECT first, before, word, count(*) AS n FROM tokens WHERE first IS NOT NULL GROUP BY first, before, word
+        ), scored AS (
+            SELECT t.doc_id, ln(CASE
+                WHEN h.n >= 2 THEN h.n / d.n
+                ELSE CASE WHEN t.first IS NULL THEN 1 ELSE 0.4 END * CASE
+                    WHEN t.before IS NULL THEN o.n / (SELECT count(*) FROM tokens)
+                    WHEN w.n >= 2 THEN w.n / c.n
+                    ELSE 0.4 * o.n / (SELECT count(*) FROM tokens) END
+                END) AS score
+            FROM tokens t JOIN ones o ON o.word = t.word
+            LEFT JOIN ones c ON c.word = t.before
+            LEFT JOIN twos w ON w.before = t.before AND w.word = t.word
+            LEFT JOIN twos d ON d.before = t.first AND d.word = t.before
+            LEFT JOIN threes h ON h.first = t.first AND h.before = t.before AND h.word = t.word
+        )
+        SELECT d.doc_id, count(s.score) AS n_words, round(coalesce(sum(s.score), 0), 5) AS log_score,
+               round(sum(s.score) / count(s.score), 7) AS mean_log_score
+        FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
 }

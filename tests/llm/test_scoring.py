@@ -49,3 +49,15 @@ def test_null_means_and_an_empty_table(spark):
     rows = {r.doc_id: r for r in scoring.score(frame).collect()}
     assert rows[None].mean_log_score is None and rows[None].log_score == 0 and rows[3].mean_log_score == 0
     assert scoring.score(frame.limit(0)).count() == 0
+
+
+def test_a_query_scores_by_contexts_of_two_words(tmp_path, spark):
+    from starloom.llm import queries
+
+    texts = ["a b c", "a b c", "x b d", "x b d", "x b d"]
+    rows = [(i, text, 1, 2) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    named = {query.__name__: query for query in queries.QUERIES}
+    found = {r.doc_id: r.log_score for r in named["op10_scoring_triples"](spark, str(tmp_path)).collect()}
+    assert [found[i] for i in range(5)] == pytest.approx([score for _, score in _brute(texts, 3)], abs=1e-5)
+    assert found[0] != pytest.approx(_brute(texts, 2)[0][1], abs=1e-5)
