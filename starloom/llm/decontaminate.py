@@ -5,6 +5,11 @@ changed word between the looked-at ones leaves the window's hash as it was.  The
 hashes of all test windows are joined to those of all training windows; each
 hit proposes an alignment of an item with a document, along which the words are
 then compared, allowing for substitutions.
+
+Runs of RUN words propose what changed words hide from the masks.  They miss no
+alignment that is a leak by itself: without three equal words in a row no
+stretch of it scores above 2, so the best one has two words.  As such runs are
+common, what only they propose counts only if it is a leak by itself.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from starloom.llm.frames import fresh, joined_if_small, saved, small_batches, ti
 from starloom.llm.text import ALNUM, CHUNK, mixed, slices, text_bytes, weights, word_hashes
 
 MASKS = ("11011011", "1101001111", "1110010111", "101011011101")
+RUN = 3
 # An alignment is verified along the stretch that scores best with these.
 MATCH, MISMATCH = 1, -2
 # An item has leaked into a document if so many of its words are found there, or this part of a short item.
@@ -32,6 +38,8 @@ WORDS_PER_PASS = 1_000_000
 # Rows broadcast to a scan of the documents; more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
 _SIEVE_BITS = 20
+# Words compared at once.
+_AT_ONCE = 1 << 20
 
 
 def _offsets(mask: str) -> np.ndarray:
@@ -79,11 +87,52 @@ class Items:
             if len(keys):
                 item = owner[place[order]]
                 self.by_mask.append((offsets, sieve, keys[order], item, place[order] - self.counts[item]))
+        self.needed = np.minimum(LEAST_WORDS, LEAST_PART * sizes)
+        self.runs = []
+        offsets = np.arange(RUN)
+        keys, place = _seeds(self.hashes, self.counts, offsets)
+        wanted = sizes[owner[place]] >= SHORTEST_ITEM
+        keys, place = keys[wanted], place[wanted]
+        if len(keys):
+            order = np.argsort(keys, kind="stable")
+            sieve = np.zeros(1 << _SIEVE_BITS, bool)
+            sieve[keys >> np.uint64(64 - _SIEVE_BITS)] = True
+            item = owner[place[order]]
+            self.runs.append((offsets, sieve, keys[order], item, place[order] - self.counts[item]))
 
     def hits(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Distinct rows (text, item, shift): the item's word i may be the text's word i + shift."""
+        return self._proposed(self.by_mask, hashes, counts)
+
+    def whole_hits(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Rows as of :meth:`hits` that runs propose and that have as many equal words as a leak needs."""
+        rows = self._proposed(self.runs, hashes, counts)
+        text, item, shift = rows.T
+        low = np.maximum(0, -shift)
+        sizes = np.diff(self.counts)[item]
+        high = np.minimum(sizes, np.diff(counts)[text] - shift)
+        # As for the masks, a window of the item must lie in the text: as much as the shortest mask, or all of the item.
+        fits = high - low >= np.minimum(sizes, min(len(mask) for mask in MASKS))
+        rows, low, high = rows[fits], low[fits], high[fits]
+        text, item, shift = rows.T
+        ends = np.cumsum(high - low)
+        kept, at = [rows[:0]], 0
+        while at < len(rows):
+            limit = (ends[at - 1] if at else 0) + _AT_ONCE
+            to = max(at + 1, int(np.searchsorted(ends, limit, side="right")))
+            number = (high - low)[at:to]
+            first = np.cumsum(number) - number
+            step = np.arange(number.sum()) - np.repeat(first - low[at:to], number)
+            mine = self.hashes[step + np.repeat(self.counts[item[at:to]], number)]
+            theirs = hashes[step + np.repeat(counts[text[at:to]] + shift[at:to], number)]
+            equal = np.add.reduceat((mine == theirs).astype(np.int64), first)
+            kept.append(rows[at:to][equal >= self.needed[item[at:to]]])
+            at = to
+        return np.concatenate(kept)
+
+    def _proposed(self, seeds: list[tuple], hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         found = [np.zeros((0, 3), np.int64)]
-        for offsets, sieve, keys, item, item_place in self.by_mask:
+        for offsets, sieve, keys, item, item_place in seeds:
             own, place = _seeds(hashes, counts, offsets)
             likely = np.flatnonzero(sieve[own >> np.uint64(64 - _SIEVE_BITS)])
             low = np.searchsorted(keys, own[likely], side="left")
@@ -148,6 +197,10 @@ def overlaps(
                     stretch = tested.verified(hashes[counts[text]:counts[text + 1]], item, shift)
                     if stretch:
                         together.setdefault((text, item), []).append((*stretch, shift))
+                for text, item, shift in tested.whole_hits(hashes, counts).tolist():
+                    stretch = tested.verified(hashes[counts[text]:counts[text + 1]], item, shift)
+                    if stretch and stretch[2].sum() >= tested.needed[item]:
+                        together.setdefault((text, item), []).append((*stretch, shift))
                 rows = []
                 for (text, item), stretches in together.items():
                     length = int(tested.counts[item + 1] - tested.counts[item])

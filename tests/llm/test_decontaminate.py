@@ -64,6 +64,28 @@ def test_changed_words_at_any_distance(spark):
     assert len(found) >= 198  # three changed words may leave no stretch that any mask fits
 
 
+def test_every_pattern_of_changed_words_that_makes_a_leak(spark):
+    draw, texts, items, expected = random.Random(6), [], [], set()
+    for size in (5, 6, 7, 8, 9, 10, 12, 40, 41):
+        item = _words(size, size)
+        if size < 11:
+            patterns = [[number >> i & 1 for i in range(size)] for number in range(1 << size)]
+        else:
+            patterns = [[i % n != k for i in range(size)] for n in (3, 4, 5, 6) for k in range(n)]
+            patterns += [[draw.random() < 0.8 for _ in range(size)] for _ in range(100)]
+        for same in patterns:
+            best = max(
+                (sum(1 if x else -2 for x in same[a:b]), -b, a, sum(same[a:b])) for a in range(size) for b in range(a, size + 1)
+            )
+            if best[0] > 0 and best[3] >= min(decontaminate.LEAST_WORDS, decontaminate.LEAST_PART * size):
+                expected.add((len(texts), len(items)))
+            texts.append(" ".join(["x", "y", *(word if x else "changed" for word, x in zip(item, same)), "z"]))
+        items.append(" ".join(item))
+    found = set(_leaks(spark, texts, items))
+    assert expected <= found and len(expected) > 400
+    assert all(pair in expected for pair in found if len(items[pair[1]].split()) < 8)
+
+
 def test_empty_tables(spark):
     assert _leaks(spark, [], ["a b c d e f"]) == {} and _leaks(spark, ["a b c d e f"], []) == {}
 
