@@ -101,9 +101,12 @@ _CONDITIONS = {
 }
 _CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0", "")
 
+# How a grant begins, besides "licensed".
+GRANT_VERBS = ("released", "distributed", "published", "available", "provided", "covered", "redistributed")
+GRANT_PREPOSITIONS = ("under", "by", "with")
 _GRANT = (
-    r"(?:dual |re ?)?(?:licen[cs]ed|released|distributed|published|available|provided|covered|redistributed) "
-    r"(?:under|by|with)(?: the)?(?: terms of)?(?: the)?"
+    rf"(?:dual |re ?)?(?:licen[cs]ed|{'|'.join(GRANT_VERBS)}) "
+    rf"(?:{'|'.join(GRANT_PREPOSITIONS)})(?: the)?(?: terms of)?(?: the)?"
 )
 
 # Notices that name no license: label, regex, word that must be there, confidence.

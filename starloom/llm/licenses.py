@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import small_batches, tidy
-from starloom.llm.license_rules import BASE_PHRASES, Rule, rules
+from starloom.llm.license_rules import BASE_PHRASES, GRANT_PREPOSITIONS, GRANT_VERBS, Rule, rules
 from starloom.llm.text import _LOWER, ALNUM, CHUNK, slices, text_bytes, words
 
 _BLANK, _END = 0x20, 0x0A
@@ -26,8 +26,8 @@ _NORMAL = np.where(ALNUM, _LOWER, np.uint8(_BLANK)).astype(np.uint8)
 PREFILTER = (
     b"licen", b"spdx", b"copyright", b"creative commons", b"cc by", b"cc0", b"public domain", b"gpl", b"all rights reserved",
     b"without any warranty", b"without warranty", b"hereby granted", b"permission to use", b"redistribution and use",
-    b"proprietary and", b" cc ", b"openrail", b"apache 2 0", b"distributed under", b"released under", b"available under",
-    b"published under", b"provided under", b"covered by", b"released with", b"distributed with",
+    b"proprietary and", b" cc ", b"openrail", b"apache 2 0",
+    *(f"{verb} {preposition}".encode() for verb in GRANT_VERBS for preposition in GRANT_PREPOSITIONS),
 )
 BASE_CONFIDENCE = 0.95
 

@@ -1,3 +1,4 @@
+import random
 import re
 
 from starloom.llm import licenses, license_rules
@@ -57,6 +58,48 @@ def test_there_are_hundreds_of_rules_and_the_prefilter_misses_none():
         assert any(word in f"licensed under the {text} license".encode() for word in licenses.PREFILTER), name
 
 
+def _drawn(parsed, draw):
+    """A text that a parsed regex of words matches."""
+    text = ""
+    for kind, value in parsed:
+        if str(kind) == "LITERAL":
+            text += chr(value)
+        elif str(kind) == "IN":
+            kind, value = draw.choice(value)
+            text += chr(value if str(kind) == "LITERAL" else draw.randint(*value))
+        elif str(kind) == "CATEGORY" or str(kind) == "ANY":
+            text += "1"
+        elif str(kind) == "BRANCH":
+            text += _drawn(draw.choice(value[1]), draw)
+        elif str(kind) == "SUBPATTERN":
+            text += _drawn(value[3], draw)
+        elif str(kind) in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, part = value
+            text += "".join(_drawn(part, draw) for _ in range(draw.randint(low, min(int(high), low + 2))))
+        else:
+            assert str(kind) == "ASSERT_NOT", kind
+    return text
+
+
+def test_every_form_of_every_rule_passes_the_prefilter():
+    draw, tried = random.Random(1), 0
+    for rule in license_rules.rules():
+        parsed = re._parser.parse(rule.regex.pattern.decode().replace(r"\d", "[0-9]"))
+        for _ in range(60):
+            text = _drawn(parsed, draw).encode()
+            if rule.must not in text:
+                continue
+            tried += 1
+            assert rule.regex.fullmatch(text), text
+            assert any(word in text for word in licenses.PREFILTER), text
+    assert tried > 10_000
+
+
+def test_grants_with_any_verb(spark):
+    found = _scan(spark, ["this code is covered under MPL 2.0", "covered under the BSD 3-Clause", "provided with zlib"])
+    assert [r.labels for r in found] == ["mpl-2.0", "bsd-3-clause", "zlib"]
+
+
 def test_containment():
     import numpy as np
 
