@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import chat, decontaminate, jaccard, language, licenses, packing, repeats, scoring, sharding, vectors
+from starloom.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    personal,
+    repeats,
+    scoring,
+    sharding,
+    vectors,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,7 +107,19 @@ def op10_scoring_triples(spark: SparkSession, folder: str) -> DataFrame:
     return _scores(spark, folder, 3)
 
 
-QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples)
+def op11_personal(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every whole text; the digest is over the base spans alone."""
+
+    def told(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    return personal.find(_table(spark, folder, "documents")).select(
+        "doc_id", *(f"n_{kind}" for kind in personal.BASE_KINDS),
+        F.sha2(told(F.filter("spans", lambda s: s.base)), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples, op11_personal)
 
 ORACLE_SQL = {
     "op10_scoring": r"""
