@@ -16,6 +16,7 @@ from starloom.llm import (
     repeats,
     scoring,
     sharding,
+    vector_codes,
     vectors,
 )
 
@@ -119,7 +120,65 @@ def op11_personal(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples, op11_personal)
+def op12_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors, with the codebooks' digest on every row."""
+    rows, books = vector_codes.compress(_table(spark, folder, "embeddings"))
+    digits = F.transform("codes", lambda code: F.lpad(F.lower(F.hex(code)), 2, "0"))
+    return vector_codes.with_label_errors(rows).select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+        F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
+QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples, op11_personal, op12_codes)
+
+
+
+def _codes_round(number: int) -> str:
+    """Assignment to the entries of one round, and the entries of the next."""
+    return f"""
+        near{number} AS (
+            SELECT vec_id, label, p, least % 64 AS entry, least // 64 AS error FROM (
+                SELECT c.vec_id, c.label, c.p, min(list_sum([
+                    (z[1] - z[2]) * (z[1] - z[2]) for z in list_zip(c.x, b.x)
+                ])::BIGINT * 64 + b.entry) AS least
+                FROM cut c JOIN book{number} b ON b.p = c.p GROUP BY c.vec_id, c.label, c.p
+            )
+        ), mean{number} AS (
+            SELECT p, entry, list((s - (s % n + n) % n) // n ORDER BY i) AS x FROM (
+                SELECT c.p, n.entry, c.i, sum(c.one)::BIGINT AS s, count(*) AS n
+                FROM (SELECT vec_id, p, unnest(x) AS one, unnest(range(1, len(x) + 1)) AS i FROM cut) c
+                JOIN near{number} n ON n.vec_id = c.vec_id AND n.p = c.p GROUP BY c.p, n.entry, c.i
+            ) GROUP BY p, entry
+        ), book{number + 1} AS (
+            SELECT b.p, b.entry, coalesce(m.x, b.x) AS x
+            FROM book{number} b LEFT JOIN mean{number} m ON m.p = b.p AND m.entry = b.entry
+        )"""
+
+
+_CODES_SQL = f"""
+    WITH kept AS (
+        SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), cut AS (
+        SELECT vec_id, label, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x
+        FROM (SELECT vec_id, label, v, unnest(range(16)) AS p FROM kept)
+    ), seeds AS (
+        SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept
+    ), book0 AS (
+        SELECT c.p, s.entry, c.x FROM cut c JOIN seeds s ON s.vec_id = c.vec_id WHERE s.entry < 64
+    ), {_codes_round(0)}, {_codes_round(1)}, {_codes_round(2)}, whole AS (
+        SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY p) AS code, sum(error)::BIGINT AS error
+        FROM near2 GROUP BY vec_id, label
+    )
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, (
+        SELECT sha256(string_agg(one::VARCHAR, ',' ORDER BY p, entry, i))
+        FROM (SELECT p, entry, unnest(x) AS one, unnest(range(1, len(x) + 1)) AS i FROM book2)
+    ) AS codebooks_sha256
+    FROM whole
+"""
 
 ORACLE_SQL = {
     "op10_scoring": r"""
@@ -178,4 +237,5 @@ ORACLE_SQL = {
                round(sum(s.score) / count(s.score), 7) AS mean_log_score
         FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id GROUP BY d.doc_id
     """,
+    "op12_codes": _CODES_SQL,
 }

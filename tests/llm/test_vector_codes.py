@@ -1,0 +1,137 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+from starloom.llm import vector_codes
+from starloom.llm.vector_codes import assigned, compress, grown, with_label_errors
+
+SCHEMA = "vec_id long, embedding array<float>, label int, blob string, codes string"
+
+
+def _brute(points, entries):
+    return ((points[:, None].astype(np.int64) - entries[None]) ** 2).sum(axis=2)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_trees_assign_as_by_brute_force(seed):
+    draw = np.random.default_rng(seed)
+    most, width = int(draw.choice([1, 3, 60, 3000])), int(draw.integers(1, 5))
+    points = draw.integers(-most, most + 1, (int(draw.integers(0, 500)), width)).astype(np.int32)
+    if seed % 3 == 0:
+        points[:len(points) // 2] = points[:1]
+    entries = draw.integers(-most, most + 1, (int(draw.integers(1, 65)), width)).astype(np.int64)
+    tree = grown(points, leaf=int(draw.choice([1, 4, 24])))
+    nearest, sums, counts, _ = assigned(tree, points, entries)
+    expected = _brute(points, entries).argmin(axis=1) if len(points) else np.zeros(0, np.int64)
+    assert nearest.tolist() == expected.tolist()
+    assert counts.tolist() == np.bincount(expected, minlength=len(entries)).tolist()
+    whole = np.zeros_like(entries)
+    np.add.at(whole, expected, points.astype(np.int64))
+    assert sums.tolist() == whole.tolist()
+
+
+@pytest.mark.parametrize("leaf", [1, 8])
+def test_balls_hold_their_points(leaf):
+    points = np.random.default_rng(5).normal(0, 50, (700, 3)).astype(np.int32)
+    tree = grown(points, leaf)
+    assert sorted(tree.order.tolist()) == list(range(700))
+    for ball in range(len(tree.first)):
+        members = points[tree.order[tree.first[ball]:tree.first[ball] + tree.size[ball]]]
+        assert tree.total[ball].tolist() == members.sum(axis=0).tolist()
+        assert np.sqrt(((members - tree.center[ball]) ** 2).sum(axis=1)).max() <= tree.radius[ball] + 1e-9
+        if tree.low[ball] >= 0:
+            assert tree.size[ball] == tree.size[tree.low[ball]] + tree.size[tree.high[ball]]
+        else:
+            assert tree.size[ball] <= leaf or len(np.unique(members, axis=0)) == 1
+
+
+def test_lists_shrink_and_balls_are_owned():
+    draw = np.random.default_rng(7)
+    middles = draw.integers(-1000, 1000, (64, 4))
+    points = (middles[draw.integers(0, 64, 20_000)] + draw.integers(-3, 4, (20_000, 4))).astype(np.int32)
+    _, _, counts, compared = assigned(grown(points), points, middles.astype(np.int64))
+    assert counts.sum() == 20_000 and compared < 0.01 * points.shape[0] * 64
+
+
+def test_equal_points_end_in_one_ball():
+    points = np.ones((50_000, 4), np.int32)
+    tree = grown(points)
+    assert len(tree.first) == 1
+    entries = np.array([[5, 5, 5, 5], [1, 1, 1, 2], [1, 1, 1, 0], [1, 1, 1, 2]])
+    nearest, sums, counts, compared = assigned(tree, points, entries)
+    assert set(nearest) == {1} and counts.tolist() == [0, 50_000, 0, 0] and sums[1].tolist() == [50_000] * 4
+
+
+def _check(spark, rows, **sizes):
+    """All columns of all rows against k-means by brute force."""
+    parts, entries, rounds = sizes.get("parts", 16), sizes.get("entries", 64), sizes.get("rounds", 2)
+    found, books = compress(spark.createDataFrame([(i, v, n, "b", "c") for i, v, n in rows], SCHEMA), **sizes)
+    found = with_label_errors(found).collect()
+    good = [(i, v, n) for i, v, n in rows if v and all(x is not None and np.isfinite(x) for x in v) and len(v) % parts == 0]
+    good.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    steps = np.clip(np.floor(np.array([v for _, v, _ in good], np.float32).astype(float) * 256), -2**24, 2**24).astype(np.int64)
+    expected = [[] for _ in good]
+    errors = np.zeros(len(good), np.int64)
+    own = []
+    for points in np.split(steps, parts, axis=1) if good else []:
+        book = points[:entries].copy()
+        for last in [False] * rounds + [True]:
+            distance = _brute(points, book)
+            near = distance.argmin(axis=1)
+            for entry in range(0 if last else len(book)):
+                if (near == entry).any():
+                    book[entry] = points[near == entry].sum(axis=0) // (near == entry).sum()
+        errors += distance.min(axis=1)
+        own.append(book)
+        for row, entry in zip(expected, near.tolist()):
+            row.append(entry)
+    assert [b.tolist() for b in books] == [b.tolist() for b in own]
+    totals = {}
+    for (_, _, label), error in zip(good, errors.tolist()):
+        totals[label] = totals.get(label, 0) + error
+    assert sorted((str(r.vec_id), r.codes, r.error, r.label_error) for r in found) == sorted(
+        (str(i), codes, error, totals[label]) for (i, _, label), codes, error in zip(good, expected, errors.tolist())
+    )
+
+
+def _rows(count, width, seed=1, scale=0.2):
+    draw = np.random.default_rng(seed)
+    return [(i, draw.normal(0, scale, width).astype(np.float32).tolist(), int(i % 3) or None) for i in range(count)]
+
+
+def test_codes_as_by_brute_force(spark):
+    _check(spark, _rows(700, 32))
+
+
+def test_few_vectors_in_small_blocks(spark):
+    _check(spark, _rows(150, 8, 2), parts=4, entries=7, rounds=3, block=16)
+    _check(spark, _rows(5, 16))
+
+
+def test_ties_repeats_and_a_hot_vector(spark):
+    hot = [0.25] * 16
+    rows = [(i, hot, 1) for i in range(200)] + [(i, [x * 0.5 for x in range(16)], None) for i in range(100, 150)]
+    _check(spark, rows + [(200 + i, v, 2) for i, v, _ in _rows(300, 16, 3)])
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None, 1), (2, [], 1), (3, [nan] + [0.0] * 15, 1), (4, [inf] + [0.0] * 15, 1), (5, [None] + [0.0] * 15, 1),
+        (None, [0.5] * 16, None), (7, [-0.001] * 16, 2), (7, [-0.001] * 16, 2), (8, [1e30] * 16, 2), (9, [0.0] * 15, 2),
+        (10, [-1e30] * 16, None),
+    ]
+    _check(spark, rows)
+
+
+def test_lengths_other_than_the_usual_one_are_left_out(spark):
+    rows = [(i, v, 1) for i, v, _ in _rows(20, 16)] + [(50 + i, v, 1) for i, v, _ in _rows(5, 32)]
+    found, books = compress(spark.createDataFrame([(i, v, n, "b", "c") for i, v, n in rows], SCHEMA))
+    assert found.count() == 20 and books[0].shape == (20, 1)
+
+
+def test_empty_table(spark):
+    found, books = compress(spark.createDataFrame([], SCHEMA))
+    assert with_label_errors(found).collect() == [] and books == []
+    assert vector_codes.books_sha256(books) == hashlib.sha256(b"").hexdigest()
