@@ -29,7 +29,7 @@ PARTS, ENTRIES, ROUNDS = 16, 64, 2
 # A component counts as so many steps of 1 / SCALE, at most MOST_STEPS of them either way, so that sums stay exact.
 SCALE, MOST_STEPS = 256, 1 << 24
 # A block of vectors has trees of its own: at most so many vectors, and so many bytes.  A leaf holds so many points.
-BLOCK, BLOCK_BYTES, LEAF = 16_384, 16 << 20, 64
+BLOCK, BLOCK_BYTES, LEAF = 16_384, 16 << 20, 128
 LABELS_AT_ONCE = 200_000
 
 
