@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import (
     chat,
+    conversations,
     decontaminate,
     jaccard,
     language,
@@ -130,7 +131,35 @@ def op12_codes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples, op11_personal, op12_codes)
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults, dealt by the checksum of ``conv_id:turn``; nulls are one space."""
+    blank = F.lit(" ")
+    deal = F.crc32(F.encode(F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank)
+    ), "UTF-8")) % 20
+    text = F.coalesce("text", blank)
+    rows = rows.select(
+        "conv_id", "turn", F.when(deal == 4, "user").otherwise(F.coalesce("role", blank)).alias("role"),
+        F.when(deal == 1, "").when(deal == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(deal == 0, 0).when(deal == 3, 2).otherwise(1).alias("copies"),
+    )
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).drop("copy", "copies")
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations after damage; one without rows left has none."""
+    rows = _table(spark, folder, "conversations")
+    found, turns = conversations.repair(damaged(rows))
+    every = rows.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")).alias("conv")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found.drop("conv_id"), "conv", "left").join(conversations.digests(turns), "conv", "left").select(
+        "conv_id", *(F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
+QUERIES = (op1_decontamination, op2_language, op3_repeats, op4_jaccard, op5_vectors, op6_licenses, op7_chat, op8_sharding, op9_packing, op10_scoring, op10_scoring_triples, op11_personal, op12_codes, op13_repair)
 
 
 

@@ -1,0 +1,229 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from starloom.llm import conversations, queries
+from starloom.llm.conversations import GONE, KEEP, cheapest, chosen_ways, digests, repair, ways
+
+LEGAL = re.compile(r"(s?(ua)+)?\Z")
+SCHEMA = "conv_id long, turn long, role string, text string, place long, codes string"
+
+
+def _shape(initials):
+    """All that the pattern needs to know of role initials; None for those that nothing can complete."""
+    if initials in ("", "s"):
+        return initials
+    if re.fullmatch(r"s?(ua)+", initials):
+        return "ua"
+    return "u" if re.fullmatch(r"s?(ua)*u", initials) else None
+
+
+def _put(table, initials, value):
+    shape = _shape(initials)
+    if shape is not None and (shape not in table or value < table[shape]):
+        table[shape] = value
+
+
+def _plans(codes):
+    """Cheapest cost and least audit, row by row over whole audits."""
+
+    def closed(table):
+        for _ in range(3):  # insertions at one place
+            for initials, (cost, audit) in list(table.items()):
+                for letter in "ua":
+                    _put(table, initials + letter, (cost + 5, audit + "I"))
+        return table
+
+    best = closed({"": (0, "")})
+    for code in codes:
+        after = {}
+        for initials, (cost, audit) in best.items():
+            _put(after, initials, (cost + 2, audit + "D"))
+            if code == GONE:
+                continue
+            extra = 5 if code.isupper() else 0
+            _put(after, initials + code.lower(), (cost + extra, audit + "K"))
+            for letter in "ua":
+                _put(after, initials + letter, (cost + extra + 1, audit + "R"))
+        best = closed(after)
+    return min(value for initials, value in best.items() if LEGAL.match(initials))
+
+
+@pytest.mark.parametrize("length", range(1, 6))
+def test_cheapest_repairs_of_all_short_conversations(length):
+    draw = random.Random(length)
+    every = list(itertools.product("sSuUaAoO-", repeat=length))
+    for codes in every if len(every) < 10_000 else draw.sample(every, 5_000):
+        assert cheapest("".join(codes)) == _plans("".join(codes)), codes
+
+
+def test_cheapest_repairs_of_longer_conversations():
+    draw = random.Random(9)
+    for _ in range(800):
+        codes = "".join(draw.choices("sSuUaAoO-", weights=[1, 1, 5, 2, 5, 2, 1, 1, 2], k=draw.randrange(6, 60)))
+        assert cheapest(codes) == _plans(codes), codes
+
+
+def test_enumerated_audits():
+    """Against all edit sequences of up to two insertions, without any notion of states."""
+    for codes in itertools.product("suUao-", repeat=3):
+        found = []
+        for edits in itertools.product(["D", "K", "Ru", "Ra"], repeat=3):
+            if any(c == GONE and e != "D" for c, e in zip(codes, edits)):
+                continue
+            kept = [c.lower() if e == "K" else e[1:] for c, e in zip(codes, edits)]
+            cost = sum({"D": 2, "K": 0}.get(e, 1) + 5 * (e != "D" and c.isupper()) for c, e in zip(codes, edits))
+            for inserts in itertools.product(["", "u", "a", "ua", "au"], repeat=4):
+                if sum(map(len, inserts)) > 2:
+                    continue
+                parts = [x for i in range(3) for x in (inserts[i], "" if edits[i] == "D" else kept[i])] + [inserts[3]]
+                audit = "".join("I" * len(inserts[i]) + edits[i][0] for i in range(3)) + "I" * len(inserts[3])
+                if LEGAL.match("".join(parts)):
+                    found.append((cost + 5 * sum(map(len, inserts)), audit))
+        assert cheapest("".join(codes)) == min(found), codes
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7])
+def test_segments_joined_give_the_whole(size):
+    draw = random.Random(size)
+    for _ in range(400):
+        codes = "".join(draw.choices("sSuUaAoO-", weights=[1, 1, 5, 2, 5, 2, 1, 1, 2], k=draw.randrange(size + 1, 40)))
+        pieces = [codes[i:i + size] for i in range(0, len(codes), size)]
+        table = [ways(piece, i == len(pieces) - 1) for i, piece in enumerate(pieces)]
+        ranked = [
+            [(b, a, c, sum(o[0] == b and o[3] < audit for o in one)) for b, a, c, audit in one] for one in table
+        ]
+        path = chosen_ways(ranked)
+        taken = [next(w for w in one if w[:2] == pair) for one, pair in zip(table, path)]
+        assert (sum(w[2] for w in taken), "".join(w[3] for w in taken)) == cheapest(codes), codes
+
+
+def _expected(rows):
+    """By conversation: all columns of the query, by brute force on the whole list of its rows."""
+    by_conv = {}
+    for row in rows:
+        by_conv.setdefault(row[0], []).append(row)
+    found = {}
+    for conv, own in by_conv.items():
+        own = sorted(own, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        counts, seen, codes = dict.fromkeys(("blank", "duplicate", "truncated"), 0), set(), ""
+        for _, _, role, text in own:
+            body = text.strip(" \t\n\x0b\x0c\r")
+            fault = "blank" if not body else "duplicate" if (role, text) in seen else "" if body[-1] in ".!?" else "truncated"
+            seen.add((role, text))
+            if fault:
+                counts[fault] += 1
+            code = role[:1] if role[:1] in ("s", "u", "a") else "o"
+            codes += GONE if fault in ("blank", "duplicate") else code.upper() if fault else code
+        turns = [r[1] for r in own if r[1] is not None]
+        pairs = [a[2][:1] + b[2][:1] for a, b in zip(own, own[1:])]
+        cost, audit = _plans(codes)
+        lines, at, last = [], 0, ""
+        for edit in audit:
+            need = "a" if last == "u" else "u"
+            if edit == "D":
+                at += 1
+                continue
+            if edit == "I":
+                line = {"u": "user:", "a": "assistant:"}[need]
+            else:
+                role, text = own[at][2:4]
+                line = f"{role if edit == KEEP else {'u': 'user', 'a': 'assistant'}[need]}:{text}"
+                at += 1
+            lines.append(line)
+            last = line[:1]
+        found[conv] = (
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, counts["blank"], counts["duplicate"],
+            counts["truncated"], sum(pair not in ("su", "ua", "au") for pair in pairs), cost, audit,
+            hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return found
+
+
+def _damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        deal = zlib.crc32(key.encode()) % 20
+        text = "" if deal == 1 else re.sub("[.!?]", "", text) if deal == 2 else text
+        out += [(conv, turn, "user" if deal == 4 else role, text)] * (0 if deal == 0 else 2 if deal == 3 else 1)
+    return out
+
+
+def _found(spark, rows):
+    frame = spark.createDataFrame([(*row, 7, "x") for row in rows], SCHEMA)
+    found, turns = repair(frame)
+    told = {r.conv: r.repaired_sha256 for r in digests(turns).collect()}
+    nothing = hashlib.sha256(b"").hexdigest()
+    return {
+        r.conv_id: (r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, told.get(r.conv, nothing))
+        for r in found.collect()
+    }
+
+
+def _random_rows(count, conversations_, seed):
+    draw = random.Random(seed)
+    texts = ["Yes.", "No!", "Why?", "so", "", " \t", "and then", "A. ", "é…", "x" * 300 + "."]
+    roles = ["user", "assistant", "system", "tool", "", " "]
+    return [
+        (draw.choice([*range(conversations_), None]), draw.choice([None, *range(40)]), draw.choices(roles, [6, 6, 2, 1, 1, 1])[0],
+         draw.choice(texts) + (str(draw.randrange(50)) + "." if draw.random() < 0.6 else ""))
+        for _ in range(count)
+    ]
+
+
+@pytest.mark.parametrize("segment", [2, 5, 512])
+def test_whole_operator_as_by_brute_force(spark, monkeypatch, segment):
+    monkeypatch.setattr(conversations, "SEGMENT", segment)
+    rows = _random_rows(400, 25, segment)
+    assert _found(spark, rows) == _expected(rows)
+
+
+def test_one_conversation_with_most_rows(spark):
+    draw = random.Random(4)
+    rows = [(1, i, draw.choice(["user", "assistant"]), draw.choice(["Yes.", f"{i}.", f"{i}", ""])) for i in range(3000)]
+    rows += [(2, 5, "user", "Same.")] * 1500 + [(i, 0, "user", "Hi.") for i in range(10, 400)]
+    found = _found(spark, rows)
+    assert found == _expected(rows)
+    assert found[2][2] == 1499
+
+
+def test_turns_left(spark):
+    rows = [(1, 3, "assistant", "Fine."), (1, 1, "user", "How?"), (1, 2, "user", "Really?"), (2, None, "tool", "Out.")]
+    _, turns = repair(spark.createDataFrame([(*row, 7, "x") for row in rows], SCHEMA))
+    left = sorted((r.conv_id, r.position, r.role, r.text) for r in turns.collect())
+    assert left == [(1, 0, "user", "Really?"), (1, 1, "assistant", "Fine.")]
+
+
+def test_nulls_count_as_spaces(spark):
+    rows = [(1, 0, None, "A."), (1, 1, "user", None), (None, None, None, None)]
+    assert _found(spark, rows) == _expected([(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows])
+
+
+def test_empty_table(spark):
+    found, turns = repair(spark.createDataFrame([], SCHEMA))
+    assert found.collect() == [] and turns.collect() == [] and digests(turns).collect() == []
+
+
+def test_whole_query_as_by_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    expected = _expected(_damaged(rows))
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    found = queries.op13_repair(spark, folder).collect()
+    assert len(found) == len({row[0] for row in rows})
+    assert {r.conv_id: tuple(r)[1:] for r in found} == {row[0]: expected.get(row[0], nothing) for row in rows}
+
+
+def test_damage_of_nulls(spark, tmp_path):
+    rows = [(None, None, None, None), (None, 3, "user", "A."), (4, None, None, "B!")] + [(5, i, "user", "C?") for i in range(60)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    expected = _expected(_damaged(rows))
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    found = {r.conv_id: tuple(r)[1:] for r in queries.op13_repair(spark, str(tmp_path)).collect()}
+    assert found == {row[0]: expected.get(row[0], nothing) for row in rows}
