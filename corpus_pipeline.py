@@ -23,19 +23,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of similar ones."""
-    return jaccard.without_near_copies(docs)
+    return jaccard.without_near_copies(docs, stored=True)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what an earlier text says too; texts of which nothing is left go."""
     into = fresh("repeats", docs.columns)
-    left = repeats.remove(docs, into=into).filter(F.trim("text") != "").drop(into)
+    left = repeats.remove(docs, into=into, stored=True).filter(F.trim("text") != "").drop(into)
     return left.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that hold no passage of the benchmark."""
-    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), stored=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import fresh, joined_if_small, saved, small_batches, tidy
+from starloom.llm.frames import fresh, joined_if_small, numbered, saved, small_batches, tidy
 from starloom.llm.text import ALNUM, CHUNK, mixed, slices, text_bytes, weights, word_hashes
 
 MASKS = ("11011011", "1101001111", "1110010111", "101011011101")
@@ -229,11 +229,15 @@ def overlaps(
 
 
 def without_leaks(
-    documents: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text"
+    documents: DataFrame, benchmark: DataFrame, text_column: str = "text", item_id: str = "item_id", item_text: str = "text",
+    stored: bool = False,
 ) -> DataFrame:
-    """The rows of ``documents`` into which no item leaked, with all their columns."""
+    """The rows of ``documents`` into which no item leaked, with all their columns.
+
+    Rows are told apart by :func:`starloom.llm.frames.numbered`, which also tells what ``stored`` means.
+    """
     row = fresh("row", documents.columns)
-    numbered = documents.withColumn(row, F.monotonically_increasing_id())
-    found = overlaps(numbered, benchmark, row, text_column, item_id, item_text)
+    rows = numbered(documents, row, stored)
+    found = overlaps(rows, benchmark, row, text_column, item_id, item_text)
     leaked = saved(found.select(F.col("doc_id").alias(row)).distinct())
-    return joined_if_small(numbered, leaked, row, "left_anti", BROADCAST_ROWS).drop(row)
+    return joined_if_small(rows, leaked, row, "left_anti", BROADCAST_ROWS).drop(row)

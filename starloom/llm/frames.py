@@ -5,12 +5,14 @@ from __future__ import annotations
 import ctypes
 import inspect
 import itertools
+import re
 import sys
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,6 +103,42 @@ def fresh(name: str, columns: list[str]) -> str:
     return name
 
 
+# Names of files that numbering may send to every task.
+FILE_NAMES_BYTES = 64 << 20
+_SCHEME = r"^[^:/]+:/+"
+
+
+def numbered(documents: DataFrame, into: str, stored: bool = False) -> DataFrame:
+    """The rows with a number that does not depend on when, or by how many executors, they are read.
+
+    Splits of a scan follow the cluster's size, so ``monotonically_increasing_id``
+    over a fresh scan numbers rows anew once an executor is lost.  Here the rows
+    are written once with their numbers; or, where ``stored`` says that they are
+    those of Parquet files, one for one, the number is the file's place among
+    the files and the row's place in its file, and nothing is written.  Rows
+    that turn out not to come from such files are written.
+    """
+    files = {re.sub(_SCHEME, "", name) for name in documents.inputFiles()} if stored else set()
+    if files and sum(map(len, files)) <= FILE_NAMES_BYTES:
+        try:
+            source = documents.metadataColumn("_metadata")
+            index, path = source.getField("row_index"), F.regexp_replace(source.getField("file_path"), _SCHEME, "")
+            own = [fresh(name, [*documents.columns, into]) for name in ("_file", "_index")]
+            rows = documents.select("*", path.alias(own[0]), index.alias(own[1]))
+            rows.schema  # resolves the names
+        except AnalysisException:  # no files, or none that count their rows
+            files = set()
+    if not files or sum(map(len, files)) > FILE_NAMES_BYTES:
+        return saved(documents.withColumn(into, F.monotonically_increasing_id()))
+    place = fresh("_place", [*rows.columns, into])
+    names = rows.sparkSession.createDataFrame(list(zip(sorted(files), range(len(files)))), f"{own[0]} string, {place} long")
+    unknown = F.raise_error(F.concat(F.lit("rows from a file that was not listed: "), F.col(own[0]))).cast("long")
+    number = F.shiftleft(F.coalesce(place, unknown), 40).bitwiseOR(F.col(own[1]))
+    return rows.join(F.broadcast(names), own[0], "left").select(
+        *(F.col(f"`{name}`") for name in documents.columns), number.alias(into)
+    )
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions, the knob by which a session fits its tasks to its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

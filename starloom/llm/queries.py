@@ -43,14 +43,14 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.remove(_table(spark, folder, "documents")).select(
+    return repeats.remove(_table(spark, folder, "documents"), stored=True).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
 def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.link(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.link(_table(spark, folder, "documents"), stored=True).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_vectors(spark: SparkSession, folder: str) -> DataFrame:

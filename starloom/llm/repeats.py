@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.frames import (
-    bucket_of, by_bucket, fresh, gathered, joined_if_light, pack, partitions, saved, tidy, unpack_all,
+    bucket_of, by_bucket, fresh, gathered, joined_if_light, numbered, pack, partitions, saved, tidy, unpack_all,
 )
 from starloom.llm.text import CHUNK, _BASE, _CODES, mixed, slices, span_hashes, text_bytes
 
@@ -533,7 +533,8 @@ OWN = T.StructType([
 
 
 def remove(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", into: str | None = None
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", into: str | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, spans, kept, kept_text`` for every row.
 
@@ -543,11 +544,12 @@ def remove(
     and a null id the smallest.  ``kept`` is what is left, as bytes; ``kept_text``
     removes whole characters only, and is null for a null text.  With ``into``
     the result is ``documents`` with ``kept_text`` as its text and the other
-    values in one more column of that name.  ``documents`` is read three times and must give the
-    same rows in the same order, as a stored table does.
+    values in one more column of that name.  ``documents`` is read three times; its
+    rows are numbered by :func:`starloom.llm.frames.numbered`, which also tells
+    what ``stored`` means.  An empty table gives no rows.
     """
     row = fresh("row", documents.columns)
-    rows = documents.withColumn(row, F.monotonically_increasing_id())
+    rows = numbered(documents, row, stored)
     texts = rows.select(
         F.col(row).alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     )
