@@ -104,6 +104,40 @@ def csv_products(spark, sf_dir):
     return _through_csv(spark, "stg_products", source)
 
 
+def _in_pieces(spark: SparkSession, name: str, pieces: int = 16) -> None:
+    """Let this query's own session read a file of that size in about so many splits."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max(1 << 16, file_bytes(spark, name) // pieces)))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 16))
+
+
+def csv_line_breaks(spark, sf_dir):
+    """Document texts as product names, line breaks and all, in files that are read in many splits."""
+    _in_pieces(spark, f"{sf_dir}/documents.parquet")
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        (F.col("doc_id") + 1).alias("product_id"),
+        # Each text thrice, with quotes, so that cells begin and end in different splits.
+        F.concat("text", F.lit('\n"'), "text", F.lit('",\n\n'), "text").alias("product_name"),
+        F.col("lang").alias("category"), F.col("n_chars").alias("price"),
+    )
+    return _through_csv(spark, "stg_products", source)
+
+
+def csv_loose_quotes(spark, sf_dir):
+    """Quotes inside cells that do not begin with one, and text behind a closing quote: the parser alone counts the cells."""
+    number = F.col("p_partkey").cast("string")
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('5" '), "p_name", F.lit(' 6"'))).when(
+        F.col("p_partkey") % 3 == 1, F.concat(F.lit('"'), "p_name", F.lit(', "" "old'))
+    ).otherwise(F.concat(F.lit('"'), "p_name", F.lit(',\n"')))
+    lines = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.concat(number, F.lit(","), name, F.lit(","), "p_type", F.lit(","), F.col("p_retailprice").cast("string"))
+        .alias("product_id,product_name,category,price")
+    )
+    store, file = _new_store(spark, "csv"), SOURCE_FILES["stg_products"]
+    lines.write.csv(f"{store.root}/source/{file}", header=True, sep="\x01", quote="")
+    pipeline.stage_csv(store, f"{store.root}/source", {"stg_products": file})
+    return store.read("stg_products")
+
+
 def csv_short_lines(spark, sf_dir):
     """Lines that end after a long quoted cell: the cells they lack are NULL."""
     name = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ")
@@ -449,7 +483,7 @@ def sales_by_city(spark, sf_dir):
 
 
 _QUERIES = (
-    stage_transactions, csv_transactions, csv_transaction_items, csv_products, csv_short_lines, date_coercion,
+    stage_transactions, csv_transactions, csv_transaction_items, csv_products, csv_line_breaks, csv_loose_quotes, csv_short_lines, date_coercion,
     row_counts, verify_counts, verify_counts_reloaded,
     dim_date, date_insert_absent, unknown_members, dim_customer, dim_product, dim_campaign,
     dim_customer_upsert, dim_product_upsert, dim_campaign_upsert,
@@ -637,6 +671,17 @@ def oracle_sql() -> dict[str, str]:
                    lang AS category, CAST(n_chars AS DECIMAL(18,2)) AS price
             FROM documents
         """,
+        "csv_line_breaks": r"""
+            SELECT doc_id + 1 AS product_id, text || chr(10) || '"' || text || '",' || chr(10) || chr(10) || text AS product_name,
+                   lang AS category, CAST(n_chars AS DECIMAL(18,2)) AS price
+            FROM documents
+        """,
+        "csv_loose_quotes": r"""
+            SELECT p_partkey AS product_id, CASE p_partkey % 3
+                       WHEN 0 THEN '5" ' || p_name || ' 6"' WHEN 1 THEN p_name || ', " old' ELSE p_name || ',' || chr(10)
+                   END AS product_name, p_type AS category, CAST(p_retailprice AS DECIMAL(18,2)) AS price
+            FROM part
+        """,
         "csv_short_lines": r"""
             SELECT doc_id + 1 AS product_id, nullif(regexp_replace(text, '[\r\n]', ' ', 'g'), '') AS product_name,
                    CAST(NULL AS VARCHAR) AS category, CAST(NULL AS DECIMAL(18,2)) AS price

@@ -14,6 +14,7 @@ USUAL_SCAN_BYTES = 128 * 2**20
 
 _SCAN = "spark.sql.files.maxPartitionBytes"
 _PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_LEAST_SPLITS = "spark.sql.files.minPartitionNum"
 _SKEW = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
 
 
@@ -33,6 +34,28 @@ def size_settings(stored_bytes: int, configured_partitions: int) -> dict[str, st
     }
 
 
+def _like(spark: SparkSession) -> SparkSession:
+    """A new session with all settings of another."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.get(name, None) != value and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
+def steady(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` in which two scans of the same files are split alike.
+
+    Spark sizes splits by the cores it has at that moment, so a job that relates
+    to the splits of an earlier one needs that number fixed.
+    """
+    own = _like(spark)
+    if own.conf.get(_LEAST_SPLITS, None) is None:
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        own.conf.set(_LEAST_SPLITS, str(cores))
+    return own
+
+
 def sized(spark: SparkSession, stored_bytes: int) -> SparkSession:
     """A session for work over ``stored_bytes`` of files.
 
@@ -40,10 +63,7 @@ def sized(spark: SparkSession, stored_bytes: int) -> SparkSession:
     sizes.  What is built in it keeps them for as long as it lives, and other
     threads that use ``spark`` see nothing of it.
     """
-    own = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if own.conf.get(name, None) != value and spark.conf.isModifiable(name):
-            own.conf.set(name, value)
+    own = _like(spark)
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, value in size_settings(stored_bytes, configured).items():
         if spark.conf.get(name, None) is None:

@@ -76,9 +76,9 @@ def test_line_break_in_a_cell_on_request(spark, tmp_path):
 @pytest.mark.parametrize("line", ['1,"A\nb",c,1', '1,x,"A\nb",1', '1,x,c,"A\nb"', '1,"A\nb, c","d",1'])
 def test_line_break_in_a_cell_is_not_read_as_two_lines(spark, tmp_path, line):
     path = _file(tmp_path, f"product_id,product_name,category,price\n{line}\n")
-    with pytest.raises(FAILED, match="multiline"):
-        read_text_columns(spark, path).collect()
-    assert read_text_columns(spark, path, multiline=True).count() == 1
+    rows = read_text_columns(spark, path)
+    assert rows.count() == 1 and "A\nb" in "|".join(rows.collect()[0])
+    assert rows.collect() == read_text_columns(spark, path, multiline=True).collect()
 
 
 def test_lone_quote_in_a_short_line(spark, tmp_path):
@@ -142,13 +142,113 @@ def test_short_lines_with_long_cells(spark, tmp_path, length):
     assert rows["2"].b == '",' * (length // 3) and rows["2"].c is None and rows["3"].c == "z"
 
 
+def _as_pandas(path):
+    frame = pandas.read_csv(path, dtype=str, lineterminator=None)
+    return frame.columns.tolist(), [tuple(None if pandas.isna(c) else c for c in row) for row in frame.itertuples(index=False)]
+
+
+@pytest.fixture
+def splits(spark, request):
+    """Files cut into splits of a few bytes."""
+    settings = {"spark.sql.files.maxPartitionBytes": str(request.param), "spark.sql.files.openCostInBytes": "1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield request.param
+    for name in settings:
+        spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("text", ['1,"abc\n2,def"\n3,z', '1,"a""b\n2,c"', '1,"""\n2,x"', '"1\n2",x', '1,"a,b\n2,c"'])
-def test_a_broken_last_cell_is_not_read_as_rows(spark, tmp_path, text):
+@pytest.mark.parametrize("splits", [1, 5, 1 << 20], indirect=True)
+def test_records_over_several_lines(spark, tmp_path, text, splits):
     path = _file(tmp_path, f"id,name\n{text}\n")
-    for read in (lambda rows: rows.collect(), lambda rows: rows.count(), lambda rows: rows.select("id").collect()):
-        with pytest.raises(FAILED, match="multiline"):
+    rows = read_text_columns(spark, path)
+    assert sorted(map(tuple, rows.collect())) == sorted(_as_pandas(path)[1])
+    assert rows.count() == rows.select("id").count() == len(_as_pandas(path)[1])
+
+
+@pytest.mark.parametrize("text", ['1,"abc\n2,def', '1,"a\n2,c""', '"', '1,x\n2,"\n\n'])
+@pytest.mark.parametrize("splits", [3, 1 << 20], indirect=True)
+def test_a_cell_that_never_ends_fails(spark, tmp_path, text, splits):
+    with pytest.raises(ValueError, match="does not end"):
+        read_text_columns(spark, _file(tmp_path, f"id,name\n{text}\n"))
+
+
+def _random_record(pick, cells):
+    def text(letters, most=6):
+        return "".join(pick.choices(letters, k=pick.randrange(most)))
+
+    made = []
+    for _ in range(cells):
+        inner = text(["a", "\n", ",", '""', "é", "\r\n", " ", "b c"])
+        made.append(pick.choice([
+            text(["a", "'", "é", "\\", "-", "x"]), 'q"' + text(["a", '"', " ", "z"]), f'"{inner}"', f'"{inner}"', f'"{inner}"',
+            f'"{inner}"' + text(["k", " m", "n"], 3),
+        ]))
+    return ",".join(made)
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("splits", [11, 40, 150, 1 << 20], indirect=True)
+def test_random_records_read_as_pandas_reads_them(spark, tmp_path, splits, ending):
+    pick = random.Random(f"{splits}{ending}")
+    for number in range(3):
+        lines = ["id,x,sale date"] + [f"{n}," + _random_record(pick, pick.choice([1, 2, 2, 2])) for n in range(60)]
+        lines += ["", "7,8,9"]
+        path = tmp_path / f"{number}.csv"
+        path.write_bytes(ending.join(lines).encode() + ending.encode() * pick.randrange(3))
+        names, expected = _as_pandas(path)
+        read = read_text_columns(spark, str(path))
+        assert read.columns == names
+        assert sorted(map(repr, map(tuple, read.collect()))) == sorted(map(repr, expected))
+
+
+@pytest.mark.parametrize("splits", [30], indirect=True)
+def test_long_cell_over_many_splits_and_files(spark, tmp_path, splits):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    expected = []
+    for number in range(4):
+        cells = [(f"{number}-{n}", "line\n" * (200 if n == 2 else n % 3), "z") for n in range(6)]
+        expected += [tuple(c or None for c in row) for row in cells]
+        with open(folder / f"{number}.csv", "w", newline="", encoding="utf-8") as file:
+            csv.writer(file, lineterminator="\n").writerows([("id", "x", "y"), *cells])
+    read = read_text_columns(spark, str(folder))
+    assert read.rdd.getNumPartitions() > 40
+    assert sorted(map(tuple, read.collect())) == sorted(expected)
+    (folder / "9.csv").write_text('id,y,x\n1,"a\nb",c\n')
+    with pytest.raises(FAILED, match="header of"):
+        read_text_columns(spark, str(folder)).collect()
+
+
+@pytest.mark.parametrize("line", ['1,5" x,6" y,lost', "1,2,3,", '1,"a,b",3,4', '1,"a\nb",3,4', '"a"b"c",1,2'])
+def test_the_parser_counts_the_cells(spark, tmp_path, line):
+    path = _file(tmp_path, f"a,b,c\n7,8,9\n{line}\n")
+    for read in (lambda rows: rows.collect(), lambda rows: rows.count(), lambda rows: rows.select("a").collect()):
+        with pytest.raises(FAILED, match="in line: "):
             read(read_text_columns(spark, path))
-    assert read_text_columns(spark, path, multiline=True).count() >= 1
+
+
+def test_carriage_returns_between_lines(spark, tmp_path):
+    path = tmp_path / "source.csv"
+    path.write_bytes(b'a,b\r1,"x"\r2,y\r')
+    assert sorted(map(tuple, read_text_columns(spark, str(path)).collect())) == [("1", "x"), ("2", "y")]
+    path.write_bytes(b'a,b\n1,"x\ny"\n2,y\r3,z\n')
+    with pytest.raises(FAILED, match="carriage return"):
+        read_text_columns(spark, str(path)).collect()
+
+
+def test_splits_do_not_follow_the_cores(spark, tmp_path):
+    path = _file(tmp_path, "id,x\n" + "".join(f'{n},"a\nb{n}"\n' for n in range(3000)))
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = read_text_columns(spark, path)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "11")
+        assert rows.filter("x = concat('a\n', 'b', id)").count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_lines_are_read_as_they_are(spark, tmp_path):
