@@ -167,6 +167,25 @@ def _written_dates(status) -> Column:
     )
 
 
+def _day_first_dates() -> Column:
+    """Order dates with the day first, which the column shows by its dates after the 12th of a month."""
+    when, number = F.col("o_orderdate").cast("timestamp_ntz"), F.col("o_orderkey") % 4
+    return (
+        F.when(number == 0, F.date_format(when, "dd/MM/yyyy")).when(number == 1, F.date_format(when, "d/M/yy"))
+        .when(number == 2, F.date_format(when, "d.M.yyyy hh:mm:ss a")).otherwise(F.date_format(when, "dd-MM-yyyy H:mm"))
+    )
+
+
+def _no_dates() -> Column:
+    """Six digits, times without a date, or more digits than a year has."""
+    number = F.col("o_orderkey") % 3
+    when = F.col("o_orderdate").cast("timestamp_ntz")
+    return (
+        F.when(number == 0, F.date_format(when, "yyyyMM")).when(number == 1, F.date_format(when, "'T'HH:mm:ss'Z'"))
+        .otherwise(F.col("o_orderkey").cast("string"))
+    )
+
+
 def date_coercion(spark, sf_dir):
     """Text columns typed by name; whole numbers written with a fraction of zeros."""
     status = F.col("o_orderstatus")
@@ -175,11 +194,13 @@ def date_coercion(spark, sf_dir):
         _written_dates(status).alias("Order_Date"),
         F.col("o_orderpriority").alias("lead_time"),
         F.col("o_orderpriority").alias("priority"),
+        _day_first_dates().alias("Due_Date"), _no_dates().alias("batch_time"),
         F.col("o_totalprice").cast("string").alias("total_amount"),
     )
     declared = TABLES["stg_transactions"].columns
     rows = typed(text, type(declared)([declared["transaction_id"], declared["total_amount"]]))
-    return _as_text(rows, "Order_Date", "lead_time").withColumnRenamed("Order_Date", "order_date")
+    names = {"Order_Date": "order_date", "Due_Date": "due_date"}
+    return _as_text(rows, "Order_Date", "Due_Date", "lead_time", "batch_time").withColumnsRenamed(names)
 
 
 def row_counts(spark, sf_dir):
@@ -691,6 +712,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey AS transaction_id,
                    CASE WHEN o_orderstatus IN ('O', 'P') OR o_orderkey % 6 < 3
                         THEN CAST(o_orderdate AS VARCHAR) END AS order_date,
+                   CAST(o_orderdate AS VARCHAR) AS due_date,
+                   CASE WHEN o_orderkey % 3 = 2 AND o_orderkey BETWEEN 1000 AND 9999
+                        THEN lpad(CAST(o_orderkey AS VARCHAR), 4, '0') || '-01-01 00:00:00' END AS batch_time,
                    CAST(TRY_CAST(o_orderpriority AS TIMESTAMP) AS VARCHAR) AS lead_time,
                    o_orderpriority AS priority, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount
             FROM orders

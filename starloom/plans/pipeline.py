@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import moment
-from starloom.functions.coerce import DATE_FORMATS, is_temporal_name
+from starloom.functions.coerce import is_temporal_name
 from starloom.operators.dimensions import (
     DIMENSION_LOADS,
     DimensionLoad,
@@ -68,7 +68,7 @@ class RowCount(int):
 
 def stage_csv(
     store: TableStore, folder: str, files: dict[str, str] = SOURCE_FILES, multiline: bool = False,
-    date_formats: tuple[str, ...] = DATE_FORMATS,
+    date_formats: tuple[str, ...] | None = None,
 ) -> dict[str, RowCount]:
     """Replace the staging tables by the CSV files of a folder; returns rows loaded by table."""
     size = sum(file_bytes(store.spark, f"{folder}/{file}") for file in files.values())

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.coerce import DATE_FORMATS, blank_missing, typed
+from starloom.functions.coerce import blank_missing, typed
 from starloom.plans.sizing import steady
 
 _DIALECT = {"sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"'}
@@ -51,9 +51,18 @@ def read_text_columns(spark: SparkSession, path: str, multiline: bool = False) -
     The files are looked through once for such cells when this is called.
     ``multiline`` reads each file in one task instead, and needs no look ahead.
     """
+    rows, file = _text(spark, path, multiline)
+    return rows.drop(file)
+
+
+def _text(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame, str]:
+    """The columns as text, behind one more of the file's name, and that column's name."""
     names = spark.read.options(**_DIALECT, header=True).csv(path).columns
+    file = "_file"
+    while file in map(str.lower, names):
+        file += "_"
     if multiline:
-        return _select(_read_multiline(spark, path, names), names)
+        return _select(_read_multiline(spark, path, names, file), names, file), file
 
     header = spark.read.options(**_WHOLE_LINE).csv(path).columns
     if len(header) != 1:
@@ -61,23 +70,24 @@ def read_text_columns(spark: SparkSession, path: str, multiline: bool = False) -
     spread = steady(spark)
     inside = _inside(spread, path)
     lines = _lines(spark, path, header[0]) if inside is None else _records(spread, path, header[0], inside)
-    return _select(_cells(lines, names), names)
+    return _select(_cells(lines, names, file), names, file), file
 
 
 def _lines(spark: SparkSession, path: str, header: str) -> DataFrame:
-    """``line``: the lines of files in which each is a record; blank ones are left out."""
+    """``file, line``: the lines of files in which each is a record; blank ones are left out."""
     # Spark compares the header of each file with the one column's name.
     whole = T.StructType([T.StructField(header, T.StringType()), T.StructField(_RAGGED, T.StringType())])
     lines = (
         spark.read.schema(whole).options(**_WHOLE_LINE, enforceSchema=False, columnPruning=False)
-        .option("columnNameOfCorruptRecord", _RAGGED).csv(path).toDF("line", _RAGGED)
+        .option("columnNameOfCorruptRecord", _RAGGED).csv(path).select("*", "_metadata.file_path")
+        .toDF("line", _RAGGED, "file")
     )
     problem = F.when(F.col(_RAGGED).isNotNull(), "control characters in line: ")
-    return _checked(lines, "line", problem).select("line")
+    return _checked(lines, "line", problem).select("file", "line")
 
 
-def _cells(lines: DataFrame, names: list[str]) -> DataFrame:
-    """The cells of records, as the parser sees them; it alone says how many there are.
+def _cells(lines: DataFrame, names: list[str], file: str) -> DataFrame:
+    """The cells of records behind their file, as the parser sees them; it alone says how many there are.
 
     A mark is put behind each record and parsed with it as one more cell.  It is
     found where the record ends: after all columns, or earlier in a short one;
@@ -87,7 +97,7 @@ def _cells(lines: DataFrame, names: list[str]) -> DataFrame:
     line = F.when(quoted & F.col("line").rlike(_TOO_LOOSE), F.regexp_replace("line", _LOOSE, '$1"$2$3"')).otherwise(F.col("line"))
     columns = [f"c{number}" for number in range(len(names) + 1)]
     schema = ", ".join(f"{name} string" for name in columns)
-    cells = lines.select("line", line.alias("tidy")).select("line", "tidy", F.inline(F.array(
+    cells = lines.select("file", "line", line.alias("tidy")).select("file", "line", "tidy", F.inline(F.array(
         F.from_csv(F.concat("tidy", F.lit(f",{_END}")), schema, _DIALECT)
     )))
     *own, last = (F.col(name) for name in columns)
@@ -98,7 +108,7 @@ def _cells(lines: DataFrame, names: list[str]) -> DataFrame:
         .when(~F.coalesce(short, F.lit(False)), "too many cells in line: ")
     )
     ended = [F.when(~F.col(name).eqNullSafe(_END), F.col(name)).alias(name) for name in columns[:-1]]
-    return _checked(cells, "line", problem).select(*ended).toDF(*names)
+    return _checked(cells, "line", problem).select("file", *ended).toDF(file, *names)
 
 
 # --- line breaks in quoted cells ------------------------------------------------
@@ -192,7 +202,7 @@ def _inside(spark: SparkSession, path: str) -> dict[str, list[tuple[int, int | N
 
 
 def _records(spark: SparkSession, path: str, header: str, inside: dict[str, list[tuple[int, int | None]]]) -> DataFrame:
-    """``line``: the records of files with line breaks in quoted cells, each split cut at its true record ends.
+    """``file, line``: the records of files with line breaks in quoted cells, each split cut at its true record ends.
 
     A record that goes on in further splits is put together from its pieces,
     which are the only lines that leave their task.
@@ -221,7 +231,7 @@ def _records(spark: SparkSession, path: str, header: str, inside: dict[str, list
                 if lines[0] != header:
                     raise ValueError(f"the header of {place[0]} is not {header}")
                 lines, at_header = lines[1:], False
-            return rows(lines)
+            return rows(lines, place[0])
 
         for batch in batches:
             block = batch.column("block").to_numpy()
@@ -278,27 +288,27 @@ def _records(spark: SparkSession, path: str, header: str, inside: dict[str, list
         return lines.mapInArrow(cut, "line string, file string, block long, head boolean, number long")
 
     lines = _states(spark, path)
-    found = records(lines).filter("file IS NULL").select("line")
+    found = records(lines).filter("block IS NULL").select("file", "line")
     if inside:
-        pieces = records(lines.filter(F.col("file").isin(list(inside)))).filter("file IS NOT NULL")
+        pieces = records(lines.filter(F.col("file").isin(list(inside)))).filter("block IS NOT NULL")
         first = F.sum(F.col("head").cast("long")).over(Window.partitionBy("file").orderBy("block", "number"))
         joined = pieces.withColumn("record", first).groupBy("file", "record").agg(
             F.sort_array(F.collect_list(F.struct("block", "number", "line"))).alias("pieces")
-        ).select(F.array_join(F.transform("pieces", lambda one: one.line), "\n").alias("line"))
-        found = found.unionByName(joined.select(F.regexp_replace("line", r"\r\z", "").alias("line")))
+        ).select("file", F.array_join(F.transform("pieces", lambda one: one.line), "\n").alias("line"))
+        found = found.unionByName(joined.select("file", F.regexp_replace("line", r"\r\z", "").alias("line")))
     stray = F.when(
         F.contains("line", F.lit("\r")) & ~F.col("line").rlike(_ONE_LINE), "a carriage return outside quotes in line: "
     )
     return _checked(found, "line", stray)
 
 
-def _read_multiline(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def _read_multiline(spark: SparkSession, path: str, names: list[str], file: str) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAGGED]])
     rows = spark.read.schema(schema).options(
         **_DIALECT, header=True, multiLine=True, enforceSchema=False,
         columnPruning=False,  # a parser that skips cells cannot tell a ragged line
         columnNameOfCorruptRecord=_RAGGED,
-    ).csv(path)
+    ).csv(path).select("*", F.col("_metadata.file_path").alias(file))
     unquoted = F.regexp_replace(F.col(_RAGGED), _QUOTED, "")
     broken = F.col(_RAGGED).isNotNull() & (F.size(F.split(unquoted, ",")) > len(names))
     first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))  # Spark refuses a query of ragged lines alone
@@ -306,13 +316,14 @@ def _read_multiline(spark: SparkSession, path: str, names: list[str]) -> DataFra
     return rows.filter(F.when(broken, error.cast("boolean")).otherwise(True))
 
 
-def _select(rows: DataFrame, names: list[str]) -> DataFrame:
-    return rows.select(*[blank_missing(F.col(f"`{name}`")).alias(name) for name in names])
+def _select(rows: DataFrame, names: list[str], file: str) -> DataFrame:
+    return rows.select(file, *[blank_missing(F.col(f"`{name}`")).alias(name) for name in names])
 
 
 def read_csv(
     spark: SparkSession, path: str, declared: T.StructType, multiline: bool = False,
-    date_formats: tuple[str, ...] = DATE_FORMATS, lost: Observation | None = None,
+    date_formats: tuple[str, ...] | None = None, lost: Observation | None = None,
 ) -> DataFrame:
     """A CSV source with declared types; see :func:`starloom.functions.coerce.typed`."""
-    return typed(read_text_columns(spark, path, multiline), declared, date_formats, lost)
+    rows, file = _text(spark, path, multiline)
+    return typed(rows, declared, date_formats, lost, file)

@@ -287,6 +287,72 @@ def test_dates_as_exports_write_them(spark, tmp_path, zone):
     assert [row.d for row in rows] == list(cells.values())
 
 
+DATES = [
+    "06/15/2025", "1/2/25", "12/31/99", "2025-06-15 10:00:00 PM", "6/5/2025 12:02:03 AM", "6/5/2025 12:02 pm", "Jun 15 2025",
+    "June 5, 2025 3:04 PM", "15 Jun 2025", "15-Jun-2025", "2025/06/15", "2025/6/5 7:08", "20250615", "20250615103000",
+    "20250615T103000", "2025-6-5", "2025-06-05T10:11:12.5", " 2025-06-05 ", "2025", "2025-06", "06-15-2025", "06.15.2025 1:02:03",
+    "2025-02-30", "32/01/2025", "202506", "12345", "T12:30:00Z", "bad", "2025-06-15 13:00:00 PM", "Juny 5 2025", "",
+    "2025-06-05 25:00:00",
+]
+
+
+def _read_dates(spark, cells, **how):
+    rows = spark.createDataFrame([(n, cell) for n, cell in enumerate(cells)], "n int, a_date string")
+    declared = TABLES["stg_marketing_campaigns"].columns
+    found = typed(rows, type(declared)([]), **how).orderBy("n").selectExpr("string(a_date) AS d").collect()
+    return [row.d for row in found]
+
+
+def test_dates_of_every_shape_as_pandas_reads_each(spark):
+    expected = [pandas.to_datetime(pandas.Series([cell]), errors="coerce", format=None)[0] for cell in DATES]
+    for cell, found, other in zip(DATES, _read_dates(spark, DATES), expected):
+        assert (found and pandas.Timestamp(found)) == (None if pandas.isna(other) else other), cell
+
+
+def test_times_without_a_date_are_lost(spark):
+    assert _read_dates(spark, ["12:30:00", "T12:30:00Z", "10:00 PM", "7"]) == [None] * 4
+
+
+def test_years_of_two_digits(spark):
+    assert _read_dates(spark, ["1/2/68", "1/2/69"]) == ["2068-01-02 00:00:00", "1969-01-02 00:00:00"]
+
+
+@pytest.mark.parametrize("mark", "/-.")
+def test_the_column_tells_whether_days_come_first(spark, mark):
+    cells = [f"{day:02}{mark}06{mark}2025 10:00" for day in range(1, 31)] + ["07/31/2025"]
+    assert _read_dates(spark, cells) == [f"2025-06-{day:02} 10:00:00" for day in range(1, 31)] + [None]
+    turned = [f"06{mark}{day:02}{mark}25" for day in range(1, 31)] + ["31/07/2025"]
+    assert _read_dates(spark, turned) == [f"2025-06-{day:02} 00:00:00" for day in range(1, 31)] + [None]
+    assert _read_dates(spark, ["01/02/2025", "13/02/2025", "02/13/2025"])[0] == "2025-01-02 00:00:00"
+
+
+def test_each_file_and_column_has_its_own_order(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("start_date,end_date\n13/01/2025,01/13/2025\n02/01/2025,02/01/2025\n")
+    (folder / "b.csv").write_text('start_date,end_date\n01/13/2025,13/01/2025\n02/01/2025,"02/01/\n2025"\n')
+    declared = type(CAMPAIGNS)([CAMPAIGNS["start_date"], CAMPAIGNS["end_date"]])
+    rows = read_csv(spark, str(folder), declared).selectExpr("string(date(start_date)) AS s", "string(date(end_date)) AS e").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([
+        ("2025-01-13", "2025-01-13"), ("2025-01-02", "2025-02-01"), ("2025-01-13", "2025-01-13"), ("2025-02-01", None),
+    ], key=str)
+
+
+def test_named_formats_replace_the_shapes(spark):
+    assert _read_dates(spark, ["2025|06|15", "06/15/2025", "2025-06-15"], date_formats=("yyyy|MM|dd",)) == [
+        "2025-06-15 00:00:00", None, "2025-06-15 00:00:00",
+    ]
+
+
+def test_whole_numbers_with_exponents(spark, tmp_path):
+    one = type(PRODUCTS)([PRODUCTS["product_id"]])
+    path = _file(tmp_path, "product_id\n1e3\n1.5E+1\n12.\n")
+    assert [r.product_id for r in read_csv(spark, path, one).collect()] == [1000, 15, 12]
+    for cell in ("12.0000001", "1.25e1", "12.00000000000000000000001", "1e-1", "1e30"):
+        with pytest.raises(FAILED, match="does not fit bigint"):
+            read_csv(spark, _file(tmp_path, f"product_id\n{cell}\n"), one).collect()
+
+
 def test_whole_numbers_with_a_fraction_of_zeros(spark, tmp_path):
     path = _file(tmp_path, "product_id\n12.0\n7\n-3.00\n")
     assert [r.product_id for r in read_csv(spark, path, type(PRODUCTS)([PRODUCTS["product_id"]])).collect()] == [12, 7, -3]
