@@ -111,8 +111,8 @@ class Items:
         low = np.maximum(0, -shift)
         sizes = np.diff(self.counts)[item]
         high = np.minimum(sizes, np.diff(counts)[text] - shift)
-        # As for the masks, a window of the item must lie in the text: as much as the shortest mask, or all of the item.
-        fits = high - low >= np.minimum(sizes, min(len(mask) for mask in MASKS))
+        # At an edge of the text only a part of the item lies in it; that part has to be a leak.
+        fits = high - low >= self.needed[item]
         rows, low, high = rows[fits], low[fits], high[fits]
         text, item, shift = rows.T
         ends = np.cumsum(high - low)
@@ -172,8 +172,10 @@ def overlaps(
     the item's words were found in place, ``spans`` the stretches of the document
     (first word, word after the last) they were found in.  Only leaks by
     ``LEAST_WORDS`` or ``LEAST_PART`` are listed, once per document row and item
-    row.  Null texts, documents shorter than a window and items under
-    ``SHORTEST_ITEM`` words match nothing.
+    row; at an edge of a document a part of the item suffices that is a leak by
+    itself.  Null texts, those of fewer than ``RUN`` words and items under
+    ``SHORTEST_ITEM`` words match nothing; empty tables give no rows.  Further
+    columns are not read.
     """
     spark = documents.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("item_text"))

@@ -23,7 +23,7 @@ from starloom.llm.frames import give_back, small_batches, tidy
 from starloom.llm.text import CHUNK, LETTERS, mixed, slices, span_hashes, text_bytes, words
 
 UNKNOWN = "und"
-# The classifier is fitted on so many labelled texts, drawn by hash from those of at most so many characters.
+# The classifier is fitted on so many labelled texts, drawn by hash, and on so many characters of each.
 SAMPLE_TEXTS, SAMPLE_CHARACTERS = 2000, 20_000
 # Chains are cut every so many words.
 CHAIN = 64
@@ -260,9 +260,9 @@ def train(
     """Fit on a bounded sample of the rows that have a language and are not held out."""
     usable = documents.filter(
         ~held_out(F.col(id_column)) & F.col(language_column).isNotNull() & F.col(text_column).isNotNull()
-        & F.col(id_column).isNotNull() & (F.length(text_column) <= SAMPLE_CHARACTERS)
+        & F.col(id_column).isNotNull()
     ).select(
-        F.col(text_column).alias("text"), F.col(language_column).alias("lang"), F.xxhash64(id_column, text_column).alias("draw")
+        F.left(text_column, F.lit(SAMPLE_CHARACTERS)).alias("text"), F.col(language_column).alias("lang"), F.xxhash64(id_column, text_column).alias("draw")
     )
     # Somewhat more than are wanted are drawn by hash, so that no task offers more than its share.
     chance = min(1.0, 1.3 * SAMPLE_TEXTS / max(1, usable.count()))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import partitions, saved, small_batches, tidy
+from starloom.llm.frames import fresh, partitions, saved, small_batches, tidy
 from starloom.llm.text import CHUNK, NOT_SPACE, slices, span_hashes, text_bytes, words
 
 CAPACITY = 4096
@@ -279,36 +279,38 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
 
     Pieces of a sequence follow one another without gaps.  Repeated rows are
-    packed like any others; no pieces give no rows.
+    packed like any others; no pieces give no rows.  Further columns stay as
+    they are, whatever their names.
     """
-    pieces = saved(pieces)
-    histogram = {row.length: row["count"] for row in pieces.groupBy("length").count().collect()}  # ``capacity`` at most
+    names = pieces.columns
+    row, salt, rank, key, many, ahead = (fresh(name, names) for name in ("row", "salt", "rank", "key", "many", "ahead"))
+    pieces = saved(pieces.withColumn(row, F.monotonically_increasing_id()))
+    counts = pieces.groupBy("length").agg(F.count("length").alias(many)).collect()  # ``capacity`` rows at most
+    histogram = {one["length"]: one[many] for one in counts}
     places = _places(plan_sequences(histogram, capacity))
     starts = places[:, 0] << 48 | places[:, 1]
 
-    # A length may be that of very many pieces: they are ranked by salt, then the salts by their counts.
-    order = [name for name in pieces.columns if name not in ("length", "ids")]
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(4 * partitions(pieces.sparkSession))))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    ranks_before = salted.groupBy("length", "salt").count().select(
-        "length", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("ranks_before")
+    # A length may be that of very many pieces, even of equal ones: they are ranked by salt, then the salts by their counts.
+    before = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64(row), F.lit(4 * partitions(pieces.sparkSession))))
+    earlier = salted.groupBy("length", salt).agg(F.count("length").alias(many)).select(
+        "length", salt, F.coalesce(F.sum(many).over(before), F.lit(0)).alias(ahead)
     )
     ranked = salted.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order)) - 1
-    ).join(ranks_before, ["length", "salt"]).withColumn(
-        "key", F.shiftleft(F.col("length"), 48).bitwiseOR(F.col("rank") + F.col("ranks_before"))
-    ).select(*pieces.columns, "key")
+        rank, F.row_number().over(Window.partitionBy("length", salt).orderBy(row)) - 1
+    ).join(earlier, ["length", salt]).withColumn(
+        key, F.shiftleft(F.col("length"), 48).bitwiseOR(F.col(rank) + F.col(ahead))
+    ).select(*(F.col(f"`{name}`") for name in names), key)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column("key").to_numpy(zero_copy_only=False)
-            at = np.searchsorted(starts, key, side="right") - 1
+            rank_key = batch.column(key).to_numpy(zero_copy_only=False)
+            at = np.searchsorted(starts, rank_key, side="right") - 1
             columns = [batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(places[at, 2] + key - starts[at]), pa.array(places[at, 3])],
+                [*columns, pa.array(places[at, 2] + rank_key - starts[at]), pa.array(places[at, 3])],
                 [*names, "sequence_id", "offset"],
             )
 
-    names = pieces.columns
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes if name != row)
     return ranked.mapInArrow(tidy(place), f"{schema}, sequence_id long, offset long")

@@ -36,7 +36,7 @@ STRETCH = 256
 # A gram with more different stretches sends them on string by string.
 CROWDED = 20_000
 # Bytes broadcast to a scan of the texts; more are joined by shuffle.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 16 << 20
 _FLAG = np.uint32(1 << 31)
 
 

@@ -47,9 +47,9 @@ def _ranged(rows: DataFrame, splits: np.ndarray, to: str) -> DataFrame:
 
 
 def _sample(rows: DataFrame, bytes_each: float, seed: int) -> np.ndarray:
-    """Keys drawn with chance in proportion to size, about one for each ``bytes_each`` bytes."""
+    """Keys drawn with chance in proportion to size, about one for each ``bytes_each`` bytes; rows are drawn one by one, equal or not."""
     chance = F.least(F.lit(1.0), F.col("size") / F.lit(float(bytes_each)))
-    drawn = rows.filter((F.pmod(F.xxhash64("doc_id", "place", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < chance)
+    drawn = rows.filter((F.pmod(F.xxhash64("row_id", "place", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < chance)
     table = drawn.select("place", "sub").toArrow()
     keys = np.zeros(table.num_rows, [("place", "i8"), ("sub", "i8")])
     keys["place"], keys["sub"] = table.column("place").to_numpy(), table.column("sub").to_numpy()

@@ -34,7 +34,7 @@ def _cases():
 
 
 EXPECTED = {
-    (d, i) for d, own in {0: (0, 6), 1: (0, 6), 7: (1,), 8: (4,), 10: (0, 6), 11: (0, 6), 12: (0, 1, 6)}.items() for i in own
+    (d, i) for d, own in {0: (0, 6), 1: (0, 6), 7: (1,), 8: (4,), 9: (4,), 10: (0, 6), 11: (0, 6), 12: (0, 1, 6)}.items() for i in own
 }
 
 
@@ -64,7 +64,9 @@ def test_changed_words_at_any_distance(spark):
     assert len(found) >= 198  # three changed words may leave no stretch that any mask fits
 
 
-def test_every_pattern_of_changed_words_that_makes_a_leak(spark):
+@pytest.mark.parametrize("before, after, part", [("x y", "z", False), ("", "", False), ("", "z", True), ("x y", "", True), ("", "", True)])
+def test_every_pattern_of_changed_words_that_makes_a_leak(spark, before, after, part):
+    """Inside of a text or at its edges, where with ``part`` the text holds no more of the item than the stretch that agrees."""
     draw, texts, items, expected = random.Random(6), [], [], set()
     for size in (5, 6, 7, 8, 9, 10, 12, 40, 41):
         item = _words(size, size)
@@ -79,7 +81,11 @@ def test_every_pattern_of_changed_words_that_makes_a_leak(spark):
             )
             if best[0] > 0 and best[3] >= min(decontaminate.LEAST_WORDS, decontaminate.LEAST_PART * size):
                 expected.add((len(texts), len(items)))
-            texts.append(" ".join(["x", "y", *(word if x else "changed" for word, x in zip(item, same)), "z"]))
+            copy = [word if x else "changed" for word, x in zip(item, same)]
+            if part and best[0] > 0:
+                # At an edge of the text the item is cut off where its best stretch ends.
+                copy = copy[0 if before else best[2]:len(copy) if after else -best[1]]
+            texts.append(" ".join([before, *copy, after]))
         items.append(" ".join(item))
     found = set(_leaks(spark, texts, items))
     assert expected <= found and len(expected) > 400

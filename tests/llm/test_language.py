@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import numpy as np
 import pyarrow as pa
@@ -85,3 +86,12 @@ def test_training_uses_neither_held_out_rows_nor_other_columns(spark):
     spoiled = documents.withColumn("lang", F.when(held, "zz").otherwise(F.col("lang"))).withColumn("source", F.lit("s"))
     one, two = language.train(documents), language.train(spoiled)
     assert one.languages == two.languages and np.array_equal(one.weights, two.weights)
+
+
+def test_long_texts_teach(spark):
+    words = {"en": "the and of that with house tree", "fr": "le et de que avec maison arbre"}
+    rows = [(i, " ".join(random.Random(i).choices(words[lang].split(), k=5000)), lang) for i, lang in enumerate(["en", "fr"] * 20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert min(len(text) for _, text, _ in rows) > 20_000
+    found = {r.doc_id: r.lang_pred for r in language.identify(frame, language.train(frame)).collect()}
+    assert found == {i: lang for i, _, lang in rows}

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import packing
 from starloom.llm.queries import tokenizer_file
@@ -78,3 +79,23 @@ def test_exact_sums_are_found(histogram, most):
         for length in lengths:
             used[length] += count
     assert used == Counter(histogram)
+
+
+def test_equal_rows_and_clashing_names(spark):
+    rows = [(None, 37, "s", 1, 2, 3, "r", 5)] * 3000 + [(i, 1 + i % 100, "s", i, 2, 3, "r", 5) for i in range(1500)]
+    pieces = spark.createDataFrame(
+        rows, "doc_id long, length long, salt string, key long, rank long, many long, row string, ahead long"
+    )
+    found = packing.pack(pieces, 100).collect()
+    assert Counter(tuple(r)[:8] for r in found) == Counter(rows)
+    _check_places(found, 100)
+
+
+def test_the_ranks_of_equal_rows_are_spread(spark):
+    pieces = spark.createDataFrame([(1, 37)] * 4000, "doc_id long, length long")
+    plan = packing.pack(pieces, 100)
+    assert plan.count() == 4000
+    sizes = pieces.withColumn("row", F.monotonically_increasing_id()).groupBy(
+        F.pmod(F.xxhash64("row"), F.lit(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    ).count().agg(F.max("count")).first()[0]
+    assert sizes < 500
