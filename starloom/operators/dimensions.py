@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from starloom.functions import calendar
 from starloom.functions.coerce import strict_cast
 from starloom.operators.keys import assign_keys
+from starloom.operators.quality import ConstraintViolation
 from starloom.schemas import TABLES, Table
 
 
@@ -143,9 +145,13 @@ def upsert(
     update: tuple[str, ...],
     on_match: dict[str, Column],
     on_insert: dict[str, Column],
+    last_key: Column | None = None,
 ) -> DataFrame:
     """Overwrite matched rows in place, append new ones with the next keys.
 
+    Keys continue after ``last_key``, which is that of ``existing`` unless it is
+    only a part of a table.
+
     Rows of ``existing`` that the batch does not mention stay as they are, and
     matched ones keep their key and every column outside ``update`` and
     ``on_match``.  A natural id that is NULL or occurs twice in the batch fails
@@ -161,7 +167,8 @@ def upsert(
     ).cast("long")
 
     new_ids = ids.select(natural).join(existing.select(natural), natural, "left_anti")
-    last_key = existing.select(F.coalesce(F.max(key), F.lit(0))).scalar()
+    if last_key is None:
+        last_key = existing.select(F.coalesce(F.max(key), F.lit(0))).scalar()
     members = existing.withColumn("_new", F.lit(False)).unionByName(
         assign_keys(new_ids, key, natural, last_key).withColumn("_new", F.lit(True)), allowMissingColumns=True
     )
@@ -189,18 +196,48 @@ def upsert(
 
 def load_dimension(existing: DataFrame, staged: DataFrame, load: DimensionLoad, load_time: Column) -> DataFrame:
     """The next state of a dimension after one staged batch."""
+    return merge_batch(existing, load.rename(staged), load, load_time)
+
+
+def merge_batch(
+    existing: DataFrame, batch: DataFrame, load: DimensionLoad, load_time: Column, last_key: Column | None = None
+) -> DataFrame:
+    """:func:`load_dimension` of a batch under the dimension's names, also into a part of the dimension."""
     table = TABLES[load.table]
     return upsert(
         existing,
-        load.rename(staged),
+        batch,
         key=table.primary_key,
         natural=table.natural_key,
         update=load.update,
         on_match={name: F.lit(value) for name, value in load.on_match.items()},
         on_insert=insert_defaults(load, load_time),
+        last_key=last_key,
     )
 
 
+def changed_rows(existing: DataFrame, staged: DataFrame, load: DimensionLoad) -> DataFrame:
+    """The rows of a batch that are new or would change their member, under the dimension's names and ``_file``.
+
+    ``existing`` has the ``_file`` of each row.  A natural id that is NULL or
+    occurs twice in the batch fails at once.
+    """
+    natural = TABLES[load.table].natural_key
+    batch = load.rename(staged)
+    broken = batch.groupBy(natural).count().filter((F.col("count") > 1) | F.col(natural).isNull())
+    for row in broken.take(1):
+        what = "is NULL" if row[natural] is None else f"occurs twice in one batch: {row[natural]}"
+        raise ConstraintViolation(f"{natural} {what}")
+    values = {name: F.col(f"_sent.{name}") for name in load.update} | {
+        name: F.lit(value).cast(existing.schema[name].dataType) for name, value in load.on_match.items()
+    }
+    sent = batch.select(F.struct(*batch.columns).alias("_sent"))
+    members = existing.select(natural, "_file", *values)
+    differs = reduce(lambda one, other: one | other, [~F.col(name).eqNullSafe(value) for name, value in values.items()])
+    joined = sent.join(members, F.col(f"_sent.{natural}") == F.col(natural), "left")
+    return joined.filter(F.col("_file").isNull() | differs).select("_sent.*", "_file")
+
+
 def new_dimension(spark: SparkSession, load: DimensionLoad, load_time: Column) -> DataFrame:
     """A dimension that holds its unknown member only."""
     return unknown_member(spark, TABLES[load.table], insert_defaults(load, load_time))

@@ -18,8 +18,10 @@ from starloom.operators.dimensions import (
     DIMENSION_LOADS,
     DimensionLoad,
     calendar_days,
+    changed_rows,
     insert_absent,
     load_dimension,
+    merge_batch,
     new_dimension,
 )
 from starloom.operators.fact import build_fact_sales
@@ -109,10 +111,15 @@ def _sized(store: TableStore, *read: str) -> TableStore:
 
 
 def refresh_dimension(store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None = None) -> int:
-    """Upsert one staged batch into its dimension."""
+    """Upsert one staged batch into its dimension; files none of whose rows change stay as they are."""
     store = _sized(store, load.source, load.table)
-    existing = _current(store, load.table, load_time)
-    return store.write(load.table, load_dimension(existing, store.read(load.source), load, _moment(load_time)))
+    staged, moment = store.read(load.source), _moment(load_time)
+    if not store.exists(load.table) or store.files(load.table) is None:
+        return store.write(load.table, load_dimension(_current(store, load.table, load_time), staged, load, moment))
+    return store.rewrite(
+        load.table, lambda current: changed_rows(current, staged, load),
+        lambda existing, batch, last_key: merge_batch(existing, batch, load, moment, F.lit(last_key)),
+    )
 
 
 def refresh_calendar(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:

@@ -4,13 +4,17 @@ import random
 import re
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from starloom.functions.calendar import moment
 from starloom.operators import quality
+from starloom.operators.dimensions import CUSTOMERS, PRODUCTS, load_dimension
 from starloom.operators.quality import ConstraintViolation
 from starloom.plans import pipeline, sizing
-from starloom.plans.store import TableStore
+from starloom.plans.store import TableStore, file_bytes
 from starloom.schemas import SOURCE_FILES, TABLES
 
 LOADED = datetime.datetime(2025, 1, 1)
@@ -346,3 +350,106 @@ def test_checks(spark):
     quality.require_clean(rows.filter("false"), "nothing")
     with pytest.raises(ConstraintViolation, match="rows"):
         quality.require_clean(rows, "rows")
+
+
+@pytest.fixture
+def many_files(spark):
+    """Dimensions of several files, as large ones have."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "20"}
+    kept = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in kept.items():
+        spark.conf.set(name, value)
+
+
+def _products(spark, ids, price=10):
+    columns = TABLES["stg_products"].columns
+    return spark.createDataFrame([(i, f"Barang {i}", "k", Decimal(price)) for i in ids], columns)
+
+
+def _refresh_products(store, rows):
+    pipeline.stage(store, {"stg_products": rows})
+    return pipeline.refresh_dimension(store, PRODUCTS, LOADED)
+
+
+def _bytes(store, paths):
+    return sum(file_bytes(store.spark, f"{store.folder('dim_product')}/{path}") for path in paths)
+
+
+def test_an_upsert_writes_only_the_files_it_changes(spark, store, many_files):
+    assert _refresh_products(store, _products(spark, range(1, 10_001))) == 10_001
+    before = {entry.path: entry for entry in store.files("dim_product")}
+    assert len(before) == 20
+    ranges = sorted((entry.low, entry.high) for entry in before.values())
+    assert all(one[1] < two[0] for one, two in zip(ranges, ranges[1:]))
+
+    # A whole batch again, of which one in a hundred changed, side by side, and two are new.
+    changed = range(3000, 3100)
+    batch = _products(spark, [i for i in range(1, 10_003) if i not in changed]).union(_products(spark, changed, 99))
+    assert _refresh_products(store, batch) == 10_003
+    after = {entry.path for entry in store.files("dim_product")}
+    written = after - set(before)
+    assert len(set(before) - after) <= 2
+    assert _bytes(store, written) < 0.3 * _bytes(store, before)
+    rows = {r.product_id_natural: r for r in store.read("dim_product").collect()}
+    assert len(rows) == 10_003
+    assert all(r.product_key == i and r.master_price == (0 if i == 0 else 99 if i in changed else 10) or i == 0 for i, r in rows.items())
+    assert sum(entry.rows for entry in store.files("dim_product")) == 10_003
+
+
+def test_a_batch_that_changes_nothing_writes_nothing(spark, store, many_files):
+    batch = _products(spark, range(1, 101))
+    assert _refresh_products(store, batch) == 101
+    versions = store.versions("dim_product")
+    assert _refresh_products(store, batch) == 101
+    assert store.versions("dim_product") == versions
+
+
+def test_rewritten_files_equal_whole_rewrites(spark, store, tmp_path, many_files):
+    pick, whole = random.Random(5), TableStore(spark, str(tmp_path / "whole"))
+    for number in range(4):
+        ids = pick.sample(range(1, 400), 120)
+        batch = _products(spark, ids, 10 + number)
+        _refresh_products(store, batch)
+        pipeline.stage(whole, {"stg_products": batch})
+        current = pipeline._current(whole, "dim_product", LOADED)
+        whole.write("dim_product", load_dimension(current, whole.read("stg_products"), PRODUCTS, moment(LOADED)))
+        assert sorted(store.read("dim_product").collect()) == sorted(whole.read("dim_product").collect())
+
+
+def test_customers_come_back_by_a_rewrite(spark, store, many_files):
+    pipeline.stage(store, {"stg_customers": _customers(spark, *"abcdef")})
+    pipeline.refresh_dimension(store, CUSTOMERS, LOADED)
+    gone = store.read("dim_customer").withColumn("is_current", F.col("customer_id_natural") != 3)
+    store.write("dim_customer", gone)
+    pipeline.refresh_dimension(store, CUSTOMERS, LOADED)
+    assert store.read("dim_customer").filter("NOT is_current").count() == 0
+    assert len(store.files("dim_customer")) > 3
+
+
+def test_files_of_old_versions_live_as_long_as_they_are_listed(spark, store, many_files):
+    _refresh_products(store, _products(spark, range(1, 201)))
+    store.register()
+    for price in range(11, 16):
+        _refresh_products(store, _products(spark, [5, 6], price))
+        listed = {entry.path for entry in store.files("dim_product")}
+        assert any(path.startswith("v0000000001/") for path in listed)
+        assert spark.sql("SELECT count(*), max(master_price) FROM dwh.dim_product").first()[:] == (201, price)
+        assert len(store.versions("dim_product")) <= 2
+    left = {f"{file.parent.name}/{file.name}" for file in Path(store.folder("dim_product")).rglob("v*/*.parquet")}
+    old = {entry.path for entry in store._listed(store._version_folder("dim_product", store.versions("dim_product")[0]))}
+    assert left == listed | old
+    _refresh_products(store, _products(spark, range(1, 201), 77))
+    _refresh_products(store, _products(spark, range(1, 201), 78))
+    assert store.read("dim_product").filter("master_price = 78").count() == 200
+    assert len(list(Path(store.folder("dim_product")).glob("v*"))) <= 3
+
+
+@pytest.mark.parametrize("ids, rule", [([3, 4, 4], "occurs twice in one batch: 4"), ([3, None], "is NULL")])
+def test_broken_batches_change_nothing(spark, store, ids, rule):
+    _refresh_products(store, _products(spark, range(1, 5)))
+    with pytest.raises(ConstraintViolation, match=rule):
+        _refresh_products(store, _products(spark, ids))
+    assert store.versions("dim_product") == [1]
