@@ -345,6 +345,18 @@ def dim_product_upsert(spark, sf_dir):
     return dimensions.load_dimension(existing, batch, dimensions.PRODUCTS, moment(RELOADED))
 
 
+def dim_product_rewrite(spark, sf_dir):
+    """Whole batches of which ever fewer rows change, upserted by files: first loaded, then a part, then one in a hundred."""
+    source, store = tpch.products(spark, sf_dir), _new_store(spark, "rewrite")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(16 << 10))  # small files, in this query's own session
+    for changed, after in (("false", 0), ("product_id % 4 = 0", 1), ("product_id % 100 = 7", 2)):
+        price = F.when(F.expr(changed), F.col("price") + after).otherwise(F.col("price")).cast("decimal(18,2)")
+        rows = source.withColumn("price", price).filter("category <> 'SMALL'" if after == 0 else "true")
+        pipeline.stage(store, {"stg_products": rows})
+        pipeline.refresh_dimension(store, dimensions.PRODUCTS, RELOADED)
+    return store.read("dim_product")
+
+
 def dim_campaign_upsert(spark, sf_dir):
     source = tpch.campaigns(spark, sf_dir)
     existing = _stored(spark, dimensions.CAMPAIGNS, _first_load(spark, dimensions.CAMPAIGNS, source.filter("channel <> 'click'")))
@@ -504,10 +516,11 @@ def sales_by_city(spark, sf_dir):
 
 
 _QUERIES = (
-    stage_transactions, csv_transactions, csv_transaction_items, csv_products, csv_line_breaks, csv_loose_quotes, csv_short_lines, date_coercion,
+    stage_transactions, csv_transactions, csv_transaction_items, csv_products, csv_line_breaks, csv_loose_quotes, csv_short_lines,
+    date_coercion,
     row_counts, verify_counts, verify_counts_reloaded,
     dim_date, date_insert_absent, unknown_members, dim_customer, dim_product, dim_campaign,
-    dim_customer_upsert, dim_product_upsert, dim_campaign_upsert,
+    dim_customer_upsert, dim_product_upsert, dim_product_rewrite, dim_campaign_upsert,
     fact_sales, fact_sales_unknown, fact_refresh_twice,
     duplicate_keys, null_violations, length_violations, range_violations, fact_fk_violations,
     declared_violations,
@@ -770,6 +783,15 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_CUSTOMERS})
             UNION ALL SELECT 0, 0, 'Unknown', NULL, NULL, NULL, '{LOADED}', NULL, TRUE
         """,
+        "dim_product_rewrite": """
+            SELECT CASE WHEN p_type <> 'SMALL' THEN row_number() OVER (PARTITION BY p_type <> 'SMALL' ORDER BY p_partkey)
+                        ELSE count(*) FILTER (WHERE p_type <> 'SMALL') OVER ()
+                             + row_number() OVER (PARTITION BY p_type <> 'SMALL' ORDER BY p_partkey) END AS product_key,
+                   CAST(p_partkey + 1 AS INTEGER) AS product_id_natural, p_name AS product_name, p_type AS category,
+                   CAST(CAST(p_retailprice AS DECIMAL(18,2)) + CASE WHEN (p_partkey + 1) % 100 = 7 THEN 2 ELSE 0 END
+                        AS DECIMAL(18,2)) AS master_price
+            FROM part UNION ALL SELECT 0, 0, 'Unknown', NULL, NULL
+        """,
         "dim_product": """
             SELECT row_number() OVER (ORDER BY p_partkey) AS product_key,
                    CAST(p_partkey + 1 AS INTEGER) AS product_id_natural, p_name AS product_name,

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 import warnings
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -37,10 +38,33 @@ LAST_YEAR = 2030
 
 
 def _together(spark: SparkSession, jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
-    """Run independent loads side by side, so small ones do not wait for big ones."""
+    """Run independent loads side by side, so small ones do not wait for big ones.
+
+    If one fails, the Spark jobs of the others are cancelled until all have
+    ended, and its error is raised; a load that was cancelled publishes nothing.
+    """
+    context, tag = spark.sparkContext, f"starloom-{uuid.uuid4().hex}"
+
+    def tagged(job: Callable[[], int]) -> Callable[[], int]:
+        def run() -> int:
+            context.addJobTag(tag)
+            try:
+                return job()
+            finally:
+                context.removeJobTag(tag)
+
+        return run
+
     with ThreadPoolExecutor(max(len(jobs), 1)) as pool:
-        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
-        return {name: load.result() for name, load in running.items()}
+        running = {name: pool.submit(inheritable_thread_target(spark)(tagged(job))) for name, job in jobs.items()}
+        done, pending = wait(running.values(), return_when=FIRST_EXCEPTION)
+        broken = next((load for load in done if load.exception()), None)
+        while broken and pending:  # a load may have been between two jobs
+            context.cancelJobsWithTag(tag)
+            _, pending = wait(pending, timeout=0.1)
+    if broken:
+        raise broken.exception()
+    return {name: load.result() for name, load in running.items()}
 
 
 def _moment(load_time: datetime.datetime | None) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from starloom.schemas import SENSOR_READING
 
@@ -96,6 +98,65 @@ def _path(spark: SparkSession, name: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+# State stores on the executors' disks; a checkpoint holds what changed since the last one.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+_settings = threading.Lock()
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """A query that starts here keeps its state on disk; a query copies the settings it starts with, so others do not."""
+    with _settings:
+        kept = {name: spark.conf.get(name, None) for name in _STATE}
+        try:
+            for name, value in _STATE.items():
+                spark.conf.set(name, value)
+            yield
+        finally:
+            for name, value in kept.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
+
+
+class LateReadings(StreamingQueryListener):
+    """What running queries say about late readings and their state, by the query's id.
+
+    ``spark.streams.addListener(late)`` starts it.  ``dropped`` counts the rows
+    that came behind the watermark and were left out, ``state_rows`` the windows
+    kept after the last batch.  Complete mode drops nothing and keeps them all;
+    its sort runs the stage before it twice, so Spark counts them twice.
+    The counts are those of batches that ran while it listened: a batch that is
+    replayed after a failure counts again.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.state_rows: dict[str, int] = {}
+        self.failures: dict[str, str] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        query = str(event.progress.id)
+        for state in event.progress.stateOperators:
+            self.dropped[query] = self.dropped.get(query, 0) + state.numRowsDroppedByWatermark
+            self.state_rows[query] = state.numRowsTotal
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.failures[str(event.id)] = event.exception
+
+
 def start_sensor_counts(
     messages: DataFrame,
     checkpoint: str,
@@ -106,7 +167,9 @@ def start_sensor_counts(
     """Start counting and return the running query; the caller waits for it.
 
     ``checkpoint`` is a folder all executors share; a restart on it neither
-    loses nor repeats a reading.
+    loses nor repeats a reading.  Windows are kept on the executors' disks, so
+    that complete mode, which forgets none, is not bound by their memory.  A
+    checkpoint made with state in memory cannot be continued.
     """
     writer = (
         sensor_counts(messages, mode)
@@ -114,4 +177,5 @@ def start_sensor_counts(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": TRIGGER}))
     )
-    return sink(writer).start()
+    with _state_on_disk(messages.sparkSession):
+        return sink(writer).start()

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -155,11 +156,12 @@ class _Writer:
         return tell
 
 
-def test_default_trigger_is_a_minute_and_the_console_shows_whole_values():
+def test_default_trigger_is_a_minute_and_the_console_shows_whole_values(spark):
     writer = _Writer()
 
     class Messages:
         writeStream = writer
+        sparkSession = spark
 
     kept = sensors.sensor_counts
     sensors.sensor_counts = lambda messages, mode: messages
@@ -194,3 +196,51 @@ def test_counting_decodes_the_time_alone(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka.read_topic(spark, "sensor_topic", "localhost:9092", maxOffsetsPerTrigger="1000")
+
+
+@pytest.mark.parametrize("mode, dropped, rows", [("complete", 0, 6), ("update", 1, 1), ("append", 1, 1)])
+def test_late_readings_are_reported(spark, tmp_path, mode, dropped, rows):
+    late = sensors.LateReadings()  # complete mode sorts, which runs the stage twice and so counts its 3 windows twice
+    spark.streams.addListener(late)
+    try:
+        _late_arrivals(tmp_path / "in")
+        query = sensors.start_sensor_counts(
+            _stream(spark, tmp_path / "in"), str(tmp_path / "state"),
+            sensors.to_files(str(tmp_path / "out")) if mode == "append" else sensors.to_memory(f"late_{mode}"),
+            mode=mode, trigger=ONCE,
+        )
+        query.awaitTermination()
+        end = time.monotonic() + 20  # events arrive after the batches they tell of
+        while time.monotonic() < end and late.state_rows.get(query.id) != rows:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.dropped[query.id] == dropped and late.state_rows[query.id] == rows
+    assert late.failures == {}
+
+
+def test_state_lies_on_disk_across_a_restart_and_other_queries_keep_theirs(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    counted = []
+    for number, minute in enumerate(["00", "00", "01"], 1):
+        _drop(tmp_path / "in", number, _json(f"2025-01-01T00:{minute}:05"))
+        query = sensors.start_sensor_counts(
+            _stream(spark, tmp_path / "in"), str(tmp_path / "state"), sensors.to_snapshots(str(tmp_path / "out")), trigger=ONCE,
+        )
+        query.awaitTermination()
+        counted.append(sorted(map(tuple, sensors.latest_snapshot(spark, str(tmp_path / "out")).collect())))
+        (state,) = query.lastProgress.stateOperators
+        assert any("rocksdb" in name for name in state.customMetrics)
+    assert counted == [
+        [("2025-01-01 00:00:00", 1)], [("2025-01-01 00:00:00", 2)], [("2025-01-01 00:00:00", 2), ("2025-01-01 00:01:00", 1)],
+    ]
+    assert list((tmp_path / "state").rglob("*.changelog"))
+    assert spark.conf.get(provider) == before
+    (tmp_path / "other").mkdir()
+    _drop(tmp_path / "other", 1, _json("2025-01-01T00:00:05"))
+    other = sensors.sensor_counts(_stream(spark, tmp_path / "other")).writeStream.outputMode("complete").format("memory").queryName(
+        "in_memory_state"
+    ).option("checkpointLocation", str(tmp_path / "memory")).trigger(**ONCE).start()
+    other.awaitTermination()
+    assert not list((tmp_path / "memory").rglob("*.changelog"))

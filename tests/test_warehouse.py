@@ -2,6 +2,7 @@ import datetime
 import functools
 import random
 import re
+import time
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from pathlib import Path
@@ -453,3 +454,22 @@ def test_broken_batches_change_nothing(spark, store, ids, rule):
     with pytest.raises(ConstraintViolation, match=rule):
         _refresh_products(store, _products(spark, ids))
     assert store.versions("dim_product") == [1]
+
+
+def test_a_failing_load_ends_its_siblings(spark, store):
+    pipeline.stage(store, {"stg_customers": _customers(spark, "a")})
+    slow = spark.range(0, 4, 1, 4).select(
+        F.expr("reduce(sequence(0, 30000000), 0D, (s, i) -> s + sqrt(cast(i + id AS double)))").alias("n")
+    ).selectExpr("cast(n AS bigint) AS product_id", "'x' AS product_name", "'y' AS category", "cast(1 AS decimal(18,2)) AS price")
+    broken = _customers(spark, "b").withColumn("customer_id", F.raise_error(F.lit("broken source")).cast("bigint"))
+    context, stopped = spark.sparkContext, []
+    plain = type(context).cancelJobsWithTag
+    started = time.monotonic()
+    try:
+        type(context).cancelJobsWithTag = lambda self, tag: (stopped.append(tag), plain(self, tag))[1]
+        with pytest.raises(Exception, match="broken source"):
+            pipeline.stage(store, {"stg_customers": broken, "stg_products": slow})
+    finally:
+        type(context).cancelJobsWithTag = plain
+    assert stopped and time.monotonic() - started < 20
+    assert store.versions("stg_customers") == [1] and not store.exists("stg_products")
