@@ -104,10 +104,11 @@ _CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0", "")
 # How a grant begins, besides "licensed".
 GRANT_VERBS = ("released", "distributed", "published", "available", "provided", "covered", "redistributed")
 GRANT_PREPOSITIONS = ("under", "by", "with")
-_GRANT = (
-    rf"(?:dual |re ?)?(?:licen[cs]ed|{'|'.join(GRANT_VERBS)}) "
-    rf"(?:{'|'.join(GRANT_PREPOSITIONS)})(?: the)?(?: terms of)?(?: the)?"
-)
+_OF = r"(?: the)?(?: terms of)?(?: the)?"
+_VERBS = "|".join(GRANT_VERBS)
+_GRANT = rf"(?:(?:dual |re ?)?licen[cs]ed (?:under|by|with)|(?:{_VERBS}) under){_OF}"
+# Much is provided by or with something; only what is called a license there is one.
+_LOOSE_GRANT = rf"(?:{_VERBS}) (?:by|with){_OF}"
 
 # Notices that name no license: label, regex, word that must be there, confidence.
 NOTICES = (
@@ -157,6 +158,7 @@ def rules() -> list[Rule]:
         forms = (
             (0, rf"spdx license identifier (?:[a-z0-9]+ ){{0,12}}?(?:{identifier})(?: only| or later)?", "spdx", 1.0),
             (1, rf"{_GRANT} (?:{name}|{identifier})(?: public)?(?: licen[cs]e)?(?: or any later version| or later)?", "", 0.95),
+            (1, rf"{_LOOSE_GRANT} (?:{name}|{identifier})(?: public)? licen[cs]e(?: or any later version| or later)?", "", 0.95),
             (2, rf"https? (?:www )?[a-z0-9]+ (?:org|com|net|io) (?:[a-z0-9]+ ){{0,3}}licenses? (?:{link})", "licenses", 0.9),
             (3, rf"(?:the )?(?:{name})(?: licen[cs]e)?", "", 0.8),
             (4, rf"licen[cs]e (?:is )?(?:{identifier})|(?:{identifier}) licen[cs]ed?", "", 0.7),

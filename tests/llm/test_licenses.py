@@ -96,10 +96,18 @@ def test_every_form_of_every_rule_passes_the_prefilter():
 
 
 def test_grants_with_any_verb(spark):
-    found = _scan(spark, ["this code is covered under MPL 2.0", "covered under the BSD 3-Clause", "provided with zlib"])
+    found = _scan(spark, ["this code is covered under MPL 2.0", "covered under the BSD 3-Clause", "provided with zlib license"])
     assert [r.labels for r in found] == ["mpl-2.0", "bsd-3-clause", "zlib"]
 
 
+def test_what_is_provided_by_or_with_a_name_is_no_license(spark):
+    texts = [
+        "Proceedings published by MIT in Boston", "the standard published by W3C", "figures provided by Ruby and Tom",
+        "a session available with Vim", "the bag covered with ISC foil", "redistributed by Perl users", "released with zlib 1.2",
+    ]
+    assert [(r.labels, r.score) for r in _scan(spark, texts)] == [("", 0.0)] * len(texts)
+
+
 def test_containment():
     import numpy as np
 
