@@ -82,4 +82,4 @@ def test_query_equals_its_sql(spark, name):
 
 def test_a_query_for_each_operator():
     numbers = {query.__name__.split("_")[0] for query in queries.QUERIES}
-    assert numbers == {f"op{number}" for number in range(1, 11)}
+    assert numbers == {f"op{number}" for number in range(1, 14)}
