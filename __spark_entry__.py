@@ -400,10 +400,46 @@ def fact_refresh_twice(spark, sf_dir):
     store = _new_store(spark, "twice")
     pipeline.stage(store, tpch.staging(spark, sf_dir))
     pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
-    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, RELOADED)
+    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, RELOADED, rebuild=True)
     return store.read("fact_sales")
 
 
+def transform_unchanged(spark, sf_dir):
+    """What later transforms write: of the same rows in another order, then of renamed customers."""
+    store, sources = _new_store(spark, "unchanged"), tpch.staging(spark, sf_dir)
+    pipeline.stage(store, sources)
+    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
+    shuffled = {name: rows.repartition(7) for name, rows in sources.items()}
+    renamed = {"stg_customers": sources["stg_customers"].withColumn("name", F.concat("name", F.lit(" II")))}
+    counts = []
+    for number, staged in ((2, shuffled), (3, renamed)):
+        pipeline.stage(store, staged)
+        loaded = pipeline.transform(store, FIRST_YEAR, LAST_YEAR, RELOADED)
+        tables = store.snapshot()  # the third load does not change what is counted for the second
+        counts += [
+            tables.read(name).agg(
+                F.lit(number).alias("load"), F.lit(name).alias("table_name"), F.lit(rows.written).alias("written"),
+                F.lit(int(rows)).cast("bigint").alias("rows_loaded"), F.count(F.lit(1)).alias("row_count"),
+            )
+            for name, rows in loaded.items()
+        ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def star_snapshot(spark, sf_dir):
+    """Sales by city in two releases: a star opened before all customers moved, and the one after."""
+    store, sources = _new_store(spark, "releases"), tpch.staging(spark, sf_dir)
+    pipeline.stage(store, sources)
+    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
+    before = store.snapshot()
+    pipeline.stage(store, {"stg_customers": sources["stg_customers"].withColumn("city", F.concat("city", F.lit(" City")))})
+    pipeline.transform(store, FIRST_YEAR, LAST_YEAR, RELOADED)
+    return reduce(DataFrame.unionByName, [
+        analytics.sales_by_city(star.read("fact_sales"), star.read("dim_customer")).withColumn("star", F.lit(label))
+        for label, star in (("before", before), ("after", store.snapshot()))
+    ])
+
+
 # --- checks ----------------------------------------------------------------
 
 
@@ -521,7 +557,7 @@ _QUERIES = (
     row_counts, verify_counts, verify_counts_reloaded,
     dim_date, date_insert_absent, unknown_members, dim_customer, dim_product, dim_campaign,
     dim_customer_upsert, dim_product_upsert, dim_product_rewrite, dim_campaign_upsert,
-    fact_sales, fact_sales_unknown, fact_refresh_twice,
+    fact_sales, fact_sales_unknown, fact_refresh_twice, transform_unchanged, star_snapshot,
     duplicate_keys, null_violations, length_violations, range_violations, fact_fk_violations,
     declared_violations,
     sensor_parse, sensor_counts, sensor_counts_stream, sensor_counts_append,
@@ -845,6 +881,22 @@ def oracle_sql() -> dict[str, str]:
         "fact_sales": fact_oracle,
         "fact_sales_unknown": _fact_oracle("segment = 'BUILDING'", "c.city <> 'NATION_3'", "p_type <> 'SMALL'"),
         "fact_refresh_twice": fact_oracle,
+        "transform_unchanged": f"""
+            SELECT load, table_name, load = 3 AND table_name IN ('dim_customer', 'fact_sales') AS written,
+                   n AS rows_loaded, n AS row_count
+            FROM (
+                SELECT 'dim_customer' AS table_name, count(*) + 1 AS n FROM customer
+                UNION ALL SELECT 'dim_product', count(*) + 1 FROM part
+                UNION ALL SELECT 'dim_campaign', count(DISTINCT event_type) + 1 FROM events
+                UNION ALL SELECT 'dim_date',
+                    date_diff('day', DATE '{FIRST_YEAR}-01-01', DATE '{LAST_YEAR}-12-31') + 1
+                UNION ALL SELECT 'fact_sales', count(*) FROM ({fact_oracle})
+            ), (VALUES (2), (3)) loads(load)
+        """,
+        "star_snapshot": f"""
+            SELECT 'before' AS star, * FROM ({_sales_oracle("n_name AS city")})
+            UNION ALL SELECT 'after', * FROM ({_sales_oracle("n_name || ' City' AS city")})
+        """,
         "duplicate_keys": """
             SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1

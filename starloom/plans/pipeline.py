@@ -74,22 +74,47 @@ def _moment(load_time: datetime.datetime | None) -> Column:
 def stage(store: TableStore, sources: dict[str, DataFrame]) -> dict[str, int]:
     """Replace the given staging tables; returns rows loaded by table.
 
-    Columns that a table does not declare are named in a warning and not stored.
+    The tables change together.  Columns that a table does not declare are named
+    in a warning and not stored.
     """
     for name, rows in sources.items():
         unknown = [column for column in rows.columns if column not in TABLES[name].columns.names]
         if unknown:
             warnings.warn(f"{name} does not declare the columns {unknown}, which are not stored", stacklevel=2)
-    return _together(
-        store.spark,
-        {name: lambda name=name, rows=rows: store.write(name, rows) for name, rows in sources.items()},
-    )
+    with store.transaction() as work:
+        return _together(
+            store.spark,
+            {name: lambda name=name, rows=rows: work.write(name, rows) for name, rows in sources.items()},
+        )
 
 
 class RowCount(int):
-    """Rows loaded; ``lost_dates`` has, by column, how many cells held a text that is no date."""
+    """Rows loaded; ``lost_dates`` has, by column, how many cells held a text that is no date.
+
+    ``written`` is false where a table was left as it is, because what it is made of has not changed.
+    """
 
     lost_dates: dict[str, int] = {}
+    written = True
+
+
+def _unless_same(store: TableStore, name: str, inputs: dict, refresh: Callable[[], int], rebuild: bool) -> RowCount:
+    """Refresh a table, unless its current version was made of the same inputs."""
+    current = store.current(name)
+    if current is not None and current.inputs == inputs and not rebuild:
+        count = RowCount(current.rows)
+        count.written = False
+        return count
+    before = store.versions(name)
+    count = RowCount(refresh())
+    count.written = store.versions(name) != before
+    return count
+
+
+def _content(store: TableStore, *names: str) -> dict[str, str]:
+    """What stands for the content of tables: the digest of a staging table, the version of another."""
+    found = {name: store.current(name) for name in names}
+    return {name: entry.digest or f"v{entry.versions[-1]}" for name, entry in found.items() if entry}
 
 
 def stage_csv(
@@ -123,10 +148,11 @@ def _current(store: TableStore, name: str, load_time: datetime.datetime | None)
 
 def create_tables(store: TableStore, load_time: datetime.datetime | None = None) -> None:
     """Write each table that does not exist yet."""
-    _together(store.spark, {
-        name: lambda name=name: store.write(name, _current(store, name, load_time))
-        for name in TABLES if not store.exists(name)
-    })
+    with store.transaction() as work:
+        _together(store.spark, {
+            name: lambda name=name: work.write(name, _current(work, name, load_time))
+            for name in TABLES if not work.exists(name)
+        })
 
 
 def _sized(store: TableStore, *read: str) -> TableStore:
@@ -134,31 +160,65 @@ def _sized(store: TableStore, *read: str) -> TableStore:
     return store.within(sized(store.spark, store.stored_bytes(*filter(store.exists, read))))
 
 
-def refresh_dimension(store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None = None) -> int:
-    """Upsert one staged batch into its dimension; files none of whose rows change stay as they are."""
+def refresh_dimension(
+    store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None = None, rebuild: bool = False
+) -> RowCount:
+    """Upsert one staged batch into its dimension; files none of whose rows change stay as they are.
+
+    A batch of the same content as the last one is not even read, unless
+    ``rebuild`` asks for it or the dimension was written in another way since.
+    """
+    with store.transaction() as work:
+        inputs = _content(work, load.source)
+        return _unless_same(work, load.table, inputs, lambda: _upsert(work, load, load_time, inputs), rebuild)
+
+
+def _upsert(store: TableStore, load: DimensionLoad, load_time: datetime.datetime | None, inputs: dict) -> int:
     store = _sized(store, load.source, load.table)
     staged, moment = store.read(load.source), _moment(load_time)
     if not store.exists(load.table) or store.files(load.table) is None:
-        return store.write(load.table, load_dimension(_current(store, load.table, load_time), staged, load, moment))
+        rows = load_dimension(_current(store, load.table, load_time), staged, load, moment)
+        return store.write(load.table, rows, inputs=inputs)
     return store.rewrite(
         load.table, lambda current: changed_rows(current, staged, load),
-        lambda existing, batch, last_key: merge_batch(existing, batch, load, moment, F.lit(last_key)),
+        lambda existing, batch, last_key: merge_batch(existing, batch, load, moment, F.lit(last_key)), inputs=inputs,
     )
 
 
-def refresh_calendar(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
+def refresh_calendar(
+    store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR, rebuild: bool = False
+) -> RowCount:
     """Add the days that the calendar lacks."""
-    store = _sized(store, "dim_date")
-    days = calendar_days(store.spark, first_year, last_year)
-    return store.write("dim_date", insert_absent(_current(store, "dim_date", None), days, "date_key"))
+    inputs = {"first_year": first_year, "last_year": last_year}
+
+    def refresh() -> int:
+        own = _sized(work, "dim_date")
+        days = calendar_days(own.spark, first_year, last_year)
+        return own.write("dim_date", insert_absent(_current(own, "dim_date", None), days, "date_key"), inputs=inputs)
+
+    with store.transaction() as work:
+        return _unless_same(work, "dim_date", inputs, refresh, rebuild)
 
 
-def refresh_fact(store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> int:
+def refresh_fact(
+    store: TableStore, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR, rebuild: bool = False
+) -> RowCount:
     """Rebuild the whole fact; it replaces the old one only if all its keys resolve.
 
     Its files hold one month each, or a part of a large one, so a read of some
-    dates skips the others by the files' statistics.
+    dates skips the others by the files' statistics.  A fact of the same staging
+    tables, dimensions and years stays as it is unless ``rebuild`` asks for it.
     """
+    with store.transaction() as work:
+        parents = [name for name, _ in TABLES["fact_sales"].references.values()]
+        inputs = _content(work, "stg_transactions", "stg_transaction_items", *parents)
+        inputs |= {"first_year": first_year, "last_year": last_year}
+        return _unless_same(
+            work, "fact_sales", inputs, lambda: _build_fact(work, first_year, last_year, inputs), rebuild
+        )
+
+
+def _build_fact(store: TableStore, first_year: int, last_year: int, inputs: dict) -> int:
     store = _sized(store, "stg_transactions", "stg_transaction_items")
     dimensions = {name: store.read(name) for name, _ in TABLES["fact_sales"].references.values()}
     rows = build_fact_sales(
@@ -170,7 +230,9 @@ def refresh_fact(store: TableStore, first_year: int = FIRST_YEAR, last_year: int
         last_year,
     )
     rows = rows.withColumn("sale_month", F.expr("date_key DIV 100")).hint("rebalance", "sale_month")
-    return store.write("fact_sales", rows, verify=lambda written: _require_references(written, dimensions))
+    return store.write(
+        "fact_sales", rows, verify=lambda written: _require_references(written, dimensions), inputs=inputs
+    )
 
 
 def _require_references(fact: DataFrame, dimensions: dict[str, DataFrame]) -> None:
@@ -196,15 +258,20 @@ def transform(
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
     load_time: datetime.datetime | None = None,
-) -> dict[str, int]:
+    rebuild: bool = False,
+) -> dict[str, RowCount]:
     """Refresh the four dimensions, then the fact; returns rows by table.
 
-    Running it again on the same staging tables changes nothing.
+    All five change in one release: readers see the old star or the new one.
+    Running it again on staging tables of the same content changes nothing; it
+    reads and writes no table then, and ``written`` of the counts says so.
     """
-    jobs = {
-        load.table: lambda load=load: refresh_dimension(store, load, load_time) for load in DIMENSION_LOADS
-    }
-    jobs["dim_date"] = lambda: refresh_calendar(store, first_year, last_year)
-    counts = _together(store.spark, jobs)
-    counts["fact_sales"] = refresh_fact(store, first_year, last_year)
+    with store.transaction() as work:
+        jobs = {
+            load.table: lambda load=load: refresh_dimension(work, load, load_time, rebuild)
+            for load in DIMENSION_LOADS
+        }
+        jobs["dim_date"] = lambda: refresh_calendar(work, first_year, last_year, rebuild)
+        counts = _together(store.spark, jobs)
+        counts["fact_sales"] = refresh_fact(work, first_year, last_year, rebuild)
     return counts
