@@ -5,6 +5,8 @@ width, keeps near vectors in one cell more often than far ones.  Each table
 joins several cells to a bucket; vectors that share a bucket in any table are
 compared exactly.  The number of cells follows the number of vectors, and the
 number of tables follows the chance that a pair at the threshold shares one.
+Vectors that are equal are one class, hashed and compared once with the number
+of its rows.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import components, joined_if_small, partitions, saved, tidy, tidy_group
+from starloom.llm.frames import components, joined_if_small, partitions, saved, small_batches, tidy, tidy_group
 from starloom.llm.text import mixed
 
 THRESHOLD = 0.9
@@ -73,10 +75,10 @@ def _codes(vectors: np.ndarray, cells: int, tables: int) -> np.ndarray:
     return (code >> np.uint64(32)).astype(np.uint32)
 
 
-def _linked(vectors: np.ndarray, codes: np.ndarray, table: int, split: int, threshold: float):
-    """Of one bucket: how many links each vector has that no earlier table shows, and a group label for each.
+def _linked(vectors: np.ndarray, times: np.ndarray, codes: np.ndarray, table: int, split: int, threshold: float):
+    """Of one bucket: the rows each vector links to that no earlier table shows, and a group label for each.
 
-    With ``split`` only pairs across that row count, as others belong to another block pair.
+    A vector stands for ``times`` rows.  With ``split`` only pairs across that row count, as others belong to another block pair.
     """
     count = len(vectors)
     links, label = np.zeros(count, np.int64), np.arange(count)
@@ -95,7 +97,7 @@ def _linked(vectors: np.ndarray, codes: np.ndarray, table: int, split: int, thre
         fresh = np.ones(len(first), bool)
         for earlier in range(table):
             fresh &= codes[first, earlier] != codes[second, earlier]
-        links += np.bincount(first[fresh], minlength=count)
+        np.add.at(links, first[fresh], times[second[fresh]])
     while True:
         best = np.minimum(label, np.where(near, label, count).min(axis=1, initial=count))
         best = best[best]
@@ -114,21 +116,34 @@ def near_duplicates(
     often.  ``n_links`` counts the other rows linked directly, ``component_id``
     is the smallest id reachable, ``kept`` marks rows that bear it.  Vectors that
     are null, empty, zero, or hold a null, infinite or NaN link with nothing, nor
-    do vectors of different lengths.  Rows that repeat an id are rows like others.
+    do vectors of different lengths.  Equal vectors are compared once, rows that
+    repeat an id are rows like others, and an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    rows = saved(vectors.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("vec_id"),
-        F.col(vector_column).cast("array<double>").alias("vector"),
-    ))
-    cells, tables = tables_for(rows.count(), threshold)
+    vector = F.col(vector_column)
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    links = vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
+    # The hashes name a class by its content, the same whenever the rows are read again.
+    rows = small_batches(vectors).select(
+        F.col(id_column).cast("long").alias("vec_id"), vector.alias("vector"),
+        F.when(links, F.xxhash64(vector)).alias("hash"), F.when(links, F.xxhash64(F.lit(5), vector)).alias("other_hash"),
+    )
+    classes = saved(
+        rows.filter("hash IS NOT NULL").groupBy("hash", "other_hash", "vector")
+        .agg(F.count(F.lit(1)).alias("times"), F.min("vec_id").alias("first_id"))
+        .withColumn("row", F.monotonically_increasing_id())
+    )
+    cells, tables = tables_for(classes.count(), threshold)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, units in _unit_rows(batch.column("vector")):
                 codes = _codes(units, cells, tables)
-                names = batch.column("row").take(pa.array(at))
-                payload = [unit.tobytes() + code.tobytes() for unit, code in zip(units, codes)]
+                names, times = (batch.column(name).take(pa.array(at)) for name in ("row", "times"))
+                payload = [
+                    unit.tobytes() + count.tobytes() + code.tobytes()
+                    for unit, count, code in zip(units, times.to_numpy(), codes)
+                ]
                 for table in range(tables):
                     yield pa.record_batch({
                         "bucket": pa.array(codes[:, table].astype(np.int64) | table << 32), "row": names,
@@ -136,7 +151,7 @@ def near_duplicates(
                     })
 
     schema = "bucket long, row long, payload binary"
-    spread_rows = rows.select("row", "vector").mapInArrow(tidy(spread), schema)
+    spread_rows = classes.select("row", "vector", "times").mapInArrow(tidy(spread), schema)
     sizes = saved(spread_rows.groupBy("bucket").count().filter("count > 1"))
     large = sizes.filter(F.col("count") > BLOCK).select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     shared = joined_if_small(spread_rows, sizes.select("bucket"), "bucket", "left_semi", 1_000_000)
@@ -166,10 +181,11 @@ def near_duplicates(
             if len({len(payload[i]) for i in part}) > 1:
                 continue  # equal codes of vectors of different lengths
             raw = np.frombuffer(b"".join(payload[i] for i in part), np.uint8).reshape(len(part), -1)
-            units = raw[:, :-4 * tables].copy().view(np.float64)
+            units = raw[:, :-4 * tables - 8].copy().view(np.float64)
+            times = raw[:, -4 * tables - 8:-4 * tables].copy().view(np.int64)[:, 0]
             codes = raw[:, -4 * tables:].copy().view(np.uint32)
             split = int((own[part] == low[part]).sum()) if low[part[0]] != high[part[0]] else 0
-            links, label, linked = _linked(units, codes, int(bucket[part[0]] >> 32), split, threshold)
+            links, label, linked = _linked(units, times, codes, int(bucket[part[0]] >> 32), split, threshold)
             result.append(np.stack([own_rows, own_rows[label], links], axis=1)[linked])
         found = np.concatenate(result)
         return pa.table({"row": found[:, 0], "other": found[:, 1], "links": found[:, 2]})
@@ -178,12 +194,20 @@ def near_duplicates(
         laid.select(group.alias("g"), "bucket", "row", "payload", "own", "low", "high")
         .groupBy("g").applyInArrow(tidy_group(compare), "row long, other long, links long")
     )
-    links = found.groupBy("row").agg(F.sum("links").alias("n_links"))
+    links = found.groupBy("row").agg(F.sum("links").alias("linked"))
     joined = components(found.select(F.col("row").alias("a"), F.col("other").alias("b")))
-    names = rows.select("row", "vec_id")
-    smallest = joined.join(names, joined.id == names.row).groupBy("component").agg(F.min("vec_id").alias("smallest"))
+    first = classes.select("row", "first_id")
+    smallest = joined.join(first, joined.id == first.row).groupBy("component").agg(F.min("first_id").alias("smallest"))
     of_row = joined.join(smallest, "component").select(F.col("id").alias("row"), "smallest")
-    return names.join(links, "row", "left").join(of_row, "row", "left").select(
+    of_class = saved(
+        classes.select("hash", "other_hash", "times", "first_id", "row").join(links, "row", "left")
+        .join(of_row, "row", "left").select(
+            "hash", "other_hash", (F.coalesce("linked", F.lit(0)) + F.col("times") - 1).alias("n_links"),
+            F.coalesce("smallest", "first_id").alias("smallest"),
+        ).filter("n_links > 0")
+    )
+    result = joined_if_small(rows.drop("vector"), of_class, ["hash", "other_hash"], "left", 1_000_000)
+    return result.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("smallest", "vec_id").alias("component_id"),
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import vectors
 
@@ -32,10 +33,13 @@ def _check(spark, rows, least=1.0):
     ids = {}
     for i, (name, _) in enumerate(rows):
         ids.setdefault(root(i), []).append(name)
-    expected = sorted((name, links[i], min(x for x in ids[root(i)])) for i, (name, _) in enumerate(rows))
+    expected = sorted((
+        (name, links[i], min((x for x in ids[root(i)] if x is not None), default=None))
+        for i, (name, _) in enumerate(rows)
+    ), key=repr)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
     if least == 1.0:
-        assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == expected
+        assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=repr) == expected
     assert sum(r.n_links for r in found) >= least * sum(links)
     assert sum(r.n_links for r in found) <= sum(links)
 
@@ -63,6 +67,25 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     _check(spark, _families(3, 2, 90, 0.05))
 
 
+def test_equal_vectors_count_as_rows(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 20)
+    families = _families(4, 6, 8, 0.08)
+    rows = [(1000 - i, v) for i, (_, v) in enumerate(families * 3 + families[:4] * 20)]
+    _check(spark, rows + [(None, families[0][1]), (None, None), (7, [0.0, -0.0]), (8, [-0.0, 1.0]), (9, [0.0, 1.0])])
+
+
+def test_a_third_of_all_rows_equal(spark):
+    hot, near, far = [1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0, 4.5], [4.0, -3.0, 2.0, -1.0]
+    ids = spark.range(300_000)
+    vector = F.expr(f"CASE id % 3 WHEN 0 THEN array{tuple(hot)} WHEN 1 THEN array{tuple(near)} ELSE array{tuple(far)} END")
+    found = vectors.near_duplicates(ids.select(
+        F.col("id").alias("vec_id"), vector.cast("array<float>").alias("embedding")
+    ))
+    counts = found.groupBy("n_links", "component_id").count().collect()
+    assert sorted(map(tuple, counts)) == [(99_999, 2, 100_000), (199_999, 0, 200_000)]
+    assert sorted(r.vec_id for r in found.filter("kept").collect()) == [0, 2]
+
+
 def test_odd_rows(spark):
     one = [1.0, 2.0, 3.0]
     rows = [
