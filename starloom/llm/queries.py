@@ -20,6 +20,7 @@ from starloom.llm import (
     vector_codes,
     vectors,
 )
+from starloom.plans.sizing import steady
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,7 +94,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, folder: str, order: int) -> DataFrame:
-    scored = scoring.score(_table(spark, folder, "documents"), order)
+    scored = scoring.score(_table(steady(spark), folder, "documents"), order)
     return scored.select(
         "doc_id", "n_words", F.round("log_score", 5).alias("log_score"),
         F.round("mean_log_score", 7).alias("mean_log_score"),

@@ -122,7 +122,9 @@ def score(
     word the context had to lose; a single word scores count / all words.
     ``log_score`` is the sum of natural logarithms.  A null text is empty; a
     text without words has a sum of 0 and a null mean.  Repeated rows count and
-    are scored like any others.
+    are scored like any others; an empty table gives no rows.  The documents are
+    read twice and have to be split alike both times: read files in a session of
+    ``plans.sizing.steady``, where that does not follow the number of executors.
     """
     spark = documents.sparkSession
     texts = small_batches(documents).select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))

@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, frames, jaccard, repeats
+from starloom.llm import decontaminate, frames, jaccard, queries, repeats, scoring
 
 DOCUMENTS = "/root/testdata/sf0.01/documents.parquet"
 PARALLELISM = "spark.sql.leafNodeDefaultParallelism"
@@ -60,6 +60,25 @@ def test_decontamination(spark, documents, restless):
     assert leaked and kept == {r.doc_id for r in documents.collect()} - leaked
 
 
+@pytest.mark.parametrize("query, order", [(queries.op10_scoring, 2), (queries.op10_scoring_triples, 3)])
+def test_scoring(spark, documents, monkeypatch, tmp_path, query, order):
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = _rows(scoring.score(spark.read.parquet(DOCUMENTS).coalesce(1), order).select("doc_id", "n_words"))
+    plain, switched = frames.saved, []
+
+    def saved(rows):
+        written = plain(rows)
+        rows.sparkSession.conf.set(PARALLELISM, 16)  # the session that the query reads in
+        switched.append(rows.sparkSession)
+        return written
+
+    monkeypatch.setattr(scoring, "saved", saved)
+    found = query(spark, str(tmp_path))
+    assert switched and all(session.conf.get(PARALLELISM) == "16" for session in switched)
+    assert _rows(found.select("doc_id", "n_words")) == expected
+    assert spark.conf.get(PARALLELISM, None) is None
+
+
 def test_numbers_of_files(spark, documents):
     before = {r.doc_id: r.n for r in frames.numbered(documents, "n", stored=True).collect()}
     spark.conf.set(PARALLELISM, 40)
