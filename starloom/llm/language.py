@@ -25,7 +25,7 @@ from starloom.llm.text import CHUNK, LETTERS, mixed, slices, span_hashes, text_b
 UNKNOWN = "und"
 # The classifier is fitted on so many labelled texts, drawn by hash, and on so many characters of each.
 SAMPLE_TEXTS, SAMPLE_CHARACTERS = 2000, 20_000
-# Chains are cut every so many words.
+# Chains are worked on in pieces of so many words, side by side; messages pass from piece to piece.
 CHAIN = 64
 FEATURE_BITS = 15
 STEPS, CHAINS_PER_STEP, RATE, DECAY = 240, 96, 0.25, 1e-6
@@ -101,7 +101,7 @@ def _scores(features: tuple[np.ndarray, np.ndarray, np.ndarray], weights: np.nda
 
 
 def _chains(counts: np.ndarray, length: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
-    """Words laid out by chain and place, -1 where a chain is shorter; the text of each chain."""
+    """Words laid out by piece of a chain and place, -1 where a piece is shorter; the text of each piece."""
     sizes = np.diff(counts)
     number = -(-sizes // length)
     text = np.repeat(np.arange(len(sizes)), number)
@@ -112,11 +112,13 @@ def _chains(counts: np.ndarray, length: int = CHAIN) -> tuple[np.ndarray, np.nda
 
 
 def _forward_backward(
-    scores: np.ndarray, there: np.ndarray, transitions: np.ndarray, start: np.ndarray, pairs: bool = False
+    scores: np.ndarray, there: np.ndarray, transitions: np.ndarray, start: np.ndarray, pairs: bool = False,
+    last: np.ndarray | None = None,
 ):
     """Probabilities of the languages at each place of each chain, and, if asked for, of neighbouring pairs.
 
     ``scores`` is chain by place by language; places that are not ``there`` are last and say nothing.
+    ``start`` scores the first place, for all chains or each; ``last`` is what flows back into each chain's end.
     """
     chains, length, languages = scores.shape
     here = np.exp(scores - scores.max(axis=2, keepdims=True))
@@ -128,7 +130,7 @@ def _forward_backward(
     for t in range(1, length):
         now = (ahead[:, t - 1] @ step) * here[:, t]
         ahead[:, t] = now / now.sum(axis=1, keepdims=True)
-    back = np.ones((chains, languages), here.dtype)
+    back = np.ones((chains, languages), here.dtype) if last is None else last
     expected = np.zeros((languages, languages))
     result = np.empty_like(here)
     for t in range(length - 1, -1, -1):
@@ -146,6 +148,41 @@ def _forward_backward(
     return (result, expected) if pairs else result
 
 
+def _messages(
+    scores: np.ndarray, there: np.ndarray, text: np.ndarray, transitions: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """What the pieces of a chain tell each other: the start scores of each piece, and what flows back into its end.
+
+    Each piece is summed up as a matrix, all pieces at once; the matrices of one
+    text are then passed through in order, so that nothing is lost at a cut.
+    """
+    count = scores.shape[2]
+    step = np.exp(transitions)
+    first = np.tile(np.exp(start), (len(text), 1)).astype(scores.dtype)
+    last = np.ones_like(first)
+    follows = np.flatnonzero(text[1:] == text[:-1])  # pieces that another one follows
+    if not len(follows):
+        return np.log(first), last
+    of_text = np.union1d(follows, follows + 1)
+    here = np.exp(scores[of_text] - scores[of_text].max(axis=2, keepdims=True))
+    through = here[:, 0, None, :] * np.eye(count, dtype=scores.dtype)
+    for t in range(1, scores.shape[1]):
+        now = (through.reshape(-1, count) @ step).reshape(through.shape) * here[:, t, None, :]
+        now /= now.sum(axis=(1, 2), keepdims=True)
+        through = np.where(there[of_text, t, None, None], now, through)
+    row = np.searchsorted(of_text, np.arange(len(text)))
+    place = np.arange(len(text)) - np.searchsorted(text, text)
+    order = follows[np.argsort(place[follows], kind="stable")]
+    rounds = np.split(order, np.flatnonzero(np.diff(place[order])) + 1)
+    for at in rounds:
+        out = np.einsum("bi,bij->bj", first[at], through[row[at]]) @ step
+        first[at + 1] = out / out.sum(axis=1, keepdims=True)
+    for at in reversed(rounds):
+        out = np.einsum("bij,bj->bi", through[row[at + 1]], last[at + 1]) @ step.T
+        last[at] = out / out.sum(axis=1, keepdims=True)
+    return np.log(np.maximum(first, np.finfo(first.dtype).tiny)), last
+
+
 def fit(texts: list[str], labels: list[str], seed: int = 11) -> Model:
     """Learn from texts of one stated language each.
 
@@ -239,12 +276,11 @@ def labelled(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     if len(begin) and count:
         hashes, first, kind = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
         scores = _scores(_features(data, begin[first], end[first], hashes, model), model.weights)
-        layout, _ = _chains(counts)
+        layout, text = _chains(counts)
         there = layout >= 0
-        found = _forward_backward(
-            scores[kind[np.where(there, layout, 0)]], there,
-            model.transitions.astype(np.float32), model.start.astype(np.float32),
-        )
+        at, transitions = scores[kind[np.where(there, layout, 0)]], model.transitions.astype(np.float32)
+        start, last = _messages(at, there, text, transitions, model.start.astype(np.float32))
+        found = _forward_backward(at, there, transitions, start, last=last)
         result[layout[there]] = found[there]
     return result, counts
 

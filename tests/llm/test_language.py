@@ -36,6 +36,34 @@ def test_forward_backward_by_enumeration():
     assert np.allclose(expected, pairs)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_long_texts_are_one_chain(seed):
+    draw = np.random.default_rng(seed)
+    sizes = [1000, 0, 64, 1, 65, 128, 3, 700]
+    counts = np.cumsum([0, *sizes])
+    scores, transitions, start = 2 * draw.normal(size=(counts[-1], 4)), 2 * draw.normal(size=(4, 4)), draw.normal(size=4)
+    layout, text = language._chains(counts)
+    there = layout >= 0
+    pieces = scores[np.where(there, layout, 0)]
+    starts, last = language._messages(pieces, there, text, transitions, start)
+    found = language._forward_backward(pieces, there, transitions, starts, last=last)
+    result = np.zeros_like(scores)
+    result[layout[there]] = found[there]
+    for low, high in zip(counts, counts[1:]):
+        if high > low:
+            whole = language._forward_backward(scores[None, low:high], np.ones((1, high - low), bool), transitions, start)
+            assert np.allclose(result[low:high], whole[0], atol=1e-9)
+
+
+def test_labels_do_not_depend_on_the_length_of_pieces(spark, model, monkeypatch):
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(60).collect()]
+    column = pa.array([*texts, " ".join(text or "" for text in texts[:20]), None, ""])
+    one, counts = language.labelled(column, model)
+    monkeypatch.setattr(language._chains, "__defaults__", (int(np.diff(counts).max()),))
+    whole, _ = language.labelled(column, model)
+    assert np.diff(counts).max() > 1000 and np.abs(one - whole).max() < 1e-3
+
+
 def test_held_out_accuracy(spark, model):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = language.identify(documents, model, into="found").collect()
