@@ -13,6 +13,7 @@ MOST_PARTITIONS = 50_000
 USUAL_SCAN_BYTES = 128 * 2**20
 
 _SCAN = "spark.sql.files.maxPartitionBytes"
+_OPEN_COST = "spark.sql.files.openCostInBytes"
 _PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _LEAST_SPLITS = "spark.sql.files.minPartitionNum"
 _SKEW = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
@@ -56,6 +57,20 @@ def steady(spark: SparkSession) -> SparkSession:
     return own
 
 
+def same_splits(spark: SparkSession, stored_bytes: int) -> SparkSession:
+    """A session in which a file is split alike whichever of ``stored_bytes`` of files are read with it.
+
+    Spark deals the bytes of a scan out to the cores, and a scan whose filter
+    leaves out files has fewer; so the size that fits them all is fixed here.
+    """
+    own = steady(spark)
+    most, cost = (spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(own.conf.get(name))
+                  for name in (_SCAN, _OPEN_COST))
+    own.conf.set(_SCAN, str(min(most, max(cost, stored_bytes // int(own.conf.get(_LEAST_SPLITS)), 1))))
+    own.conf.set(_LEAST_SPLITS, "1")  # a scan of less than a split's size then has whole files, which that size leaves whole too
+    return own
+
+
 def sized(spark: SparkSession, stored_bytes: int) -> SparkSession:
     """A session for work over ``stored_bytes`` of files.
 

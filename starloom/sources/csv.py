@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.coerce import blank_missing, typed
-from starloom.plans.sizing import steady
+from starloom.plans.sizing import same_splits
 
 _DIALECT = {"sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 # Read with this separator and no quote, a line is one column.
@@ -67,12 +67,19 @@ def _text(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame, s
     header = spark.read.options(**_WHOLE_LINE).csv(path).columns
     if len(header) != 1:
         raise ValueError(f"the header of {path} holds control characters")
-    spread = steady(spark)
+    spread = same_splits(spark, _stored_bytes(spark, path))
     inside = _inside(spread, path)
     lines = _lines(spark, path, header[0]) if inside is None else _records(spread, path, header[0], inside)
     return _select(_cells(lines, names, file), names, file), file
 
 
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files that a path or glob names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(files.getContentSummary(entry.getPath()).getLength() for entry in files.globStatus(place) or ())
+
+
 def _lines(spark: SparkSession, path: str, header: str) -> DataFrame:
     """``file, line``: the lines of files in which each is a record; blank ones are left out."""
     # Spark compares the header of each file with the one column's name.
@@ -204,6 +211,7 @@ def _inside(spark: SparkSession, path: str) -> dict[str, list[tuple[int, int | N
 def _records(spark: SparkSession, path: str, header: str, inside: dict[str, list[tuple[int, int | None]]]) -> DataFrame:
     """``file, line``: the records of files with line breaks in quoted cells, each split cut at its true record ends.
 
+    The splits are those of :func:`_inside`, also where only the files with open records are read again.
     A record that goes on in further splits is put together from its pieces,
     which are the only lines that leave their task.
     """

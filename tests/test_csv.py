@@ -251,6 +251,27 @@ def test_splits_do_not_follow_the_cores(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("others", [1, 2])
+def test_splits_do_not_follow_the_other_files(spark, tmp_path, others):
+    """Only files with a record over two splits are read again, and then alone."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    cells = ["x" * 9] * 4000 + ["y\n" * 25_000] + ["x" * 9] * 1500
+    with open(folder / "0.csv", "w", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows([("id", "x"), *enumerate(cells)])
+    for number in range(1, others + 1):
+        (folder / f"{number}.csv").write_text("id,x\n" + "".join(f"{n},{'z' * 14}\n" for n in range(6500)))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = read_text_columns(spark, str(folder))
+        assert sorted(tuple(row) for row in rows.filter("x not like 'z%'").collect()) == sorted(
+            (str(number), cell) for number, cell in enumerate(cells)
+        )
+        assert rows.filter(f"x = '{'z' * 14}'").count() == 6500 * others
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_lines_are_read_as_they_are(spark, tmp_path):
     path = _file(tmp_path, 'a,b\n "x" ,y\\\n\n5" pipe, z \n#c,"q\\"\n')
     assert [tuple(r) for r in read_text_columns(spark, path).collect()] == [
