@@ -11,9 +11,9 @@ at fixed places cuts every set into fragments, which are counted apart:
 3. Of sets that met, each fragment gives a partial overlap for each pair, and the
    sum over all fragments decides.
 
-N-grams that a sample shows to be common stand last in the order and are left
-out of fragments, unless a set has little else: else all texts with a common
-line would meet.  Which n-grams these are changes how many sets meet, not which
+N-grams that many sets have, counted over all of them, stand last in the order and
+are left out of fragments, unless a set has little else: else all texts with a
+common line would meet.  Which n-grams these are changes how many sets meet, not which
 are linked.
 """
 
@@ -39,8 +39,8 @@ PERCENT = 80
 # over single n-grams instead.
 CUTS = (1, 4, 6, 9, 13, 19, 28, 42, 63, 94, 141, 211, 316, 474, 711, 1066, 1599, 2398)
 SPARE, FIRST_CUTS = 3, 13
-# About so many texts are looked at to find common n-grams, those that this part of them have.
-SAMPLE_TEXTS, COMMON_PART = 5000, 0.004
+# N-grams are common that this part of all texts have, and so many at least.
+COMMON_PART, LEAST_COMMON = 0.004, 20
 # A set is cut without its common n-grams if the others make up REST of it, and with them if they make up less
 # than ALL.  That part can differ between similar sets by REST / 4 at most, so they share one of the two ways.
 REST, ALL = 0.65, 0.82
@@ -128,19 +128,23 @@ def meeting_keys(grams: np.ndarray, bounds: np.ndarray, common: np.ndarray) -> t
 
 
 def common_grams(texts: DataFrame) -> np.ndarray:
-    """Sorted hashes of the n-grams that many of the sampled texts have."""
-    chance = min(1.0, SAMPLE_TEXTS / max(1, texts.count()))
-    drawn = texts.filter(F.pmod(F.xxhash64("row", "doc_id"), F.lit(1 << 30)) < int(chance * (1 << 30)))
+    """Sorted hashes of the n-grams that COMMON_PART of the texts have, counted over all of them by fragments of the order."""
+    fragments = 2 * partitions(texts.sparkSession)
+    least = max(LEAST_COMMON, int(COMMON_PART * texts.count()))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", CHUNK // 2):
-            grams, times = np.unique(sets_of(batch.column("text"))[0], return_counts=True)
-            yield pa.record_batch({"gram": pa.array(grams.view(np.int64)), "times": pa.array(times)})
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records = ([sets_of(batch.column("text"))[0]] for batch in slices(batches, "text", CHUNK // 2))
+        for grams, in gathered(records, 2_000_000):
+            names, times = np.unique(grams, return_counts=True)
+            yield packed_batches([names, times.astype(np.uint32)], fragments)
+
+    def count(table: pa.Table) -> pa.Table:
+        grams, times = unpack_all(table.column("blob").to_pylist(), ["u8", "u4"])
+        names, place = np.unique(grams, return_inverse=True)
+        return pa.table({"gram": names[np.bincount(place, times, len(names)) >= least].view(np.int64)})
 
-    least = max(5, int(COMMON_PART * SAMPLE_TEXTS))
-    counted = drawn.select("text").mapInArrow(tidy(count), "gram long, times long").groupBy("gram").agg(F.sum("times").alias("n"))
-    # All n-grams of the sample by ``least`` bound how many these can be.
-    rows = counted.filter(F.col("n") >= least).select("gram").toArrow()
+    # All n-grams by ``least`` bound how many these can be: an average set's size by COMMON_PART, however many texts.
+    rows = by_bucket(texts.select("text").mapInArrow(tidy(spread), PACKED), count, "gram long").toArrow()
     return np.sort(rows.column("gram").to_numpy().view(np.uint64))
 
 

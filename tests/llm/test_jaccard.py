@@ -1,7 +1,9 @@
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starloom.llm import jaccard
@@ -133,3 +135,17 @@ def test_one_row_of_each_group_stays(spark):
 
 def test_empty_table(spark):
     assert jaccard.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_common_grams_are_counted_over_all_texts(spark):
+    """Of 6,000 texts 24 are the part that makes an n-gram common; 23 are too few."""
+    texts = [f"own{n} words{n} of{n} this{n} text{n}" for n in range(6000)]
+    for line in range(40):
+        for n in range(24 if line < 20 else 23):
+            texts[(line * 150 + n * 7) % 6000] += " " + " ".join(f"line{line}word{i}" for i in range(5))
+    frame = spark.createDataFrame([(n, n, text) for n, text in enumerate(texts)], "row long, doc_id long, text string")
+    counts = Counter(gram for text in texts for gram in _set(text))
+    found = jaccard.common_grams(frame)
+    assert len(found) == sum(times >= 24 for times in counts.values()) == 20
+    lines = pa.array([" ".join(f"line{line}word{i}" for i in range(5)) for line in range(20)])
+    assert found.tolist() == sorted(jaccard.sets_of(lines)[0].tolist())
