@@ -23,6 +23,11 @@ def known_or_unknown(key: Column) -> Column:
     return F.coalesce(key, F.lit(UNKNOWN_KEY).cast("long"))
 
 
+def total_amount(price: Column) -> Column:
+    declared = TABLES["fact_sales"].columns["total_amount"].dataType
+    return strict_cast(F.col("quantity") * price, declared, "total_amount")
+
+
 def build_fact_sales(
     transactions: DataFrame,
     items: DataFrame,
@@ -64,9 +69,9 @@ def build_fact_sales(
         "transaction_id_natural": F.col("transaction_id"),
         "quantity": F.col("quantity"),
         "price_at_sale": F.col("price"),
-        "total_amount": F.col("quantity") * F.col("price"),
     }
     return rows.select(*[
-        strict_cast(values[column.name], column.dataType, column.name).alias(column.name)
+        (total_amount(F.col("price")) if column.name == "total_amount"
+         else strict_cast(values[column.name], column.dataType, column.name)).alias(column.name)
         for column in TABLES["fact_sales"].columns
     ])

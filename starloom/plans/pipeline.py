@@ -25,7 +25,7 @@ from starloom.operators.dimensions import (
     merge_batch,
     new_dimension,
 )
-from starloom.operators.fact import build_fact_sales
+from starloom.operators.fact import build_fact_sales, total_amount
 from starloom.operators.quality import ConstraintViolation, orphans, require_clean
 from starloom.plans.sizing import sized
 from starloom.plans.store import TableStore, file_bytes
@@ -229,7 +229,11 @@ def _build_fact(store: TableStore, first_year: int, last_year: int, inputs: dict
         first_year,
         last_year,
     )
-    rows = rows.withColumn("sale_month", F.expr("date_key DIV 100")).hint("rebalance", "sale_month")
+    # Rows travel without what follows from their other columns.
+    rows = rows.drop("total_amount", "campaign_key").withColumn("sale_month", F.expr("date_key DIV 100"))
+    rows = rows.hint("rebalance", "sale_month").withColumns({
+        "total_amount": total_amount(F.col("price_at_sale")), "campaign_key": F.lit(UNKNOWN_KEY).cast("long"),
+    })
     return store.write(
         "fact_sales", rows, verify=lambda written: _require_references(written, dimensions), inputs=inputs
     )

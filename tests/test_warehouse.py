@@ -3,6 +3,7 @@ import functools
 import random
 import re
 import time
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from pathlib import Path
@@ -329,6 +330,23 @@ def test_scratch_is_deleted_when_the_application_ends(tmp_path):
     assert list(tmp_path.glob("starloom-*")) == []
 
 
+def test_reference_checks_shuffle_broken_rows_alone(spark):
+    """Keys of any sign and spread, known ones often and next to unknown ones; no join by shuffle, however large the parent."""
+    draw = random.Random(4)
+    keys = [draw.choice([draw.randrange(-200, 200), draw.randrange(-(2**63), 2**63)]) for _ in range(400)]
+    known = [*draw.sample(keys, 200), -(2**63), 2**63 - 1, -1, 64, None]
+    used = [*keys, *keys, -1, 63, 127, None]
+    parent = spark.createDataFrame([(key,) for key in known], "k long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = quality.orphans(spark.createDataFrame([(key,) for key in used], "id long"), "id", parent, "k")
+        expected = Counter(key for key in used if key is not None and key not in set(known))
+        assert {row.key: row.row_count for row in found.collect()} == expected
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_checks(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "bb"), (2, None), (None, "c"), (None, "c")], "id int, v string")
     assert [tuple(r) for r in quality.duplicate_keys(rows, "id").collect()] == [(1, 2)]
