@@ -409,7 +409,7 @@ def transform_unchanged(spark, sf_dir):
     store, sources = _new_store(spark, "unchanged"), tpch.staging(spark, sf_dir)
     pipeline.stage(store, sources)
     pipeline.transform(store, FIRST_YEAR, LAST_YEAR, LOADED)
-    shuffled = {name: rows.repartition(7) for name, rows in sources.items()}
+    shuffled = {name: rows.repartition(*rows.columns) for name, rows in sources.items()}  # into as many parts as the data needs
     renamed = {"stg_customers": sources["stg_customers"].withColumn("name", F.concat("name", F.lit(" II")))}
     counts = []
     for number, staged in ((2, shuffled), (3, renamed)):

@@ -4,9 +4,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from starloom.operators.quality import ConstraintViolation
 from starloom.plans import pipeline
-from starloom.plans.store import TableStore, WriteConflict, _digest
+from starloom.plans.store import TableStore, WriteConflict, _digest, _digest_text
 from starloom.schemas import TABLES
 
 LOADED = datetime.datetime(2025, 1, 1)
@@ -136,6 +137,32 @@ def test_digests_tell_sets_of_rows_apart(spark, one, other, same):
     assert (found[0] == found[1]) == same
 
 
+def test_digests_are_summed_without_decimals(spark):
+    """Parts of the hashes are summed as longs and give the sums of the whole hashes; nothing to sum is told apart."""
+    rows = spark.range(500).selectExpr("CAST(id AS INT) AS a", "IF(id % 7 = 0, NULL, CAST(id AS STRING)) AS b")
+    cells = [F.col("a"), F.col("a").isNull(), F.col("b"), F.col("b").isNull()]
+    whole = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")) for seed in (0, 1)]
+    for frame in (rows, rows.limit(0)):
+        count = F.count(F.lit(1)).alias("rows")
+        summed = frame.agg(count, *_digest(["a", "b"]))
+        assert {kind for _, kind in summed.dtypes} == {"bigint"}
+        assert _digest_text(summed.first().asDict()) == ":".join(map(str, frame.agg(count, *whole).first()))
+
+
+def test_rows_are_dealt_anew_by_their_size(spark, monkeypatch, tmp_path):
+    """The rows staged in another order go to no fixed number of tasks."""
+    rows = {name: spark.createDataFrame([], TABLES[name].columns) for name in TABLES if name.startswith("stg_")}
+    staged = []
+    monkeypatch.setattr(entry.tpch, "staging", lambda spark, folder: rows)
+    monkeypatch.setattr(entry, "_new_store", lambda spark, purpose: TableStore(spark, str(tmp_path)))
+    monkeypatch.setattr(entry.pipeline, "stage", lambda store, sources: staged.append(sources))
+    monkeypatch.setattr(entry.pipeline, "transform", lambda *_, **__: {"dim_date": pipeline.RowCount(0)})
+    monkeypatch.setattr(TableStore, "read", lambda store, name: spark.createDataFrame([], TABLES[name].columns))
+    entry.transform_unchanged(spark, "")
+    plans = [frame._jdf.queryExecution().logical().toString() for frame in staged[1].values()]
+    assert len(plans) == 5 and all("RepartitionByExpression" in plan and ", 7" not in plan for plan in plans)
+
+
 def test_few_releases_stay(spark, store):
     for _ in range(12):
         store.write("stg_products", store.read("stg_products").limit(1).coalesce(1))
