@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 
 from starloom.plans.scratch import dropped_at_exit, shared_folder
 
-_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Bytes of a batch sent to Python, and rows of a batch read from Parquet: it is held in the heap, with whole texts.
+_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": 1 << 20, "spark.sql.parquet.columnarReaderBatchSize": 512,
+}
 # What a broadcast row takes besides its bytes.
 _ROW_BYTES = 64
 _folders: dict[str, str] = {}
@@ -34,13 +37,14 @@ def scratch(spark: SparkSession) -> str:
 
 
 def small_batches(rows: DataFrame) -> DataFrame:
-    """Let the session send batches of few bytes to Python, unless it sets them itself.
+    """Let the session read batches of few rows and send batches of few bytes to Python, unless it sets them itself.
 
     Texts may be long, and a batch is held by the JVM and by Python.
     """
     conf = rows.sparkSession.conf
-    if conf.get(_BATCH, None) is None:
-        conf.set(_BATCH, str(4 << 20))
+    for name, size in _BATCHES.items():
+        if conf.get(name, None) is None:
+            conf.set(name, str(size))
     return rows
 
 
@@ -131,7 +135,8 @@ def numbered(documents: DataFrame, into: str, stored: bool = False) -> DataFrame
     if not files or sum(map(len, files)) > FILE_NAMES_BYTES:
         return saved(documents.withColumn(into, F.monotonically_increasing_id()))
     place = fresh("_place", [*rows.columns, into])
-    names = rows.sparkSession.createDataFrame(list(zip(sorted(files), range(len(files)))), f"{own[0]} string, {place} long")
+    # As an Arrow table: a list would start Python workers for it, which stay beside those that read the texts.
+    names = rows.sparkSession.createDataFrame(pa.table({own[0]: pa.array(sorted(files)), place: pa.array(range(len(files)))}))
     unknown = F.raise_error(F.concat(F.lit("rows from a file that was not listed: "), F.col(own[0]))).cast("long")
     number = F.shiftleft(F.coalesce(place, unknown), 40).bitwiseOR(F.col(own[1]))
     return rows.join(F.broadcast(names), own[0], "left").select(

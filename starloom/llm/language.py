@@ -28,6 +28,8 @@ SAMPLE_TEXTS, SAMPLE_CHARACTERS = 2000, 20_000
 # Chains are worked on in pieces of so many words, side by side; messages pass from piece to piece.
 CHAIN = 64
 FEATURE_BITS = 15
+# Distinct words whose features a task holds at once.
+WORDS_AT_ONCE = 4096
 STEPS, CHAINS_PER_STEP, RATE, DECAY = 240, 96, 0.25, 1e-6
 # A word is in a language's lexicon if the sample has it so often and mostly in that language.
 LEXICON_COUNT, LEXICON_SHARE = 4, 0.7
@@ -275,7 +277,11 @@ def labelled(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
     result = np.zeros((len(begin), count))
     if len(begin) and count:
         hashes, first, kind = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
-        scores = _scores(_features(data, begin[first], end[first], hashes, model), model.weights)
+        parts = (slice(low, low + WORDS_AT_ONCE) for low in range(0, len(first), WORDS_AT_ONCE))
+        scores = np.concatenate([
+            _scores(_features(data, begin[first[part]], end[first[part]], hashes[part], model), model.weights)
+            for part in parts
+        ])
         layout, text = _chains(counts)
         there = layout >= 0
         at, transitions = scores[kind[np.where(there, layout, 0)]], model.transitions.astype(np.float32)

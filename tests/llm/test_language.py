@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -123,3 +124,26 @@ def test_long_texts_teach(spark):
     assert min(len(text) for _, text, _ in rows) > 20_000
     found = {r.doc_id: r.lang_pred for r in language.identify(frame, language.train(frame)).collect()}
     assert found == {i: lang for i, _, lang in rows}
+
+
+def test_memory_of_many_distinct_words(model, monkeypatch):
+    draw = random.Random(5)
+    few, many = (
+        pa.array([" ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(number))]) for number in (500, 40_000)
+    )
+
+    def peak(column):
+        tracemalloc.start()
+        found, _ = language.labelled(column, model)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found, most
+
+    peak(few)  # tables that stay
+    found, most = peak(many)
+    # The features of all words at once took 93 MB.
+    assert most < 40e6
+    monkeypatch.setattr(language, "WORDS_AT_ONCE", 1 << 40)
+    whole, all_at_once = peak(many)
+    assert all_at_once > most
+    assert np.array_equal(found, whole)

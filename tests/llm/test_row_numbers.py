@@ -106,3 +106,26 @@ def test_clashing_names(spark, documents):
 def test_empty_files(spark, documents, tmp_path):
     documents.limit(0).write.parquet(str(tmp_path / "empty"))
     assert frames.numbered(spark.read.parquet(str(tmp_path / "empty")), "n", stored=True).collect() == []
+
+
+def test_file_names_need_no_python_workers(spark, documents, capsys):
+    frames.numbered(documents, "n", stored=True).explain()
+    plan = capsys.readouterr().out
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
+def test_small_batches_unless_set(spark, documents):
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        frames.small_batches(documents)
+        # Texts of 100 kB: 50 MB of a column are read at once, 1 MB is sent.
+        assert [int(spark.conf.get(name)) for name in names] == [1 << 20, 512]
+        spark.conf.set(names[1], "100")
+        frames.small_batches(documents)
+        assert spark.conf.get(names[1]) == "100"
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value else spark.conf.unset(name)
