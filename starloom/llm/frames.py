@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import inspect
 import itertools
@@ -22,6 +23,8 @@ from starloom.plans.scratch import dropped_at_exit, shared_folder
 _BATCHES = {
     "spark.sql.execution.arrow.maxBytesPerBatch": 1 << 20, "spark.sql.parquet.columnarReaderBatchSize": 512,
 }
+# Whether Spark deletes the shuffle files of a query when it ends; else they stay until the driver collects garbage.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # What a broadcast row takes besides its bytes.
 _ROW_BYTES = 64
 _folders: dict[str, str] = {}
@@ -81,11 +84,25 @@ def tidy_group(work: Callable[..., pa.Table]):
     return one if len(inspect.signature(work).parameters) == 1 else two
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries planned inside delete their shuffle files when they end, unless the session says otherwise."""
+    before = spark.conf.getAll.get(_SHUFFLES_GO)
+    if before is None:
+        spark.conf.set(_SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLES_GO)
+
+
 def saved(rows: DataFrame) -> DataFrame:
-    """The rows written to the shared folder and read again: the end of their lineage."""
+    """The rows written to the shared folder and read again: the end of their lineage, and of its shuffle files."""
     spark = small_batches(rows).sparkSession
     folder = f"{scratch(spark)}/{next(_numbers):05d}"
-    rows.write.parquet(folder)
+    with shuffles_dropped(spark):
+        rows.write.parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
@@ -159,6 +176,22 @@ def joined_if_small(large: DataFrame, side: DataFrame, on, how: str, limit: int)
     return large.join(F.broadcast(side) if small(side, limit) else side, on, how)
 
 
+def among(large: DataFrame, ids: DataFrame, on: str, keep: bool, limit: int) -> DataFrame:
+    """The rows of ``large`` whose whole number is one of ``ids``, or whose is none of them.
+
+    Numbers are sent to the scan as bits, 64 neighbours in one word, while that
+    makes at most ``limit`` words; else rows meet them by shuffle.
+    """
+    word, bits = fresh("_word", large.columns), fresh("_bits", large.columns)
+    bit = F.expr(f"shiftleft(1L, cast(`{on}` & 63 AS int))")
+    words = saved(ids.select(F.shiftright(on, 6).alias(word), bit.alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits)))
+    if not small(words, limit):
+        return large.join(ids, on, "left_semi" if keep else "left_anti")
+    there = F.coalesce(F.col(bits).bitwiseAND(bit) != 0, F.lit(False))
+    found = large.withColumn(word, F.shiftright(on, 6)).join(F.broadcast(words), word, "inner" if keep else "left")
+    return found.filter(there if keep else ~there).select(*(F.col(f"`{name}`") for name in large.columns))
+
+
 def joined_if_light(large: DataFrame, side: DataFrame, on, how: str, column: str, limit: int) -> DataFrame:
     """Join to a written table, which is broadcast only if its rows and their ``column`` take at most ``limit`` bytes."""
     size = side.agg(F.coalesce(F.sum(F.octet_length(column) + F.lit(_ROW_BYTES)), F.lit(0))).first()[0]
@@ -219,12 +252,13 @@ def unpack_all(blobs, kinds: list[str]) -> list[np.ndarray]:
 PACKED = "bucket int, blob binary"
 
 
-def packed_batches(columns: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """Rows (bucket, blob) of records whose first column is the key, sorted already."""
-    cuts = np.flatnonzero(np.diff(bucket_of(columns[0], buckets))) + 1
+def packed_batches(columns: list[np.ndarray], buckets: int, bucket: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows (bucket, blob) of records whose first column is the key, sorted already: by ``bucket`` first, if given."""
+    bucket = bucket_of(columns[0], buckets) if bucket is None else bucket
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
     bounds = [0, *cuts.tolist(), len(columns[0])]
     spans = [(low, high) for low, high in zip(bounds, bounds[1:]) if high > low]
-    first = bucket_of(columns[0][[low for low, _ in spans]], buckets) if spans else np.zeros(0, np.int64)
+    first = bucket[[low for low, _ in spans]] if spans else np.zeros(0, np.int64)
     blobs = [pack([column[low:high] for column in columns]) for low, high in spans]
     return pa.record_batch({"bucket": pa.array(first, pa.int32()), "blob": pa.array(blobs, pa.binary())})
 

@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import (
-    PACKED, by_bucket, components, fresh, gathered, joined_if_small, numbered, packed_batches, partitions, saved, tidy,
-    tidy_group, unpack_all,
+    PACKED, among, bucket_of, by_bucket, components, fresh, gathered, joined_if_small, numbered, packed_batches, partitions,
+    saved, small, tidy, tidy_group, unpack_all,
 )
 from starloom.llm.text import CHUNK, NOT_SPACE, gram_hashes, mixed, slices, text_bytes, word_hashes
 
@@ -46,6 +46,10 @@ COMMON_PART, LEAST_COMMON = 0.004, 20
 REST, ALL = 0.65, 0.82
 # Sets compared in one task; larger families are compared block by block.
 BLOCK = 1024
+# Texts that can be similar to others are written apart if they are this part of all.
+FEW = 0.25
+# Bits of n-gram hashes beyond those that number all n-grams, where it is counted which recur.
+SPARE_BITS = 8
 # Ids of a family that are broadcast to the scan that fetches its sets; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -217,7 +221,7 @@ def overlaps(members: list[np.ndarray], own: int, fragments: int = 16) -> np.nda
     first = np.flatnonzero(start)
     times = np.diff(np.append(first, len(grams)))
     cuts = np.searchsorted((grams[first] >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32), np.arange(fragments + 1))
-    total = np.zeros((count, count), np.float32)
+    total = np.zeros((own, count), np.float32)
     for low, high in zip(cuts.tolist(), cuts[1:].tolist()):
         at, often = first[low:high], times[low:high]
         for number in range(2, 17):  # n-grams of few sets: their pairs one by one
@@ -226,7 +230,8 @@ def overlaps(members: list[np.ndarray], own: int, fragments: int = 16) -> np.nda
                 sets = owner[rare[:, None] + np.arange(number)]
                 left, right = np.triu_indices(number, 1)
                 pairs = sets[:, left].ravel() * count + sets[:, right].ravel()
-                total += np.bincount(pairs, minlength=count * count).reshape(count, count)
+                pairs = pairs[pairs < own * count]
+                total += np.bincount(pairs, minlength=own * count).reshape(own, count)
         dense = np.flatnonzero(often > 16)
         for block in range(0, len(dense), 1024):  # n-grams of many sets: as a product of matrices
             part = dense[block:block + 1024]
@@ -235,8 +240,9 @@ def overlaps(members: list[np.ndarray], own: int, fragments: int = 16) -> np.nda
             place = np.repeat(at[part] - np.cumsum(number) + number, number) + np.arange(number.sum())
             there = np.zeros((count, len(part)), np.float32)
             there[owner[place], column] = 1
-            total += np.triu(there @ there.T, 1)
-    return (total + total.T)[:own]
+            total += np.triu(there[:own] @ there.T, 1)
+    total[:, :own] += total[:, :own].T.copy()
+    return total
 
 
 def linked(members: list[np.ndarray], own: int) -> np.ndarray:
@@ -245,9 +251,28 @@ def linked(members: list[np.ndarray], own: int) -> np.ndarray:
     return overlaps(members, own) * (100 + PERCENT) >= PERCENT * (sizes[:own, None] + sizes[None, :])
 
 
-def _recurring(texts: DataFrame) -> DataFrame:
-    """(row, recurring): how many n-grams of a set other sets have too, summed over the fragments of the order."""
+def _by_row(rows: np.ndarray, times: np.ndarray, buckets: int) -> pa.Table:
+    """Counts of rows, packed by row; neighbours go together, so that rows are kept as small differences."""
+    bucket = bucket_of(mixed((rows >> 6).view(np.uint64)), buckets)
+    order = np.lexsort((rows, bucket))
+    columns = [rows[order].view(np.uint64), times[order].astype(np.uint32)]
+    return pa.Table.from_batches([packed_batches(columns, buckets, bucket[order])])
+
+
+def _total(table: pa.Table) -> pa.Table:
+    rows, times = unpack_all(table.column("blob").to_pylist(), ["u8", "u4"])
+    names, place = np.unique(rows.view(np.int64), return_inverse=True)
+    return pa.table({"row": names, "recurring": np.bincount(place, times, len(names)).astype(np.int64)})
+
+
+def _recurring(texts: DataFrame, members: int) -> DataFrame:
+    """(row, recurring): how many n-grams of a set other sets have too, summed over the fragments of the order.
+
+    N-grams go by the leading bits of their hashes, enough for ``members`` of them: one
+    in 2**SPARE_BITS may count that no other set has, none is left out.
+    """
     fragments = 2 * partitions(texts.sparkSession)
+    dropped = np.uint64(max(0, 64 - SPARE_BITS - max(members, 1).bit_length()))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[list[np.ndarray]]:
@@ -258,7 +283,7 @@ def _recurring(texts: DataFrame) -> DataFrame:
 
         for number, (grams, rows) in enumerate(gathered(records(), 500_000)):
             order = np.argsort(grams)
-            grams, rows = grams[order], rows[order]
+            grams, rows = grams[order] >> dropped, rows[order]
             again = np.zeros(len(grams), bool)
             again[1:] = grams[1:] == grams[:-1]
             # What recurs here counts here; one record, of no row, tells the fragment that the n-gram exists.
@@ -269,100 +294,207 @@ def _recurring(texts: DataFrame) -> DataFrame:
                 "bucket": pa.array([-1 - number % fragments], pa.int32()),
                 "blob": pa.array([np.stack([names, times]).tobytes()], pa.binary()),
             })
-            yield packed_batches([grams[~again], np.where(here, -1, rows)[~again]], fragments)
-
-    def by_row(rows: np.ndarray, times: np.ndarray) -> pa.Table:
-        key = mixed(rows.view(np.uint64))
-        order = np.argsort(key)
-        return pa.Table.from_batches([packed_batches([key[order], rows[order], times[order].astype(np.uint32)], fragments)])
+            grams, rows = grams[~again], np.where(here, -1, rows)[~again]
+            yield packed_batches([grams, rows], fragments, bucket_of(grams << dropped, fragments))
 
     def count(table: pa.Table) -> pa.Table:
         blobs = table.column("blob").to_pylist()
         if table.column("bucket")[0].as_py() < 0:
             parts = [np.frombuffer(blob, np.int64).reshape(2, -1) for blob in blobs]
             rows, times = np.concatenate(parts, axis=1)
-            return by_row(np.ascontiguousarray(rows), times)
+            return _by_row(np.ascontiguousarray(rows), times, fragments)
         grams, rows = unpack_all(blobs, ["u8", "i8"])
         order = np.argsort(grams)
         grams, rows = grams[order], rows[order]
         again = np.zeros(len(grams), bool)
         again[1:] = grams[1:] == grams[:-1]
         again[:-1] |= again[1:]
-        return by_row(*np.unique(rows[again & (rows >= 0)], return_counts=True))
-
-    def total(table: pa.Table) -> pa.Table:
-        _, rows, times = unpack_all(table.column("blob").to_pylist(), ["u8", "i8", "u4"])
-        names, place = np.unique(rows, return_inverse=True)
-        return pa.table({"row": names, "recurring": np.bincount(place, times, len(names)).astype(np.int64)})
+        return _by_row(*np.unique(rows[again & (rows >= 0)], return_counts=True), fragments)
 
     spread_rows = texts.select("row", "text").mapInArrow(tidy(spread), PACKED)
-    return by_bucket(by_bucket(spread_rows, count, PACKED), total, "row long, recurring long")
+    return by_bucket(by_bucket(spread_rows, count, PACKED), _total, "row long, recurring long")
 
 
-def _compared(texts: DataFrame, families: DataFrame) -> DataFrame:
-    """Edges (a, b) of similar sets that connect all that are similar within each family."""
-    spark = texts.sparkSession
-    sizes = families.groupBy("component").count().withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    many = sizes.filter("blocks > 1").select("component", "blocks")
-    placed = joined_if_small(families, saved(many), "component", "left", 100_000).select(
-        F.col("id").alias("row"), "component", F.coalesce("blocks", F.lit(1)).alias("blocks")
-    ).withColumn("block", F.pmod(F.xxhash64("row"), "blocks").cast("int"))
-    fetched = joined_if_small(texts.select("row", "text"), saved(placed), "row", "inner", BROADCAST_IDS)
+def _outside(texts: DataFrame) -> DataFrame:
+    """(row, recurring): how many n-grams of a set those of its family have that bear other labels.
+
+    ``texts`` are ``row, text, component, label``.
+    """
+    fragments = 2 * partitions(texts.sparkSession)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def records() -> Iterator[list[np.ndarray]]:
+            for batch in slices(batches, "text", CHUNK // 2):
+                grams, bounds = sets_of(batch.column("text"))
+                row, family, label = (
+                    np.repeat(batch.column(name).to_numpy(zero_copy_only=False), np.diff(bounds))
+                    for name in ("row", "component", "label")
+                )
+                yield [mixed(grams ^ mixed(family.view(np.uint64))), row, label]
+
+        for columns in gathered(records(), 500_000):
+            order = np.argsort(columns[0])
+            yield packed_batches([column[order] for column in columns], fragments)
+
+    def count(table: pa.Table) -> pa.Table:
+        grams, rows, labels = unpack_all(table.column("blob").to_pylist(), ["u8", "i8", "i8"])
+        order = np.lexsort((labels, grams))
+        grams, rows, labels = grams[order], rows[order], labels[order]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        number = np.diff(np.append(first, len(grams)))
+        several = np.repeat(labels[first] != labels[first + number - 1], number)
+        return _by_row(*np.unique(rows[several], return_counts=True), fragments)
+
+    spread_rows = texts.mapInArrow(tidy(spread), PACKED)
+    return by_bucket(by_bucket(spread_rows, count, PACKED), _total, "row long, recurring long")
+
+
+def _similar(texts: DataFrame, placed: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what is similar within each group of ``placed``.
+
+    Its rows are ``row, g, component, part, guest``: all rows of one (component,
+    part) are in one ``g`` and are compared with each other; if some of them are
+    guests, then these with the others only.
+    """
+    places = saved(placed.groupBy("row").agg(F.collect_list(F.struct("g", "component", "part", "guest")).alias("places")))
+    light = small(places.select(F.explode("places")), BROADCAST_IDS)
+    fetched = texts.select("row", "text").join(F.broadcast(places) if light else places, "row")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK // 2):
             grams, bounds = sets_of(batch.column("text"))
             blobs = [grams[a:b].tobytes() for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
-            names = ["row", "component", "blocks", "block"]
+            names = ["row", "places"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in names), pa.array(blobs, pa.binary())], [*names, "blob"]
             )
 
-    rows = fetched.mapInArrow(tidy(sets), "row long, component long, blocks int, block int, blob binary")
-    laid = rows.select(
-        "row", "component", "block", "blob", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    # Families of one block share groups, each pair of blocks of a larger one has its own.
-    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(4 * partitions(spark)))).otherwise(
-        F.xxhash64("component", "low", "high")
-    )
+    place = "struct<g: long, component: long, part: long, guest: boolean>"
+    laid = fetched.mapInArrow(tidy(sets), f"row long, places array<{place}>, blob binary").select(
+        "row", F.explode("places").alias("place"), "blob"
+    ).select("row", "place.*", "blob")
 
     def compare(table: pa.Table) -> pa.Table:
-        names = ("row", "component", "block", "low", "high")
-        row, family, block, low, high = (table.column(name).to_numpy() for name in names)
+        row, family, part, guest = (
+            table.column(name).to_numpy() for name in ("row", "component", "part", "guest")
+        )
         blob = table.column("blob")
-        order = np.lexsort((row, block, high, low, family))
-        cuts = np.flatnonzero(
-            (np.diff(family[order]) != 0) | (np.diff(low[order]) != 0) | (np.diff(high[order]) != 0)
-        ) + 1
+        order = np.lexsort((row, ~guest, part, family))
+        cuts = np.flatnonzero((np.diff(family[order]) != 0) | (np.diff(part[order]) != 0)) + 1
         found = [np.zeros((0, 2), np.int64)]
-        for part in np.split(order, cuts):
-            if len(part) < 2:
-                continue
-            members = [np.frombuffer(blob[int(i)].as_py(), np.uint64) for i in part]
-            apart = low[part[0]] != high[part[0]]
-            own = int((block[part] == low[part]).sum()) if apart else len(part)
-            if not own:
+        for group in np.split(order, cuts):
+            own = int(guest[group].sum())
+            apart = own > 0
+            own = own or len(group)
+            if len(group) < 2 or apart and own == len(group):
                 continue
-            near = np.zeros((len(part), len(part)), bool)
+            members = [np.frombuffer(blob[int(i)].as_py(), np.uint64) for i in group]
+            near = np.zeros((len(group), len(group)), bool)
             near[:own] = linked(members, own)
             if apart:
-                near[:own, :own] = False  # pairs within a block have a group of their own
+                near[:own, :own] = False  # guests are compared with each other elsewhere
             near |= near.T
-            label = np.arange(len(part))
+            label = np.arange(len(group))
             while True:
-                best = np.minimum(label, np.where(near, label, len(part)).min(axis=1))
+                best = np.minimum(label, np.where(near, label, len(group)).min(axis=1))
                 best = best[best]
                 if (best == label).all():
                     break
                 label = best
-            joined = label != np.arange(len(part))
-            found.append(np.stack([row[part][label[joined]], row[part][joined]], axis=1))
+            joined = label != np.arange(len(group))
+            found.append(np.stack([row[group][label[joined]], row[group][joined]], axis=1))
         return _edge_table(np.concatenate(found))
 
-    return laid.select(group.alias("g"), *("row", "component", "block", "low", "high", "blob")).groupBy("g").applyInArrow(
-        tidy_group(compare), "a long, b long"
+    return laid.groupBy("g").applyInArrow(tidy_group(compare), "a long, b long")
+
+
+def _dealt(rows: DataFrame, near: str) -> DataFrame:
+    """Rows of families as places for :func:`_similar`: of those that have equal ``near`` about BLOCK are in one part."""
+    families = saved(rows.groupBy("component").agg(F.ceil(F.count("row") / BLOCK).alias("blocks")))
+    dealt = saved(joined_if_small(rows, families, "component", "inner", 100_000).withColumn(
+        "bucket", F.pmod(F.xxhash64(near), "blocks")
+    ))
+    fill = saved(dealt.groupBy("component", "bucket").agg(F.ceil(F.count("row") / BLOCK).alias("pieces")))
+    return joined_if_small(dealt, fill, ["component", "bucket"], "inner", 100_000).withColumn(
+        "part", F.shiftleft("bucket", 32) + F.pmod(F.xxhash64("row"), "pieces")
+    ).select("row", F.xxhash64("component", "part").alias("g"), "component", "part", F.lit(False).alias("guest"))
+
+
+def _compared(texts: DataFrame, families: DataFrame, signs: DataFrame) -> DataFrame:
+    """Edges (a, b) of similar sets that connect all that are similar within each family.
+
+    ``signs`` are ``row, n_shingles, first, last``, the latter the ends of a set in
+    the order.  Sets of families beyond BLOCK are compared in parts of about BLOCK
+    that have an end in common.  What these join needs no more comparing within
+    itself, so only such sets go on of which PERCENT recurs in other groups of
+    their family.  These make families anew, by what they alone have in common, in
+    which all sets but those of the largest group meet all others.
+    """
+    spark = texts.sparkSession
+    many = saved(families.groupBy("component").count().filter(F.col("count") > BLOCK).select("component", F.lit(True).alias("many")))
+    placed = saved(joined_if_small(families, many, "component", "left", 100_000).select(
+        F.col("id").alias("row"), "component", F.coalesce("many", F.lit(False)).alias("many")
+    ))
+    whole = placed.filter("NOT many").select(  # families of one block share groups
+        "row", F.pmod(F.xxhash64("component"), F.lit(4 * partitions(spark))).alias("g"), "component",
+        F.lit(0).cast("long").alias("part"), F.lit(False).alias("guest"),
+    )
+    if small(many, 0):
+        return _similar(texts, whole)
+    large = saved(placed.filter("many").join(signs, "row").select("row", "component", "first", "last"))
+    edges = saved(_similar(texts, whole.union(_dealt(large, "first"))))
+
+    def grouped(edges: DataFrame) -> DataFrame:
+        labels = saved(components(edges)).select(F.col("id").alias("row"), F.col("component").alias("label"))
+        return saved(large.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row")))
+
+    # Some of each group, told apart by their other end.
+    chosen = saved(grouped(edges).groupBy("component", "label", "last").agg(F.min("row").alias("row")))
+    edges = saved(edges.union(_similar(texts, _dealt(chosen, "last"))))
+
+    def unsettled(labelled: DataFrame) -> DataFrame:
+        """Without the families that are one group by now."""
+        several = saved(labelled.groupBy("component").agg(
+            F.min("label").alias("one"), F.max("label").alias("other")
+        ).filter("one <> other").select("component"))
+        return saved(joined_if_small(labelled.select("row", "component", "label"), several, "component", "inner", 100_000))
+
+    labelled = unsettled(grouped(edges))
+    found = saved(_outside(joined_if_small(texts.select("row", "text"), labelled, "row", "inner", BROADCAST_IDS)))
+    left = saved(labelled.join(found, "row").join(signs, "row").filter(
+        F.col("recurring") * 100 >= F.col("n_shingles") * PERCENT
+    ).select("row", "label"))
+    # They are fewer, so fewer meet by chance: they make families of their own.
+    again = components(saved(_meetings(among(texts, left, "row", True, BROADCAST_IDS))))
+    left = unsettled(saved(left.join(again.withColumnRenamed("id", "row"), "row")))
+    largest = left.groupBy("component", "label").count().groupBy("component").agg(
+        F.max(F.struct("count", "label")).alias("most"), F.sum("count").alias("sets")
+    ).select(
+        "component", F.col("most.label").alias("largest"), (F.col("sets") - F.col("most.count")).alias("rest"),
+        F.ceil(F.col("sets") / BLOCK).alias("blocks"),
+    )
+    # Guests come in parts of about a block; if most of a family are guests, each pair of blocks meets once instead.
+    rest = saved(left.join(saved(largest.filter("rest > 0")), "component").withColumns({
+        "block": F.pmod(F.xxhash64("row"), "blocks"), "guests": F.ceil(F.col("rest") / BLOCK),
+    }).withColumn("turns", F.col("guests") + F.col("rest") / F.lit(BLOCK) < F.col("blocks")))
+    blocks = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    every = rest.withColumn("other", F.explode(blocks))
+    own_part = F.pmod(F.xxhash64("row", F.lit(2)), "guests")
+    guests = every.filter("turns AND label <> largest").select(
+        "row", "component", (F.col("other") * F.col("guests") + own_part).alias("part"), F.lit(True).alias("guest")
+    )
+    hosts = rest.filter("turns").withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("guests") - 1))).select(
+        "row", "component", (F.col("block") * F.col("guests") + F.col("turn")).alias("part"), F.lit(False).alias("guest")
+    )
+    pairs = every.filter("NOT turns").select(
+        "row", "component", (F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")).alias("part"),
+        (F.col("block") < F.col("other")).alias("guest"),
+    )
+    visits = guests.union(hosts).union(pairs).join(rest.groupBy("component").agg(F.max("blocks").alias("blocks")), "component")
+    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(4 * partitions(spark)))).otherwise(
+        F.xxhash64("component", "part", F.lit(2))
     )
+    return edges.union(_similar(texts, visits.select("row", group.alias("g"), "component", "part", "guest")))
 
 
 def link(
@@ -391,31 +523,36 @@ def _link(texts: DataFrame) -> DataFrame:
             grams, bounds = sets_of(batch.column("text"))
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mixed(grams ^ np.uint64(seed)))]) for seed in (3, 5)]
             signs = [(total[bounds[1:]] - total[bounds[:-1]]).view(np.int64) for total in sums]
+            ends = np.concatenate([grams, [np.uint64(0)]]).view(np.int64)
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "row": batch.column("row"), "n_shingles": pa.array(np.diff(bounds)),
                 "sign": pa.array(signs[0]), "second_sign": pa.array(signs[1]),
+                "first": pa.array(ends[bounds[:-1]]), "last": pa.array(ends[bounds[1:] - 1]),
             })
 
     signed = saved(texts.mapInArrow(
-        tidy(sign), "doc_id long, row long, n_shingles long, sign long, second_sign long"
+        tidy(sign), "doc_id long, row long, n_shingles long, sign long, second_sign long, first long, last long"
     ))
     key = ["n_shingles", "sign", "second_sign"]
     equal = saved(signed.filter("n_shingles > 0").groupBy(*key).agg(
         F.min("row").alias("representative"), F.count("row").alias("rows")
     ).filter("rows > 1").drop("rows"))
     signed = saved(joined_if_small(signed, equal, key, "left", BROADCAST_IDS).select(
-        "doc_id", "row", "n_shingles", F.coalesce("representative", "row").alias("representative")
+        "doc_id", "row", "n_shingles", "first", "last", F.coalesce("representative", "row").alias("representative")
     ))
     # Of equal sets one stands for all.
     others = saved(signed.filter("row <> representative").select("row"))
-    single = joined_if_small(texts, others, "row", "left_anti", BROADCAST_IDS)
+    single = among(texts, others, "row", False, BROADCAST_IDS)
     sizes = signed.select("row", "n_shingles")
-    possible = saved(_recurring(single).join(sizes, "row").filter(
+    members, count = signed.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("row")).first()
+    possible = saved(_recurring(single, members).join(sizes, "row").filter(
         F.col("recurring") * 100 >= F.col("n_shingles") * PERCENT
     ).select("row"))
-    few = saved(joined_if_small(texts, possible, "row", "left_semi", BROADCAST_IDS))
+    few = among(texts, possible, "row", True, BROADCAST_IDS)
+    if possible.count() <= FEW * count:  # else a copy would be nearly as long to read as what it was made of
+        few = saved(few)
     families = components(saved(_meetings(few)))
-    joined = components(saved(_compared(few, families)))
+    joined = components(saved(_compared(few, families, signed.filter("row = representative"))))
     # The smallest id that is not null, and the first row that bears it: by set, then by component, so that neither
     # many copies nor a large component meet in one task.
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("row").alias("first"), "doc_id")

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import jaccard
 
@@ -97,6 +98,49 @@ def test_families_of_many_blocks(spark, monkeypatch):
     _check(spark, rows)
 
 
+def test_a_large_family_is_not_sent_once_for_each_block(spark, monkeypatch):
+    """Groups of near copies that met by chance: each set is sent a few times, not to 30 blocks; all links are found."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    sent, similar = [], jaccard._similar
+
+    def counted(texts, placed):
+        sent.append(placed.count())
+        return similar(texts, placed)
+
+    monkeypatch.setattr(jaccard, "_similar", counted)
+    draw = random.Random(6)
+    rows = []
+    for group in range(80):
+        base = [f"g{group}w{i}" for i in range(100)]
+        for copy in range(6):
+            rows.append((len(rows), " ".join(f"{word}x{copy}" if i == draw.randrange(100) else word for i, word in enumerate(base))))
+    frame = spark.createDataFrame(rows, "row long, text string").withColumn("doc_id", F.col("row"))
+    lists, bounds = jaccard.sets_of(pa.array([text for _, text in rows]))
+    ends = [(n, b - a, int(lists[a].view(np.int64)), int(lists[b - 1].view(np.int64))) for n, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist()))]
+    signs = spark.createDataFrame(ends, "row long, n_shingles long, first long, last long")
+    families = spark.range(len(rows)).withColumn("component", F.lit(0).cast("long"))
+    edges = [(r.a, r.b) for r in jaccard._compared(frame, families, signs).collect()]
+    assert sum(sent) < 5 * len(rows)
+    label = list(range(len(rows)))
+    for _ in range(len(rows)):
+        before = list(label)
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    expected = _plain(rows)
+    assert [label[n] for n in range(len(rows))] == [smallest for _, smallest in expected]
+
+
+def test_recurring_counts_by_leading_bits_leave_none_out(spark):
+    rows = [(0, "a b c d e f g"), (1, "a b c d e f x"), (2, "p q r s t"), (3, None), (70, "a b c d e"), (2**40 + 1, "p q r s t")]
+    frame = spark.createDataFrame(rows, "row long, text string")
+    found = {r.row: r.recurring for r in jaccard._recurring(frame, 2**50).collect()}
+    assert found == {0: 2, 1: 2, 2: 1, 70: 1, 2**40 + 1: 1}
+    few_bits = {r.row: r.recurring for r in jaccard._recurring(frame, 0).collect()}
+    assert all(few_bits[row] >= times for row, times in found.items())
+
+
 def test_similar_sets_share_a_key():
     draw = np.random.default_rng(3)
     for size in (*range(1, 60), 100, 333, 1000, 9000):
