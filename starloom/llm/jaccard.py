@@ -580,4 +580,4 @@ def without_near_copies(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.col(row).alias("row")
     )
     dropped = saved(_link(texts).filter("NOT kept").select(F.col("row").alias(row)))
-    return joined_if_small(rows, dropped, row, "left_anti", BROADCAST_IDS).drop(row)
+    return among(rows, dropped, row, False, BROADCAST_IDS).drop(row)

@@ -177,6 +177,16 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(r.row for r in left.collect()) == [1, 4, 5, 6]
 
 
+def test_dropping_many_copies_shuffles_no_texts(spark, monkeypatch):
+    """The numbers of 250 dropped rows go to the scan as bits, however few rows are broadcast."""
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 30)
+    rows = [(n, f"a b c d e f{n % 50}", n, "k") for n in range(300)]
+    left = jaccard.without_near_copies(spark.createDataFrame(rows, SCHEMA).coalesce(1))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert sorted(r.row for r in left.collect()) == list(range(50))
+
+
 def test_empty_table(spark):
     assert jaccard.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
